@@ -1,0 +1,153 @@
+"""The whole run for any number of contracts at once: register, list, enrich, rank.
+
+Every stage is one set of Spark jobs over all collections that wait for it. A stage can be
+run again at any time: registration skips known addresses, listing adds unknown tokens,
+enrichment skips enriched tokens, ranking merges by key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from traitrank import schemas
+from traitrank.operators import ingest, registry
+from traitrank.operators.joins import lookup_join
+from traitrank.operators.rarity import trait_rarity
+from traitrank.operators.upsert import (
+    append,
+    create_table,
+    drop_table,
+    insert_missing,
+    merge_update,
+    merge_upsert,
+)
+from traitrank.sources.staging import Staging
+
+
+class RarityPipeline:
+    """Binds the stages to a session and a set of tables.
+
+    ``location`` places the table files; by default they go to the session's warehouse.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        names: schemas.TableNames | None = None,
+        location: str | None = None,
+    ):
+        self.spark = spark
+        self.names = names or schemas.TableNames()
+        self.location = location
+
+    def table(self, kind: str) -> DataFrame:
+        return self.spark.table(self.names.full(kind))
+
+    def create_tables(self) -> None:
+        for name, schema in self.names.schemas().items():
+            create_table(
+                self.spark,
+                name,
+                schema,
+                partition=schemas.PARTITION if schemas.PARTITION in schema.names else None,
+                location=f"{self.location}/{name}" if self.location else None,
+            )
+
+    def reset(self) -> None:
+        """Drop all tables. Files at an explicit ``location`` stay in place."""
+        for name in self.names.schemas():
+            drop_table(self.spark, name)
+
+    def register(self, contracts: DataFrame) -> None:
+        """Add unknown ``contracts`` (contract_address, ordinal[, collection_name])."""
+        fresh = registry.register_collections(self.table("registry"), contracts)
+        append(fresh, self.names.full("registry"))
+
+    def _set_status(self, collections: DataFrame, status: str) -> None:
+        updates = collections.select("id").distinct().withColumn("status", F.lit(status))
+        merge_update(updates, self.names.full("registry"), ["id"], ["status"])
+
+    def _advance(self, stage: str, seen: DataFrame, status: str) -> None:
+        """Move the collections that wait for ``stage`` and occur in ``seen`` to ``status``."""
+        ids = seen.select(F.col("collection_id").cast("int").alias("id")).distinct()
+        waiting = registry.pending(self.table("registry"), stage)
+        self._set_status(waiting.join(ids, "id", "left_semi"), status)
+
+    def ingest_base(self, pages: DataFrame) -> None:
+        """List the tokens of all collections that wait for it and have landed pages.
+
+        A collection without any good page stays pending.
+        """
+        attached = ingest.attach_collection(pages, registry.pending(self.table("registry"), "base"))
+        # Staged: the status change below alters what counts as pending.
+        attached = Staging.of(pages).write(attached, "pages")
+        self._advance("base", attached, schemas.FETCHING)
+        listed = ingest.first_listing(ingest.flatten_pages(attached))
+        insert_missing(listed, self.names.full("base"), schemas.TOKEN_KEYS, schemas.PARTITION)
+        rejects = ingest.rejected_pages(attached).select(
+            "collection_id",
+            F.lit("base").alias("stage"),
+            F.concat_ws("/", "page_no", "record_no").alias("item"),
+            "reject_reason",
+            "body",
+        )
+        self._quarantine(rejects)
+        self._advance("base", attached.filter("http_status = 200"), schemas.FETCHED)
+
+    def ingest_metadata(self, documents: DataFrame) -> None:
+        """Enrich the tokens of all collections that wait for it and have documents."""
+        waiting = registry.pending(self.table("registry"), "metadata").select(
+            F.col("id").cast("string").alias("collection_id")
+        )
+        tokens = registry.pending_tokens(
+            self._of(self.table("base"), waiting), self._of(self.table("metadata"), waiting)
+        )
+        joined = Staging.of(documents).write(ingest.join_documents(tokens, documents), "documents")
+        self._advance("metadata", joined, schemas.METADATA_FETCHING)
+        append(ingest.flatten_metadata(joined), self.names.full("metadata"), schemas.PARTITION)
+        rejects = ingest.rejected_documents(joined).select(
+            "collection_id",
+            F.lit("metadata").alias("stage"),
+            F.col("token_id").alias("item"),
+            "reject_reason",
+            "body",
+        )
+        self._quarantine(rejects)
+        self._advance("metadata", joined.filter("http_status = 200"), schemas.METADATA_FETCHED)
+
+    def rank(self, collection_ids: DataFrame | None = None) -> None:
+        """Score and rank the given collections (collection_id), or all, and merge the result."""
+        base, metadata = self.table("base"), self.table("metadata")
+        if collection_ids is not None:
+            base, metadata = self._of(base, collection_ids), self._of(metadata, collection_ids)
+        merge_upsert(
+            trait_rarity(metadata, base),
+            self.names.full("rarity"),
+            schemas.TOKEN_KEYS,
+            schemas.PARTITION,
+        )
+
+    def run(self, contracts: DataFrame, pages: DataFrame, documents: DataFrame) -> None:
+        """Everything for ``contracts``, from registration to ranks."""
+        self.create_tables()
+        self.register(contracts)
+        self.ingest_base(pages)
+        self.ingest_metadata(documents)
+        self.rank(self.collection_ids(contracts))
+
+    def collection_ids(self, contracts: DataFrame) -> DataFrame:
+        wanted = contracts.select(F.lower("contract_address").alias("key")).distinct()
+        keyed = self.table("registry").withColumn("key", F.lower("contract_address"))
+        return keyed.join(wanted, "key", "left_semi").select(
+            F.col("id").cast("string").alias("collection_id")
+        )
+
+    def _of(self, df: DataFrame, collection_ids: DataFrame) -> DataFrame:
+        return lookup_join(df, collection_ids, ["collection_id"], how="left_semi", spread=["token_id"])
+
+    def _quarantine(self, rejects: DataFrame) -> None:
+        keys = ["collection_id", "stage", "item", "reject_reason"]
+        insert_missing(
+            rejects.dropDuplicates(keys), self.names.full("rejects"), keys, schemas.PARTITION
+        )
