@@ -6,6 +6,8 @@ the text "0", an explicit null from an absent key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,25 +17,18 @@ def variant_at(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "variant")
 
 
-def _kind(value: Column) -> Column:
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` refers to it.
 
-def _as(value: Column, type_name: str) -> Column:
-    return F.try_variant_get(value, "$", type_name)
+    A column expression that repeats its input multiplies the generated code instead,
+    beyond what the JVM compiles.
+    """
+    return F.transform(F.array(value), use)[0]
 
 
-def is_truthy(value: Column) -> Column:
-    """FALSE for NULL, null, false, zero, the empty text, ``[]`` and ``{}``."""
-    kind = _kind(value)
-    return (
-        F.when(value.isNull() | (kind == "VOID"), F.lit(False))
-        .when(kind == "STRING", _as(value, "string") != "")
-        .when(kind == "BOOLEAN", _as(value, "boolean"))
-        .when(kind == "ARRAY", F.size(_as(value, "array<variant>")) > 0)
-        .when(kind == "OBJECT", F.schema_of_variant(value) != "OBJECT<>")
-        .otherwise(_as(value, "double") != 0)
-    )
+def _named(**fields: Column) -> Column:
+    # Inside nested lambdas struct() loses the aliases of its members.
+    return F.named_struct(*[c for name, value in fields.items() for c in (F.lit(name), value)])
 
 
 def python_float_text(number: Column) -> Column:
@@ -41,64 +36,77 @@ def python_float_text(number: Column) -> Column:
 
     The digits are the JVM's; before JDK 19 it may write a 17th where 16 would do.
     """
-    text = number.cast("string")
-    scientific = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
-    sign = F.regexp_extract(text, scientific, 1)
-    digits = F.concat(
-        F.regexp_extract(text, scientific, 2),
-        F.regexp_replace(F.regexp_extract(text, scientific, 3), "0+$", ""),
-    )
-    power = F.nullif(F.regexp_extract(text, scientific, 4), F.lit("")).cast("int")
-    rest = F.substr(digits, F.lit(2))
-    exponent = F.concat(
-        F.when(power < 0, F.lit("e-")).otherwise("e+"),
-        F.when(F.abs(power) < 10, F.lit("0")).otherwise(""),
-        F.abs(power).cast("string"),
-    )
-    fixed_small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    fixed_large = F.when(
-        F.length(digits) <= power + 1, F.concat(F.rpad(digits, power + 1, F.lit("0")), F.lit(".0"))
-    ).otherwise(
-        F.concat(F.substr(digits, F.lit(1), power + 1), F.lit("."), F.substr(digits, power + 2))
-    )
-    written_out = (
-        F.when(
-            (power < -4) | (power >= 16),
-            F.concat(
-                F.substr(digits, F.lit(1), F.lit(1)),
-                F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""),
-                exponent,
-            ),
+
+    def from_parts(p: Column) -> Column:
+        # Scientific text splits into sign and first digit, further digits, and exponent.
+        digits = F.concat(F.ltrim(p[0], F.lit("-")), F.rtrim(p[1], F.lit("0")))
+        sign = F.when(p[0].startswith("-"), "-").otherwise("")
+        return bound(
+            _named(sign=sign, digits=digits, power=p[2].cast("int")),
+            lambda n: F.concat(n["sign"], _placed(n["digits"], n["power"])),
         )
-        .when(power < 0, fixed_small)
-        .otherwise(fixed_large)
+
+    return bound(
+        F.split(number.cast("string"), "[.E]"),
+        lambda p: F.when(F.size(p) == 3, from_parts(p))
+        .when(p[0].endswith("Infinity"), F.replace(p[0], F.lit("Infinity"), F.lit("inf")))
+        .otherwise(F.concat_ws(".", p)),
     )
+
+
+def _placed(digits: Column, power: Column) -> Column:
+    """Significant digits with the point placed for an exponent of ten."""
+    fraction = F.substr(digits, F.lit(2))
+    exponent = F.format_string("e%+03d", power)
+    scientific = F.concat(
+        F.left(digits, F.lit(1)),
+        F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise(""),
+        exponent,
+    )
+    whole = F.rpad(digits, F.greatest(power + 2, F.length(digits)), "0")
     return (
-        F.when(text.rlike(scientific), F.concat(sign, written_out))
-        .when(text.endswith("Infinity"), F.replace(text, F.lit("Infinity"), F.lit("inf")))
-        .otherwise(text)
+        F.when((power < -4) | (power >= 16), scientific)
+        .when(power < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits))
+        .otherwise(F.concat(F.left(whole, power + 1), F.lit("."), F.substr(whole, power + 2)))
     )
 
 
 def stringify_or_null(value: Column) -> Column:
-    """Text of a truthy variant, NULL for a falsy one.
+    """Text of a truthy variant; NULL for NULL, null, false, zero, "", [] and {}.
 
     Booleans read ``True``; numbers written with a point or an exponent take the float
     form, whole numbers keep their digits; arrays and objects become compact JSON.
     """
-    kind = _kind(value)
-    text = value.cast("string")
-    # A variant drops a zero fraction, so a whole number too wide for 64 bits and a
-    # decimal look alike: both are DECIMAL. Only the wide ones are taken as whole.
-    wide = (kind == "DECIMAL") & text.rlike(r"^-?\d{19,}$")
-    return F.when(
-        is_truthy(value),
-        F.when(kind == "BOOLEAN", F.initcap(text))
-        .when(kind.isin("DECIMAL", "DOUBLE", "FLOAT") & ~wide, python_float_text(_as(value, "double")))
-        .otherwise(text),
+
+    def by_kind(v: Column) -> Column:
+        kind, text = v["kind"], v["text"]
+        # A variant drops a zero fraction, so a whole number too wide for 64 bits and a
+        # decimal look alike: both are DECIMAL. Only the wide ones are taken as whole.
+        wide = (kind == "DECIMAL") & text.rlike(r"^-?\d{19,}$")
+        return (
+            F.when(kind == "STRING", F.nullif(text, F.lit("")))
+            .when(kind == "BIGINT", F.nullif(text, F.lit("0")))
+            .when(kind == "BOOLEAN", F.nullif(F.initcap(text), F.lit("False")))
+            .when(kind == "ARRAY", F.nullif(text, F.lit("[]")))
+            .when(kind == "OBJECT", F.nullif(text, F.lit("{}")))
+            .when(wide, text)
+            .when(text.cast("double") != 0, python_float_text(text.cast("double")))
+        )
+
+    kind_and_text = bound(
+        value,
+        lambda v: _named(
+            kind=F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0), text=v.cast("string")
+        ),
     )
+    return bound(kind_and_text, by_kind)
+
+
+def is_truthy(value: Column) -> Column:
+    return stringify_or_null(value).isNotNull()
 
 
 def first_truthy(*candidates: Column) -> Column:
     """Text of the first truthy variant, else the empty text."""
-    return F.coalesce(*[stringify_or_null(c) for c in candidates], F.lit(""))
+    texts = F.transform(F.array(*candidates), stringify_or_null)
+    return F.coalesce(F.try_element_at(F.array_compact(texts), F.lit(1)), F.lit(""))

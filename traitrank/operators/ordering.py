@@ -62,13 +62,13 @@ def ranged_positions(
     by = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     earlier = by.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     shifts = ranges.select(
-        *groups,
-        _PART,
+        *[F.col(c).alias(f"__of_{c}") for c in groups],
+        F.col(_PART).alias("__of_part"),
         (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__shift"),
     )
-    same_range = [numbered[c].eqNullSafe(shifts[c]) for c in groups]
-    return numbered.join(shifts, [*same_range, numbered[_PART] == shifts[_PART]]).select(
-        *[numbered[c] for c in df.columns], (F.col(_INDEX) + F.col("__shift")).alias(name)
+    same_range = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in groups]
+    return numbered.join(shifts, [*same_range, F.col(_PART) == F.col("__of_part")]).select(
+        *df.columns, (F.col(_INDEX) + F.col("__shift")).alias(name)
     )
 
 

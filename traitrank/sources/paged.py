@@ -8,14 +8,19 @@ form a chain and are read by one task, but streamed row by row and never held to
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Callable, Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from traitrank.schemas import PAGES
 
+# What runs on the executors travels with the job; the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Fetch = Callable[[str, str | None], tuple[int, str]]
 PageRow = tuple[str, int, int, str]
 
