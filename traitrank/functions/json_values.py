@@ -6,69 +6,65 @@ the text "0", an explicit null from an absent key.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from traitrank.functions.binding import applied, bound
+
+# Scientific text of a DOUBLE is split into leading digit, further digits and exponent of
+# ten; the point is then placed for the exponent. Other text is already in fixed notation.
+_FLOAT_TEXT = r"""
+number -> transform(array(split(cast(number AS string), '[.E]')), part -> CASE
+    WHEN size(part) = 3 THEN transform(array(named_struct(
+            'sign', CASE WHEN startswith(part[0], '-') THEN '-' ELSE '' END,
+            'digits', ltrim('-', part[0]) || rtrim('0', part[1]),
+            'power', cast(part[2] AS int))),
+        n -> n.sign || CASE
+            WHEN n.power < -4 OR n.power >= 16 THEN
+                left(n.digits, 1)
+                || CASE WHEN length(n.digits) > 1 THEN '.' || substr(n.digits, 2) ELSE '' END
+                || format_string('e%+03d', n.power)
+            WHEN n.power < 0 THEN '0.' || repeat('0', -n.power - 1) || n.digits
+            WHEN length(n.digits) <= n.power + 1 THEN rpad(n.digits, n.power + 1, '0') || '.0'
+            ELSE left(n.digits, n.power + 1) || '.' || substr(n.digits, n.power + 2)
+        END)[0]
+    WHEN endswith(part[0], 'Infinity') THEN replace(part[0], 'Infinity', 'inf')
+    ELSE concat_ws('.', part)
+END)[0]
+"""
+
+# A variant drops a zero fraction, so a whole number too wide for 64 bits and a decimal
+# look alike: both are DECIMAL. Only the wide ones are taken as whole.
+_TEXT = rf"""
+value -> transform(array(named_struct(
+        'kind', regexp_extract(schema_of_variant(value), '^[A-Z]+', 0),
+        'text', cast(value AS string))),
+    v -> CASE v.kind
+        WHEN 'STRING' THEN nullif(v.text, '')
+        WHEN 'BIGINT' THEN nullif(v.text, '0')
+        WHEN 'BOOLEAN' THEN CASE WHEN v.text = 'true' THEN 'True' END
+        WHEN 'ARRAY' THEN nullif(v.text, '[]')
+        WHEN 'OBJECT' THEN nullif(v.text, '{{}}')
+        ELSE CASE
+            WHEN v.kind = 'DECIMAL' AND v.text RLIKE r'^-?\d{{19,}}$' THEN v.text
+            WHEN cast(v.text AS double) <> 0
+                THEN transform(array(cast(v.text AS double)), {_FLOAT_TEXT})[0]
+        END
+    END)[0]
+"""
+
 
 def variant_at(value: Column, path: str) -> Column:
     """The variant at ``path``; NULL where the path is absent or crosses a non-object."""
     return F.try_variant_get(value, path, "variant")
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` worked out once, however often ``use`` refers to it.
-
-    A column expression that repeats its input multiplies the generated code instead,
-    beyond what the JVM compiles.
-    """
-    return F.transform(F.array(value), use)[0]
-
-
-def _named(**fields: Column) -> Column:
-    # Inside nested lambdas struct() loses the aliases of its members.
-    return F.named_struct(*[c for name, value in fields.items() for c in (F.lit(name), value)])
-
-
 def python_float_text(number: Column) -> Column:
     """Text of a DOUBLE as Python writes it: fixed notation from 1e-4 up to 1e16.
 
     The digits are the JVM's; before JDK 19 it may write a 17th where 16 would do.
     """
-
-    def from_parts(p: Column) -> Column:
-        # Scientific text splits into sign and first digit, further digits, and exponent.
-        digits = F.concat(F.ltrim(p[0], F.lit("-")), F.rtrim(p[1], F.lit("0")))
-        sign = F.when(p[0].startswith("-"), "-").otherwise("")
-        return bound(
-            _named(sign=sign, digits=digits, power=p[2].cast("int")),
-            lambda n: F.concat(n["sign"], _placed(n["digits"], n["power"])),
-        )
-
-    return bound(
-        F.split(number.cast("string"), "[.E]"),
-        lambda p: F.when(F.size(p) == 3, from_parts(p))
-        .when(p[0].endswith("Infinity"), F.replace(p[0], F.lit("Infinity"), F.lit("inf")))
-        .otherwise(F.concat_ws(".", p)),
-    )
-
-
-def _placed(digits: Column, power: Column) -> Column:
-    """Significant digits with the point placed for an exponent of ten."""
-    fraction = F.substr(digits, F.lit(2))
-    exponent = F.format_string("e%+03d", power)
-    scientific = F.concat(
-        F.left(digits, F.lit(1)),
-        F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise(""),
-        exponent,
-    )
-    whole = F.rpad(digits, F.greatest(power + 2, F.length(digits)), "0")
-    return (
-        F.when((power < -4) | (power >= 16), scientific)
-        .when(power < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits))
-        .otherwise(F.concat(F.left(whole, power + 1), F.lit("."), F.substr(whole, power + 2)))
-    )
+    return bound(number, _FLOAT_TEXT)
 
 
 def stringify_or_null(value: Column) -> Column:
@@ -77,29 +73,7 @@ def stringify_or_null(value: Column) -> Column:
     Booleans read ``True``; numbers written with a point or an exponent take the float
     form, whole numbers keep their digits; arrays and objects become compact JSON.
     """
-
-    def by_kind(v: Column) -> Column:
-        kind, text = v["kind"], v["text"]
-        # A variant drops a zero fraction, so a whole number too wide for 64 bits and a
-        # decimal look alike: both are DECIMAL. Only the wide ones are taken as whole.
-        wide = (kind == "DECIMAL") & text.rlike(r"^-?\d{19,}$")
-        return (
-            F.when(kind == "STRING", F.nullif(text, F.lit("")))
-            .when(kind == "BIGINT", F.nullif(text, F.lit("0")))
-            .when(kind == "BOOLEAN", F.nullif(F.initcap(text), F.lit("False")))
-            .when(kind == "ARRAY", F.nullif(text, F.lit("[]")))
-            .when(kind == "OBJECT", F.nullif(text, F.lit("{}")))
-            .when(wide, text)
-            .when(text.cast("double") != 0, python_float_text(text.cast("double")))
-        )
-
-    kind_and_text = bound(
-        value,
-        lambda v: _named(
-            kind=F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0), text=v.cast("string")
-        ),
-    )
-    return bound(kind_and_text, by_kind)
+    return bound(value, _TEXT)
 
 
 def is_truthy(value: Column) -> Column:
@@ -108,5 +82,5 @@ def is_truthy(value: Column) -> Column:
 
 def first_truthy(*candidates: Column) -> Column:
     """Text of the first truthy variant, else the empty text."""
-    texts = F.transform(F.array(*candidates), stringify_or_null)
-    return F.coalesce(F.try_element_at(F.array_compact(texts), F.lit(1)), F.lit(""))
+    texts = F.array_compact(applied(F.array(*candidates), _TEXT))
+    return F.coalesce(F.try_element_at(texts, F.lit(1)), F.lit(""))

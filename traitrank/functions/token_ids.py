@@ -9,66 +9,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Seven hex digits are 28 bits: limb * 2**28 + carry stays below 2**63 for limbs under 10**9.
-_HEX_STEP = 7
-_LIMB_DIGITS = 9
-_LIMB_BASE = 10**_LIMB_DIGITS
-# Widest hex text whose value always fits a signed 64-bit integer.
-_NARROW_HEX = 15
-
-
-def _long(value: int) -> Column:
-    return F.lit(value).cast("long")
-
-
-def _strip_zeros(digits: Column) -> Column:
-    return F.regexp_replace(digits, "^0+(?=.)", "")
-
-
-def _chunks(digits: Column) -> Column:
-    """Hex text as numbers of ``_HEX_STEP`` digits, the most significant first."""
-    count = F.ceil(F.length(digits) / F.lit(_HEX_STEP)).cast("int")
-    padded = F.lpad(digits, count * _HEX_STEP, F.lit("0"))
-    return F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda i: F.conv(F.substr(padded, i * _HEX_STEP + 1, F.lit(_HEX_STEP)), 16, 10).cast("long"),
-    )
-
-
-def _shift_in(limbs: Column, chunk: Column) -> Column:
-    """``limbs * 16**7 + chunk`` over base-10**9 limbs, the least significant first."""
-    start = F.struct(F.array().cast("array<bigint>").alias("done"), chunk.alias("carry"))
-
-    def step(acc: Column, limb: Column) -> Column:
-        value = limb * _long(16**_HEX_STEP) + acc["carry"]
-        return F.struct(
-            F.concat(acc["done"], F.array(value % _long(_LIMB_BASE))).alias("done"),
-            F.call_function("div", value, _long(_LIMB_BASE)).alias("carry"),
-        )
-
-    def finish(acc: Column) -> Column:
-        return F.when(acc["carry"] > 0, F.concat(acc["done"], F.array(acc["carry"]))).otherwise(
-            acc["done"]
-        )
-
-    return F.aggregate(limbs, start, step, finish)
+from traitrank.functions.binding import bound
+
+# Up to 15 hex digits fit a 64-bit integer. Longer text is taken in steps of 7 digits, the
+# most significant first, into a number of base-10**9 limbs, the least significant first:
+# every step multiplies the limbs by 16**7 and adds. Limb * 16**7 + carry stays below 2**63.
+_HEX_TO_DECIMAL = r"""
+hex -> CASE WHEN length(hex) <= 15 THEN conv(hex, 16, 10) ELSE
+    ltrim('0', array_join(transform(reverse(aggregate(
+        transform(
+            sequence(1, length(hex) + pmod(-length(hex), 7), 7),
+            i -> cast(conv(substr(lpad(hex, length(hex) + pmod(-length(hex), 7), '0'), i, 7), 16, 10) AS bigint)),
+        cast(array() AS array<bigint>),
+        (limbs, step) -> aggregate(
+            limbs,
+            named_struct('done', cast(array() AS array<bigint>), 'carry', step),
+            (acc, limb) -> named_struct(
+                'done', array_append(acc.done, (limb * 268435456L + acc.carry) % 1000000000L),
+                'carry', (limb * 268435456L + acc.carry) div 1000000000L),
+            acc -> CASE WHEN acc.carry > 0 THEN array_append(acc.done, acc.carry) ELSE acc.done END)
+    )), limb -> lpad(cast(limb AS string), 9, '0')), ''))
+END
+"""
 
 
 def hex_to_decimal(digits: Column) -> Column:
     """Hex digits of any length as decimal text without leading zeros."""
-    significant = _strip_zeros(digits)
-    limbs = F.aggregate(_chunks(significant), F.array().cast("array<bigint>"), _shift_in)
-    # A zero value folds to no limb at all, but such text is always narrow.
-    wide = _strip_zeros(
-        F.array_join(
-            F.transform(
-                F.reverse(limbs),
-                lambda limb: F.lpad(limb.cast("string"), _LIMB_DIGITS, "0"),
-            ),
-            "",
-        )
-    )
-    return F.when(F.length(significant) <= _NARROW_HEX, F.conv(significant, 16, 10)).otherwise(wide)
+    return bound(F.regexp_replace(digits, "^0+(?=.)", ""), _HEX_TO_DECIMAL)
 
 
 def parse_token_id(raw: Column) -> Column:
@@ -78,15 +45,21 @@ def parse_token_id(raw: Column) -> Column:
     around the number do not count. Everything else, the empty text included, is NULL.
     Digits outside ASCII and ``_`` between digits are not accepted.
     """
-    # The accepted spellings of an id.
-    hex_form = r"^0x([0-9a-fA-F]+)[ \t\n\r\f\x0B]*$"
-    decimal_form = r"^[ \t\n\r\f\x0B]*([+-]?)([0-9]+)[ \t\n\r\f\x0B]*$"
+    return bound(raw, _PARSE)
 
-    magnitude = _strip_zeros(F.regexp_extract(raw, decimal_form, 2))
-    negative = (F.regexp_extract(raw, decimal_form, 1) == "-") & (magnitude != "0")
-    return F.when(raw.rlike(hex_form), hex_to_decimal(F.regexp_extract(raw, hex_form, 1))).when(
-        raw.rlike(decimal_form), F.concat(F.when(negative, F.lit("-")).otherwise(""), magnitude)
-    )
+
+# The accepted spellings of an id.
+_HEX_FORM = r"^0x0*([0-9a-fA-F]+)[ \t\n\r\f\x0B]*$"
+_DECIMAL_FORM = r"^[ \t\n\r\f\x0B]*(?:\+|(-?))0*([0-9]+)[ \t\n\r\f\x0B]*$"
+
+_PARSE = rf"""
+raw -> CASE
+    WHEN raw RLIKE r'{_HEX_FORM}'
+        THEN transform(array(regexp_extract(raw, r'{_HEX_FORM}', 1)), {_HEX_TO_DECIMAL})[0]
+    WHEN raw RLIKE r'{_DECIMAL_FORM}'
+        THEN regexp_replace(regexp_replace(raw, r'{_DECIMAL_FORM}', '$1$2'), '^-0$', '0')
+END
+"""
 
 
 def numeric_order(token: Column) -> tuple[Column, Column]:
