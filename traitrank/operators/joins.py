@@ -21,6 +21,8 @@ BROADCAST_BYTES = 32 << 20
 # A key is hot from this share of the rows on; by arithmetic there are at most 1/share.
 HOT_SHARE = 1 / 1024
 SALTS = 32
+# Up to this many key values are turned into a filter, which prunes partitions and files.
+FILTER_VALUES = 1000
 
 _ROW_OVERHEAD = 48
 _SALT = "__salt"
@@ -132,3 +134,16 @@ def lookup_join(
     if spread:
         return salted_join(rows, keyed, keys, spread, how)
     return rows.join(keyed, list(keys), how)
+
+
+def restrict(rows: DataFrame, keyed: DataFrame, key: str, spread: Sequence[str] = ()) -> DataFrame:
+    """``rows`` whose ``key`` occurs in ``keyed``, reading no more partitions than needed.
+
+    A few values become a filter, which a table partitioned by ``key`` prunes with. No more
+    than ``FILTER_VALUES`` of them are fetched; beyond that a semi join does it.
+    """
+    wanted = keyed.select(key).distinct()
+    values = [row[0] for row in wanted.limit(FILTER_VALUES + 1).collect()]
+    if len(values) <= FILTER_VALUES:
+        return rows.filter(F.col(key).isin(values))
+    return lookup_join(rows, wanted, [key], how="left_semi", spread=spread)

@@ -103,6 +103,15 @@ def get_or_create(registry: DataFrame, names: DataFrame, staging: Staging | None
     return known.unionByName(created)
 
 
+def collections_of(registry: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Collection ids, as text, of ``contracts`` (contract_address)."""
+    wanted = contracts.select(F.lower("contract_address").alias(_ADDRESS_KEY)).distinct()
+    keyed = registry.withColumn(_ADDRESS_KEY, F.lower("contract_address"))
+    return keyed.join(wanted, _ADDRESS_KEY, "left_semi").select(
+        F.col("id").cast("string").alias("collection_id")
+    )
+
+
 def pending(registry: DataFrame, stage: str) -> DataFrame:
     """Collections that still wait for ``stage`` ("base" or "metadata")."""
     status = F.coalesce(F.col("status"), F.lit(schemas.NOT_FETCHED))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from traitrank.functions import numeric_order
-from traitrank.operators.joins import lookup_join
+from traitrank.operators.joins import restrict
 from traitrank.operators.ordering import positions, top_k, top_k_per_group
 
 
@@ -63,8 +63,7 @@ def token_number_positions(df: DataFrame) -> DataFrame:
 
 def contract_ranks(base: DataFrame, rarity: DataFrame, contract_address: str) -> DataFrame:
     """Ranked tokens of a contract, whose collection is found through the base table."""
-    ids = of_contract(base, contract_address).select("collection_id").distinct()
-    return lookup_join(rarity, ids, ["collection_id"], how="left_semi", spread=["token_id"])
+    return restrict(rarity, of_contract(base, contract_address), "collection_id", ["token_id"])
 
 
 def contract_report(

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from traitrank.operators.joins import lookup_join, measure
+from traitrank.operators.joins import Size, lookup_join, measure, restrict
 from traitrank.sources.staging import Staging
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -80,36 +80,50 @@ def append(df: DataFrame, table: str, partition: str | None = None) -> None:
     _in_table_order(_rebalanced(full, partition), table).write.insertInto(table)
 
 
-def reject_duplicates(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``source`` as it is, failing when run if a key occurs twice, as MERGE does."""
-    grouped = source.groupBy(*keys).agg(
-        F.first(F.struct(*source.columns)).alias("row"), F.count(F.lit(1)).alias("n")
-    )
-    text = F.concat(F.lit("merge source repeats the key "), F.to_json(F.struct(*keys)))
-    checked = F.when(F.col("n") == 1, F.col("row")).otherwise(F.raise_error(text))
-    return grouped.select(checked.alias("row")).select("row.*")
+def unique_size(source: DataFrame, keys: Sequence[str]) -> Size:
+    """Size of the keys of ``source``; fails if a key occurs twice, as MERGE does."""
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    size = measure(per_key, "n")
+    if size.largest > 1:
+        raise ValueError(f"merge source holds a key ({', '.join(keys)}) {size.largest} times")
+    return size
 
 
 def upserted(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None
+    target: DataFrame, source: DataFrame, keys: Sequence[str], size: Size | None = None
 ) -> DataFrame:
     """Rows of ``target`` without a new version, and all of ``source``.
 
-    Both hold at most one row per key, so the join has no hot key; ``target`` is shuffled
-    only if the source keys are too many to broadcast.
+    ``target`` is shuffled only if the source keys are too many to broadcast.
     """
-    kept = lookup_join(target, source.select(*keys), keys, how="left_anti")
-    return kept.unionByName(source, allowMissingColumns=True).select(*(columns or target.columns))
+    kept = lookup_join(target, source.select(*keys), keys, how="left_anti", size=size)
+    return kept.unionByName(source, allowMissingColumns=True).select(*target.columns)
+
+
+def absent(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], size: Size | None = None
+) -> DataFrame:
+    """Rows of ``source`` whose key ``target`` lacks; ``target`` may repeat keys."""
+    wanted = source.select(*keys)
+    size = size or measure(wanted)
+    if size.broadcastable:
+        # Then at most as many keys as the source has leave the scan of the target.
+        target = target.join(F.broadcast(wanted), list(keys), "left_semi")
+    return source.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def updated(
-    target: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str]
+    target: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    size: Size | None = None,
 ) -> DataFrame:
     """``target`` with ``columns`` replaced where a key matches, by NULL as well."""
     new = updates.select(
         *keys, F.lit(True).alias("__hit"), *[F.col(c).alias(f"__{c}") for c in columns]
     )
-    joined = lookup_join(target, new, keys, how="left", spread=target.columns)
+    joined = lookup_join(target, new, keys, how="left", spread=target.columns, size=size)
     return joined.select(
         *[
             F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c)
@@ -125,16 +139,15 @@ def insert_missing(
 ) -> None:
     """Append the source rows whose key the table lacks. Touches no existing file."""
     staging = staging or Staging.of(source)
-    staged = staging.write(reject_duplicates(source, keys), "incoming")
-    present = touched_rows(source.sparkSession.table(table), staged, keys, partition).select(*keys)
-    append(staged.join(present, list(keys), "left_anti"), table, partition)
+    staged = staging.write(source, "incoming")
+    size = unique_size(staged, keys)
+    touched = touched_rows(source.sparkSession.table(table), staged, keys, partition)
+    append(absent(staged, touched, keys, size), table, partition)
 
 
 def touched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str) -> DataFrame:
     """Target rows in the partitions that ``source`` has rows for."""
-    touched = source.select(partition).distinct()
-    spread = [k for k in keys if k != partition]
-    return lookup_join(target, touched, [partition], how="left_semi", spread=spread)
+    return restrict(target, source, partition, [k for k in keys if k != partition])
 
 
 def merge_upsert(
@@ -153,12 +166,13 @@ def merge_upsert(
     """
     spark = source.sparkSession
     staging = staging or Staging.of(source)
-    staged = staging.write(reject_duplicates(source, keys), "incoming")
+    staged = staging.write(source, "incoming")
+    size = unique_size(staged, keys)
     target = spark.table(table)
     if replace_group:
         result = staged.select(*target.columns)
     else:
-        result = upserted(touched_rows(target, staged, keys, partition), staged, keys, target.columns)
+        result = upserted(touched_rows(target, staged, keys, partition), staged, keys, size)
     with _dynamic_overwrite(spark):
         _rebalanced(result, partition).write.insertInto(table, overwrite=True)
 
@@ -176,5 +190,5 @@ def merge_update(
     """
     spark = updates.sparkSession
     staging = staging or Staging.of(updates)
-    changed = updated(spark.table(table), reject_duplicates(updates, keys), keys, columns)
+    changed = updated(spark.table(table), updates, keys, columns, unique_size(updates, keys))
     staging.write(changed, "updated").write.insertInto(table, overwrite=True)

@@ -48,9 +48,9 @@ def part_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing pages: a contract per p_type, at most 100 tokens per page.
+    """Listing pages: a contract per p_type, at most 1000 tokens per page.
 
-    A page is a range of 100 part keys, so its list is bounded. 'Brand#7' has token ids
+    A page is a range of 1000 part keys, so its list is bounded. 'Brand#7' has token ids
     that are no numbers, sizes decide which of the text fallbacks are filled.
     """
     key, size = F.col("p_partkey"), F.col("p_size")
@@ -77,7 +77,7 @@ def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("metadata")
         ).alias("raw"),
     )
-    page_no = F.floor(key / 100).cast("long")
+    page_no = F.floor(key / 1000).cast("long")
     listed = (
         read(spark, sf_dir, "part")
         .groupBy(F.col("p_type").alias("contract_address"), page_no.alias("page_no"))

@@ -181,7 +181,7 @@ _ORACLE = {
         CASE WHEN p_size <= 20 THEN p_brand ELSE p_type END AS description,
         CASE WHEN p_size <= 5 THEN 'meta/image' WHEN p_size > 40 THEN 'raw/image'
              ELSE 'cache/' || p_partkey END AS image_url {_LISTED_PART}""",
-    "rejected_records": """SELECT p_type AS collection_id, CAST(floor(p_partkey / 100) AS BIGINT) AS page_no,
+    "rejected_records": """SELECT p_type AS collection_id, CAST(floor(p_partkey / 1000) AS BIGINT) AS page_no,
         'token_id' AS reject_reason, 'token-' || p_partkey AS raw_token_id
         FROM part WHERE p_brand = 'Brand#7'""",
     "attach_collections": f"""WITH {_REGISTRY} SELECT CAST(id AS VARCHAR) AS collection_id, collection_name,

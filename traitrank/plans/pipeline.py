@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from traitrank import schemas
 from traitrank.operators import ingest, registry
-from traitrank.operators.joins import lookup_join
+from traitrank.operators.joins import restrict
 from traitrank.operators.rarity import trait_rarity
 from traitrank.operators.upsert import (
     append,
@@ -134,17 +134,10 @@ class RarityPipeline:
         self.register(contracts)
         self.ingest_base(pages)
         self.ingest_metadata(documents)
-        self.rank(self.collection_ids(contracts))
-
-    def collection_ids(self, contracts: DataFrame) -> DataFrame:
-        wanted = contracts.select(F.lower("contract_address").alias("key")).distinct()
-        keyed = self.table("registry").withColumn("key", F.lower("contract_address"))
-        return keyed.join(wanted, "key", "left_semi").select(
-            F.col("id").cast("string").alias("collection_id")
-        )
+        self.rank(registry.collections_of(self.table("registry"), contracts))
 
     def _of(self, df: DataFrame, collection_ids: DataFrame) -> DataFrame:
-        return lookup_join(df, collection_ids, ["collection_id"], how="left_semi", spread=["token_id"])
+        return restrict(df, collection_ids, "collection_id", ["token_id"])
 
     def _quarantine(self, rejects: DataFrame) -> None:
         keys = ["collection_id", "stage", "item", "reject_reason"]

@@ -20,8 +20,10 @@ from traitrank.operators.ingest import (
     flatten_pages,
     join_documents,
 )
-from traitrank.operators.registry import pending_tokens
-from traitrank.operators.upsert import append, insert_missing, merge_upsert
+from traitrank.operators.joins import restrict
+from traitrank.operators.registry import collections_of
+from traitrank.operators.upsert import absent, append, insert_missing, merge_upsert, touched_rows
+from traitrank.sources.staging import Staging
 
 
 def file_stream(
@@ -71,9 +73,13 @@ def drain_documents(documents: DataFrame, names: schemas.TableNames, checkpoint:
 
     def handle(batch: DataFrame) -> None:
         spark = batch.sparkSession
-        metadata = spark.table(names.full("metadata"))
-        waiting = pending_tokens(spark.table(names.full("base")), metadata)
-        traits = flatten_metadata(join_documents(waiting, batch))
-        append(traits, names.full("metadata"), schemas.PARTITION)
+        # Only the partitions of the contracts in the batch are read.
+        ids = collections_of(spark.table(names.full("registry")), batch)
+        base = restrict(spark.table(names.full("base")), ids, schemas.PARTITION, ["token_id"])
+        joined = Staging.of(batch).write(join_documents(base, batch), "documents")
+        table = names.full("metadata")
+        known = touched_rows(spark.table(table), joined, schemas.TOKEN_KEYS, schemas.PARTITION)
+        fresh = absent(joined, known, schemas.TOKEN_KEYS)
+        append(flatten_metadata(fresh), table, schemas.PARTITION)
 
     drain(documents, checkpoint, handle)
