@@ -123,17 +123,19 @@ def lookup_join(
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. ``weight`` names a
     column of ``keyed`` with the number of ``rows`` per key; ``spread`` names columns of
     ``rows`` that differ within a hot key and serve as the salt where no weight is known.
+    The columns of ``rows`` keep their order, those of ``keyed`` follow.
     """
     size = size or measure(keyed, weight)
     if size.broadcastable:
-        return rows.join(F.broadcast(keyed), list(keys), how)
-    if weight and how == "inner":
-        if size.has_hot_keys:
-            return split_hot_join(rows, keyed, keys, weight, size.hot_from)
-        return rows.join(keyed, list(keys), how)
-    if spread:
-        return salted_join(rows, keyed, keys, spread, how)
-    return rows.join(keyed, list(keys), how)
+        joined = rows.join(F.broadcast(keyed), list(keys), how)
+    elif weight and how == "inner" and size.has_hot_keys:
+        joined = split_hot_join(rows, keyed, keys, weight, size.hot_from)
+    elif spread and not weight:
+        joined = salted_join(rows, keyed, keys, spread, how)
+    else:
+        joined = rows.join(keyed, list(keys), how)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in keyed.columns if c not in keys]
+    return joined.select(*rows.columns, *added)
 
 
 def restrict(rows: DataFrame, keyed: DataFrame, key: str, spread: Sequence[str] = ()) -> DataFrame:

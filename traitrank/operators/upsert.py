@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from traitrank.operators.joins import Size, lookup_join, measure, restrict
 from traitrank.sources.staging import Staging
+from traitrank.sources.tables import fresh_table
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -141,7 +142,7 @@ def insert_missing(
     staging = staging or Staging.of(source)
     staged = staging.write(source, "incoming")
     size = unique_size(staged, keys)
-    touched = touched_rows(source.sparkSession.table(table), staged, keys, partition)
+    touched = touched_rows(fresh_table(source.sparkSession, table), staged, keys, partition)
     append(absent(staged, touched, keys, size), table, partition)
 
 
@@ -168,13 +169,13 @@ def merge_upsert(
     staging = staging or Staging.of(source)
     staged = staging.write(source, "incoming")
     size = unique_size(staged, keys)
-    target = spark.table(table)
+    target = fresh_table(spark, table)
     if replace_group:
-        result = staged.select(*target.columns)
+        result = staged
     else:
         result = upserted(touched_rows(target, staged, keys, partition), staged, keys, size)
     with _dynamic_overwrite(spark):
-        _rebalanced(result, partition).write.insertInto(table, overwrite=True)
+        _in_table_order(_rebalanced(result, partition), table).write.insertInto(table, overwrite=True)
 
 
 def merge_update(
@@ -190,5 +191,5 @@ def merge_update(
     """
     spark = updates.sparkSession
     staging = staging or Staging.of(updates)
-    changed = updated(spark.table(table), updates, keys, columns, unique_size(updates, keys))
+    changed = updated(fresh_table(spark, table), updates, keys, columns, unique_size(updates, keys))
     staging.write(changed, "updated").write.insertInto(table, overwrite=True)

@@ -23,6 +23,7 @@ from traitrank.operators.upsert import (
     merge_upsert,
 )
 from traitrank.sources.staging import Staging
+from traitrank.sources.tables import fresh_table
 
 
 class RarityPipeline:
@@ -42,7 +43,7 @@ class RarityPipeline:
         self.location = location
 
     def table(self, kind: str) -> DataFrame:
-        return self.spark.table(self.names.full(kind))
+        return fresh_table(self.spark, self.names.full(kind))
 
     def create_tables(self) -> None:
         for name, schema in self.names.schemas().items():

@@ -23,6 +23,14 @@ def read_table(spark: SparkSession, name: str, collection_ids: Sequence[str] = (
     return df
 
 
+def fresh_table(spark: SparkSession, name: str) -> DataFrame:
+    """A catalog table as it is now. Without this a session may use the list of files it
+    has kept, and miss what another session - a stream's, say - has written since.
+    """
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed listing pages (JSON lines with the response body as text)."""
     return spark.read.schema(schemas.PAGES).json(path)

@@ -24,6 +24,7 @@ from traitrank.operators.joins import restrict
 from traitrank.operators.registry import collections_of
 from traitrank.operators.upsert import absent, append, insert_missing, merge_upsert, touched_rows
 from traitrank.sources.staging import Staging
+from traitrank.sources.tables import fresh_table
 
 
 def file_stream(
@@ -55,17 +56,19 @@ def drain_into(
 ) -> None:
     """Upsert a stream of rows with unique keys per batch into a table."""
     drain(stream, checkpoint, lambda batch: merge_upsert(batch, table, keys, partition))
+    stream.sparkSession.catalog.refreshTable(table)
 
 
 def drain_pages(pages: DataFrame, names: schemas.TableNames, checkpoint: str) -> None:
     """Add the tokens of newly landed pages to the base table."""
 
     def handle(batch: DataFrame) -> None:
-        registry = batch.sparkSession.table(names.full("registry"))
+        registry = fresh_table(batch.sparkSession, names.full("registry"))
         listed = first_listing(flatten_pages(attach_collection(batch, registry)))
         insert_missing(listed, names.full("base"), schemas.TOKEN_KEYS, schemas.PARTITION)
 
     drain(pages, checkpoint, handle)
+    pages.sparkSession.catalog.refreshTable(names.full("base"))
 
 
 def drain_documents(documents: DataFrame, names: schemas.TableNames, checkpoint: str) -> None:
@@ -74,12 +77,13 @@ def drain_documents(documents: DataFrame, names: schemas.TableNames, checkpoint:
     def handle(batch: DataFrame) -> None:
         spark = batch.sparkSession
         # Only the partitions of the contracts in the batch are read.
-        ids = collections_of(spark.table(names.full("registry")), batch)
-        base = restrict(spark.table(names.full("base")), ids, schemas.PARTITION, ["token_id"])
+        ids = collections_of(fresh_table(spark, names.full("registry")), batch)
+        base = restrict(fresh_table(spark, names.full("base")), ids, schemas.PARTITION, ["token_id"])
         joined = Staging.of(batch).write(join_documents(base, batch), "documents")
         table = names.full("metadata")
-        known = touched_rows(spark.table(table), joined, schemas.TOKEN_KEYS, schemas.PARTITION)
+        known = touched_rows(fresh_table(spark, table), joined, schemas.TOKEN_KEYS, schemas.PARTITION)
         fresh = absent(joined, known, schemas.TOKEN_KEYS)
         append(flatten_metadata(fresh), table, schemas.PARTITION)
 
     drain(documents, checkpoint, handle)
+    documents.sparkSession.catalog.refreshTable(names.full("metadata"))
