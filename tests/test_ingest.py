@@ -125,7 +125,7 @@ def test_listing_records(spark):
     landed = pages(spark, [json.dumps({"nfts": records}), '{"nfts": []}', "{}", '{"nfts": 5}', "{", "[]"])
     listed = ingest.flatten_pages(landed).select("token_id", "name", "description", "image_url")
     assert rows(listed) == [("0", "", "d", "i"), ("31", "t", "", ""), ("7", "n", "", "r")]
-    rejected = ingest.rejected_pages(landed).select("page_no", "record_no", "reject_reason")
+    rejected = ingest.rejected_records(ingest.page_records(landed)).select("page_no", "record_no", "reject_reason")
     assert rows(rejected) == [
         (0, 2, "token_id"),
         (0, 4, "token_id"),
@@ -140,7 +140,7 @@ def test_listing_records(spark):
 def test_failed_page(spark):
     landed = pages(spark, ['{"nfts": [{"tokenId": "1"}]}'], status=429)
     assert rows(ingest.flatten_pages(landed)) == []
-    assert rows(ingest.rejected_pages(landed).select("reject_reason")) == [("http_status",)]
+    assert rows(ingest.rejected_records(ingest.page_records(landed)).select("reject_reason")) == [("http_status",)]
 
 
 def test_first_listing_keeps_the_earliest(spark):

@@ -73,61 +73,75 @@ def _open_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def _record_columns(record: Column) -> list[Column]:
-    def at(path: str) -> Column:
-        return variant_at(record, path)
-
-    return [
-        parse_token_id(stringify_or_null(at("$.tokenId"))).alias("token_id"),
-        first_truthy(at("$.metadata.name"), at("$.raw.metadata.name"), at("$.title")).alias("name"),
-        first_truthy(
-            at("$.metadata.description"), at("$.raw.metadata.description"), at("$.description")
-        ).alias("description"),
-        first_truthy(
-            at("$.metadata.image"), at("$.raw.metadata.image"), at("$.image.cachedUrl")
-        ).alias("image_url"),
-    ]
-
-
-def flatten_pages(pages: DataFrame) -> DataFrame:
-    """One base row per listed token with a usable id, plus its place in the listing.
+def page_records(pages: DataFrame) -> DataFrame:
+    """What became of every page and record, from one pass over the bodies.
 
-    Expects the columns of ``attach_collection``. Rejected pages yield no row; a fallback
+    Expects the columns of ``attach_collection``. A record of a good page is a row with its
+    token and texts, or with a ``reject_reason`` and its JSON as ``body``. A rejected page
+    is one row with its reason and body, an empty page one row with neither. A fallback
     text that is missing or not an object's member counts as absent.
     """
+    # A rejected page must yield its single row whatever it holds.
     usable = F.when(F.col("page_reject").isNull(), F.col("tokens"))
+    record = F.col("record")
+
+    def at(path: str) -> Column:
+        return variant_at(record, path)
+
+    reason = F.coalesce(
+        F.col("page_reject"),
+        F.when(F.col("record_no").isNotNull() & _fields(record, "tokenId").isNull(), "record_not_an_object"),
+        F.when(F.col("record_no").isNotNull() & F.col("token_id").isNull(), "token_id"),
+    )
+    rejected = F.col("reject_reason").isNotNull()
     return (
         _open_pages(pages)
-        .select(*_COLLECTION, "page_no", F.posexplode(usable).alias("record_no", "record"))
-        .select(*_COLLECTION, *_record_columns(F.col("record")), "page_no", "record_no")
-        .filter(F.col("token_id").isNotNull())
+        .select(
+            *_COLLECTION,
+            "page_no",
+            "page_reject",
+            F.when(F.col("page_reject").isNotNull(), F.col("body")).alias("page_body"),
+            F.posexplode_outer(usable).alias("record_no", "record"),
+        )
+        .select(
+            *_COLLECTION,
+            parse_token_id(stringify_or_null(at("$.tokenId"))).alias("token_id"),
+            first_truthy(at("$.metadata.name"), at("$.raw.metadata.name"), at("$.title")).alias("name"),
+            first_truthy(
+                at("$.metadata.description"), at("$.raw.metadata.description"), at("$.description")
+            ).alias("description"),
+            first_truthy(
+                at("$.metadata.image"), at("$.raw.metadata.image"), at("$.image.cachedUrl")
+            ).alias("image_url"),
+            "page_no",
+            "record_no",
+            "page_reject",
+            "page_body",
+            "record",
+        )
+        .withColumn("reject_reason", reason)
+        .withColumn("body", F.coalesce("page_body", F.when(rejected, F.to_json("record"))))
+        .drop("page_reject", "page_body", "record")
     )
 
 
-def rejected_pages(pages: DataFrame) -> DataFrame:
-    """Pages that could not be read, and single records of good pages without a usable id."""
-    opened = _open_pages(pages)
-    # A rejected page becomes one row with a NULL record number, a good page one per record.
-    records = F.when(F.col("page_reject").isNull(), F.col("tokens")).otherwise(F.array())
-    by_record = opened.select(
-        *_COLLECTION, "page_no", "body", "page_reject", F.posexplode_outer(records).alias("record_no", "record")
+def listed_tokens(records: DataFrame) -> DataFrame:
+    """The base rows among ``page_records``, with their place in the listing."""
+    return records.filter(F.col("token_id").isNotNull()).select(
+        *schemas.BASE.names, "page_no", "record_no"
     )
-    token = parse_token_id(stringify_or_null(variant_at(F.col("record"), "$.tokenId")))
-    reason = (
-        F.when(F.col("page_reject").isNotNull(), F.col("page_reject"))
-        .when(F.col("record_no").isNull(), F.lit(None))
-        .when(_fields(F.col("record"), "tokenId").isNull(), "record_not_an_object")
-        .when(token.isNull(), "token_id")
+
+
+def rejected_records(records: DataFrame) -> DataFrame:
+    """The rejected pages and records among ``page_records``."""
+    return records.filter(F.col("reject_reason").isNotNull()).select(
+        *_COLLECTION, "page_no", "record_no", "reject_reason", "body"
     )
-    return by_record.select(
-        *_COLLECTION,
-        "page_no",
-        "record_no",
-        reason.alias("reject_reason"),
-        F.when(F.col("record_no").isNull(), F.col("body"))
-        .otherwise(F.to_json("record"))
-        .alias("body"),
-    ).filter(F.col("reject_reason").isNotNull())
+
+
+def flatten_pages(pages: DataFrame) -> DataFrame:
+    """One base row per listed token with a usable id, plus its place in the listing."""
+    return listed_tokens(page_records(pages))
 
 
 def first_listing(listed: DataFrame) -> DataFrame:

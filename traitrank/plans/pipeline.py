@@ -80,13 +80,14 @@ class RarityPipeline:
 
         A collection without any good page stays pending.
         """
-        attached = ingest.attach_collection(pages, registry.pending(self.table("registry"), "base"))
-        # Staged: the status change below alters what counts as pending.
-        attached = Staging.of(pages).write(attached, "pages")
-        self._advance("base", attached, schemas.FETCHING)
-        listed = ingest.first_listing(ingest.flatten_pages(attached))
+        waiting = registry.pending(self.table("registry"), "base")
+        attached = ingest.attach_collection(pages, waiting)
+        # Staged: every page is opened once, and what waits changes with the status below.
+        records = Staging.of(pages).write(ingest.page_records(attached), "records")
+        self._advance("base", records, schemas.FETCHING)
+        listed = ingest.first_listing(ingest.listed_tokens(records))
         insert_missing(listed, self.names.full("base"), schemas.TOKEN_KEYS, schemas.PARTITION)
-        rejects = ingest.rejected_pages(attached).select(
+        rejects = ingest.rejected_records(records).select(
             "collection_id",
             F.lit("base").alias("stage"),
             F.concat_ws("/", "page_no", "record_no").alias("item"),
@@ -94,7 +95,8 @@ class RarityPipeline:
             "body",
         )
         self._quarantine(rejects)
-        self._advance("base", attached.filter("http_status = 200"), schemas.FETCHED)
+        answered = records.filter(~F.col("reject_reason").eqNullSafe("http_status"))
+        self._advance("base", answered, schemas.FETCHED)
 
     def ingest_metadata(self, documents: DataFrame) -> None:
         """Enrich the tokens of all collections that wait for it and have documents."""

@@ -340,7 +340,7 @@ def flatten_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = inputs.with_part_collection(inputs.part_pages(spark, sf_dir))
-    return ingest.rejected_pages(pages).select(
+    return ingest.rejected_records(ingest.page_records(pages)).select(
         "collection_id",
         "page_no",
         "reject_reason",

@@ -44,8 +44,13 @@ def page_chain(fetch: Fetch, contract: str) -> Iterator[PageRow]:
         page_no += 1
 
 
-def land_pages(contracts: DataFrame, fetch: Fetch) -> DataFrame:
-    """Pages of all ``contracts`` (contract_address), one chain per contract."""
+def land_pages(contracts: DataFrame, fetch: Fetch, tasks: int | None = None) -> DataFrame:
+    """Pages of all ``contracts`` (contract_address), one chain per contract.
+
+    The contracts are spread over ``tasks`` tasks, by default four per core: the work lies
+    in waiting for responses, which the size of the contract list does not show.
+    """
+    tasks = tasks or 4 * contracts.sparkSession.sparkContext.defaultParallelism
 
     def read(batches):
         import pandas as pd
@@ -55,8 +60,8 @@ def land_pages(contracts: DataFrame, fetch: Fetch) -> DataFrame:
                 for row in page_chain(fetch, contract):
                     yield pd.DataFrame([row], columns=PAGES.names)
 
-    distinct = contracts.select("contract_address").distinct()
-    return distinct.mapInPandas(read, PAGES.simpleString()[len("struct<") : -1].replace(":", " "))
+    spread = contracts.select("contract_address").distinct().repartition(tasks, "contract_address")
+    return spread.mapInPandas(read, PAGES.simpleString()[len("struct<") : -1].replace(":", " "))
 
 
 class _ContractPartition(InputPartition):
