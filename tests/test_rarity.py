@@ -127,6 +127,16 @@ def test_lookup_join_equals_join(spark, monkeypatch, how, bytes_allowed):
     assert rows(got) == rows(facts.join(keyed, ["k"], how))
 
 
+def test_cold_keys_are_shuffled_and_hot_keys_are_not(spark):
+    facts = spark.createDataFrame([(0 if i % 2 else i, i) for i in range(100)], "k int, i int")
+    counts = facts.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    got = joins.split_hot_join(facts, counts, ["k"], "n", 10)
+    assert rows(got.select("k", "i")) == rows(facts)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    initial = plan[plan.rfind("Initial Plan") :] if "Initial Plan" in plan else plan
+    assert (initial.count("SortMergeJoin"), initial.count("BroadcastHashJoin")) == (1, 2)
+
+
 def test_hot_keys_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(joins, "HOT_SHARE", 0.1)
     counts = spark.createDataFrame([(i, 50 if i < 3 else 1) for i in range(100)], "k int, n bigint")

@@ -2,11 +2,15 @@
 
 The small-looking side is measured before a plan is chosen:
 
-* within ``BROADCAST_BYTES`` it is broadcast and the many rows are not shuffled at all;
+* within ``BROADCAST_BYTES``, estimated from the rows and not from compressed files, it is
+  broadcast and the many rows are not shuffled at all;
 * beyond that, keys that carry a large share of the rows are split off and broadcast -
   there are at most ``1 / HOT_SHARE`` of them - and the rest is shuffled, where by
   construction no key is hot;
 * where the rows per key are not known, the key is salted instead.
+
+A side measured as too large is also kept from being broadcast on the strength of its file
+size, hence the merge hints.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 128 << 20
 # A key is hot from this share of the rows on; by arithmetic there are at most 1/share.
 HOT_SHARE = 1 / 1024
 SALTS = 32
@@ -87,7 +91,7 @@ def split_hot_join(
     cold = keyed.filter(F.col(weight) < hot_from)
     hot_keys = F.broadcast(hot.select(*keys))
     return rows.join(F.broadcast(hot), list(keys)).unionByName(
-        rows.join(hot_keys, list(keys), "left_anti").join(cold, list(keys))
+        rows.join(hot_keys, list(keys), "left_anti").join(cold.hint("merge"), list(keys))
     )
 
 
@@ -105,7 +109,7 @@ def salted_join(
     """
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts)).cast("int")
     repeated = keyed.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn(_SALT, salt).join(repeated, [*keys, _SALT], how).drop(_SALT)
+    return rows.withColumn(_SALT, salt).join(repeated.hint("merge"), [*keys, _SALT], how).drop(_SALT)
 
 
 def lookup_join(
@@ -133,7 +137,7 @@ def lookup_join(
     elif spread and not weight:
         joined = salted_join(rows, keyed, keys, spread, how)
     else:
-        joined = rows.join(keyed, list(keys), how)
+        joined = rows.join(keyed.hint("merge"), list(keys), how)
     added = [] if how in ("left_semi", "left_anti") else [c for c in keyed.columns if c not in keys]
     return joined.select(*rows.columns, *added)
 
