@@ -1,6 +1,7 @@
 """Registry, writes, audit, reports, pipeline and streams on small tables."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -264,6 +265,15 @@ def test_shared_folder_is_the_configured_one(spark):
     assert Staging(spark).folder.startswith(shared_folder(spark))
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host:7077"))
+
+
 def test_namespace(spark, database):
     before = spark.catalog.currentDatabase()
     use_namespace(spark, "spark_catalog", database)

@@ -10,13 +10,27 @@ from pyspark.sql import functions as F
 from traitrank.schemas import TOKEN_KEYS
 
 
-def distinct_tokens(df: DataFrame) -> DataFrame:
-    return df.select(*TOKEN_KEYS).distinct()
+def _presence(sides: dict[str, DataFrame]) -> DataFrame:
+    """Distinct tokens of all ``sides`` with a flag per side.
+
+    The tables are tagged and meet in one aggregation, whose first half runs before the
+    shuffle, so copies of a token are cheap and nothing is joined.
+    """
+    tagged = [
+        df.select(*TOKEN_KEYS, *[F.lit(side == tag).alias(tag) for tag in sides])
+        for side, df in sides.items()
+    ]
+    return (
+        reduce(DataFrame.unionByName, tagged)
+        .groupBy(*TOKEN_KEYS)
+        .agg(*[F.bool_or(tag).alias(tag) for tag in sides])
+    )
 
 
 def only_in(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct tokens of ``left`` that ``right`` lacks. Copies are merged before the join."""
-    return distinct_tokens(left).subtract(distinct_tokens(right))
+    """Distinct tokens of ``left`` that ``right`` lacks, as EXCEPT gives them."""
+    both = _presence({"left": left, "right": right})
+    return both.filter(F.col("left") & ~F.col("right")).select(*TOKEN_KEYS)
 
 
 def token_counts(**tables: DataFrame) -> DataFrame:
@@ -36,21 +50,11 @@ def token_counts(**tables: DataFrame) -> DataFrame:
 def audit_tokens(base: DataFrame, rarity: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
     """One row per collection: distinct tokens on either side and on one side only.
 
-    With ``metadata`` it also counts listed tokens that were never enriched. All tables
-    are tagged and meet in one aggregation per token, so no join is needed.
+    With ``metadata`` it also counts listed tokens that were never enriched.
     """
     sides = {"base": base, "rarity": rarity}
     if metadata is not None:
         sides["metadata"] = metadata
-    tagged = [
-        df.select(*TOKEN_KEYS, *[F.lit(side == tag).alias(tag) for tag in sides])
-        for side, df in sides.items()
-    ]
-    per_token = (
-        reduce(DataFrame.unionByName, tagged)
-        .groupBy(*TOKEN_KEYS)
-        .agg(*[F.bool_or(tag).alias(tag) for tag in sides])
-    )
     measures = {
         "n_base": F.col("base"),
         "n_rarity": F.col("rarity"),
@@ -59,6 +63,6 @@ def audit_tokens(base: DataFrame, rarity: DataFrame, metadata: DataFrame | None
     }
     if metadata is not None:
         measures["n_without_metadata"] = F.col("base") & ~F.col("metadata")
-    return per_token.groupBy("collection_id").agg(
+    return _presence(sides).groupBy("collection_id").agg(
         *[F.count_if(test).alias(name) for name, test in measures.items()]
     )

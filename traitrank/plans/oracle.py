@@ -113,7 +113,7 @@ _ORACLE = {
     " SELECT * FROM ranked",
     "trait_frequency": f"{_PART} SELECT * FROM freq",
     "trait_totals": f"{_PART} SELECT * FROM totals",
-    "trait_scores": f"{_PART} SELECT * FROM scores",
+    "trait_scores_join": f"{_PART} SELECT * FROM scores",
     "trait_scores_salted": f"{_PART} SELECT * FROM scores",
     "token_scores": f"{_PART} SELECT * FROM summed",
     "token_scores_split": f"{_PART} SELECT * FROM summed",
@@ -160,22 +160,22 @@ _ORACLE = {
         UNION ALL SELECT 'rarity', count(*), count(DISTINCT (collection_id, token_id)) FROM ({_LINE_RARITY})""",
     "unlabelled_documents": """SELECT 'documents' AS collection_id, CAST(doc_id AS VARCHAR) AS token_id
         FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
-    "parse_token_ids": """SELECT o_orderkey, CASE
+    "parse_token_id": """SELECT o_orderkey, CASE
         WHEN o_orderpriority = '1-URGENT' THEN CAST(o_orderkey AS VARCHAR)
         WHEN o_orderpriority = '2-HIGH'
             THEN CAST(CAST(o_orderkey AS HUGEINT) * 1208925819614629174706176 AS VARCHAR)
         WHEN o_orderpriority = '3-MEDIUM' THEN CAST(-o_orderkey AS VARCHAR)
         WHEN o_orderstatus NOT IN ('F', 'O') THEN CAST(o_orderkey AS VARCHAR) END AS token_id FROM orders""",
-    "first_truthy_text": """SELECT p_partkey,
+    "first_truthy": """SELECT p_partkey,
         CASE WHEN p_size <= 10 THEN '["' || p_name || '"]' WHEN p_size <= 30 THEN CAST(p_size AS VARCHAR)
              WHEN p_size <= 40 THEN 'True' ELSE '' END AS name,
         CASE WHEN p_size <= 10 THEN p_name ELSE p_brand END AS plain_name FROM part""",
-    "stringify_values": """SELECT p_partkey, CASE
+    "stringify_or_null": """SELECT p_partkey, CASE
         WHEN p_size BETWEEN 6 AND 10 THEN '0' WHEN p_size BETWEEN 16 AND 20 THEN 'True'
         WHEN p_size BETWEEN 21 AND 25 THEN p_size || '.5' WHEN p_size BETWEEN 26 AND 30 THEN p_size || '00.0'
         WHEN p_size BETWEEN 36 AND 40 THEN '[1,' || p_size || ']' WHEN p_size > 45 THEN p_name
         END AS trait_value FROM part""",
-    "collection_names": f"SELECT s_suppkey, {_LABEL} AS collection_name FROM supplier",
+    "collection_name": f"SELECT s_suppkey, {_LABEL} AS collection_name FROM supplier",
     "flatten_pages": f"""SELECT p_type AS collection_id, p_type AS collection_name, p_type AS contract_address,
         CAST(p_partkey AS VARCHAR) AS token_id, {_LISTED_NAME},
         CASE WHEN p_size <= 20 THEN p_brand ELSE p_type END AS description,
@@ -203,7 +203,7 @@ _ORACLE = {
              WHEN 'Brand#9' THEN 'unparsable' WHEN 'Brand#10' THEN 'raw_not_an_object'
              WHEN 'Brand#11' THEN 'metadata_not_an_object' WHEN 'Brand#12' THEN 'attributes_not_an_array'
         END AS reject_reason FROM part WHERE p_brand IN {_BAD_BRANDS}""",
-    "paged_listing": f"""SELECT p_type AS collection_id, CAST(p_partkey AS VARCHAR) AS token_id,
+    "paged_source": f"""SELECT p_type AS collection_id, CAST(p_partkey AS VARCHAR) AS token_id,
         {_LISTED_NAME} {_LISTED_PART}""",
     "register_collections": f"""WITH {_REGISTRY} SELECT {_NEW_IDS}, {_LABEL} AS collection_name,
         s_name AS contract_address, 'NOT_FETCHED' AS status FROM supplier WHERE s_nationkey >= 12""",

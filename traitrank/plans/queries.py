@@ -30,7 +30,8 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _query(build: Query) -> Query:
-    _QUERIES[build.__name__] = build
+    """Registers ``build`` under its name; ``query_`` in front keeps it apart from an operator."""
+    _QUERIES[build.__name__.removeprefix("query_")] = build
     return build
 
 
@@ -98,7 +99,7 @@ def trait_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def trait_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trait_scores_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rarity.trait_scores(_staged_frequency(spark, sf_dir))
 
 
@@ -257,7 +258,7 @@ def unlabelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def parse_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_parse_token_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     decimal, digits = key.cast("string"), F.lower(F.hex(key))
     raw = (
@@ -274,7 +275,7 @@ def parse_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def first_truthy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_first_truthy(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
     record = F.try_parse_json(
         F.concat(
@@ -301,7 +302,7 @@ def first_truthy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def stringify_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_stringify_or_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
     value = (
         F.when(size <= 5, "0")
@@ -322,7 +323,7 @@ def stringify_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def collection_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+def collection_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.read(spark, sf_dir, "supplier").select(
         "s_suppkey", collection_label(F.col("s_name")).alias("collection_name")
     )
@@ -402,7 +403,7 @@ def quarantine_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def paged_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages landed as files, read back through the paged data source and flattened."""
     root = Staging(spark).path("landed")
     pages = inputs.part_pages(spark, sf_dir).select("contract_address", "page_no", "body")
