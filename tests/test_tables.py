@@ -256,6 +256,11 @@ def test_streams_pick_up_new_files_only(spark, database):
     drain()
     assert rows(pipeline.table("base").select("token_id")) == [("1",), ("2",), ("3",), ("4",)]
     assert rows(pipeline.table("metadata").select("token_id")) == [("1",), ("2",), ("3",)]
+    assert rows(pipeline.table("rejects").select("stage", "item", "reject_reason")) == [
+        ("base", "0", "http_status"),
+        ("base", "1/2", "token_id"),
+        ("metadata", "4", "unparsable"),
+    ]
     pipeline.rank()
     assert rows(pipeline.table("rarity").select(*schemas.RARITY.names)) == RANKED
 

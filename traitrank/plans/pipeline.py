@@ -14,14 +14,8 @@ from traitrank import schemas
 from traitrank.operators import ingest, registry
 from traitrank.operators.joins import restrict
 from traitrank.operators.rarity import trait_rarity
-from traitrank.operators.upsert import (
-    append,
-    create_table,
-    drop_table,
-    insert_missing,
-    merge_update,
-    merge_upsert,
-)
+from traitrank.operators.store import store_documents, store_records
+from traitrank.operators.upsert import append, create_table, drop_table, merge_update, merge_upsert
 from traitrank.sources.staging import Staging
 from traitrank.sources.tables import fresh_table
 
@@ -85,16 +79,7 @@ class RarityPipeline:
         # Staged: every page is opened once, and what waits changes with the status below.
         records = Staging.of(pages).write(ingest.page_records(attached), "records")
         self._advance("base", records, schemas.FETCHING)
-        listed = ingest.first_listing(ingest.listed_tokens(records))
-        insert_missing(listed, self.names.full("base"), schemas.TOKEN_KEYS, schemas.PARTITION)
-        rejects = ingest.rejected_records(records).select(
-            "collection_id",
-            F.lit("base").alias("stage"),
-            F.concat_ws("/", "page_no", "record_no").alias("item"),
-            "reject_reason",
-            "body",
-        )
-        self._quarantine(rejects)
+        store_records(records, self.names)
         answered = records.filter(~F.col("reject_reason").eqNullSafe("http_status"))
         self._advance("base", answered, schemas.FETCHED)
 
@@ -108,15 +93,7 @@ class RarityPipeline:
         )
         joined = Staging.of(documents).write(ingest.join_documents(tokens, documents), "documents")
         self._advance("metadata", joined, schemas.METADATA_FETCHING)
-        append(ingest.flatten_metadata(joined), self.names.full("metadata"), schemas.PARTITION)
-        rejects = ingest.rejected_documents(joined).select(
-            "collection_id",
-            F.lit("metadata").alias("stage"),
-            F.col("token_id").alias("item"),
-            "reject_reason",
-            "body",
-        )
-        self._quarantine(rejects)
+        store_documents(joined, self.names)
         self._advance("metadata", joined.filter("http_status = 200"), schemas.METADATA_FETCHED)
 
     def rank(self, collection_ids: DataFrame | None = None) -> None:
@@ -141,9 +118,3 @@ class RarityPipeline:
 
     def _of(self, df: DataFrame, collection_ids: DataFrame) -> DataFrame:
         return restrict(df, collection_ids, "collection_id", ["token_id"])
-
-    def _quarantine(self, rejects: DataFrame) -> None:
-        keys = ["collection_id", "stage", "item", "reject_reason"]
-        insert_missing(
-            rejects.dropDuplicates(keys), self.names.full("rejects"), keys, schemas.PARTITION
-        )

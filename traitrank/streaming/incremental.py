@@ -13,16 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from traitrank import schemas
-from traitrank.operators.ingest import (
-    attach_collection,
-    first_listing,
-    flatten_metadata,
-    flatten_pages,
-    join_documents,
-)
+from traitrank.operators.ingest import attach_collection, join_documents, page_records
 from traitrank.operators.joins import restrict
 from traitrank.operators.registry import collections_of
-from traitrank.operators.upsert import absent, append, insert_missing, merge_upsert, touched_rows
+from traitrank.operators.store import store_documents, store_records
+from traitrank.operators.upsert import absent, merge_upsert, touched_rows
 from traitrank.sources.staging import Staging
 from traitrank.sources.tables import fresh_table
 
@@ -64,8 +59,8 @@ def drain_pages(pages: DataFrame, names: schemas.TableNames, checkpoint: str) ->
 
     def handle(batch: DataFrame) -> None:
         registry = fresh_table(batch.sparkSession, names.full("registry"))
-        listed = first_listing(flatten_pages(attach_collection(batch, registry)))
-        insert_missing(listed, names.full("base"), schemas.TOKEN_KEYS, schemas.PARTITION)
+        records = page_records(attach_collection(batch, registry))
+        store_records(Staging.of(batch).write(records, "records"), names)
 
     drain(pages, checkpoint, handle)
     pages.sparkSession.catalog.refreshTable(names.full("base"))
@@ -79,11 +74,10 @@ def drain_documents(documents: DataFrame, names: schemas.TableNames, checkpoint:
         # Only the partitions of the contracts in the batch are read.
         ids = collections_of(fresh_table(spark, names.full("registry")), batch)
         base = restrict(fresh_table(spark, names.full("base")), ids, schemas.PARTITION, ["token_id"])
-        joined = Staging.of(batch).write(join_documents(base, batch), "documents")
-        table = names.full("metadata")
-        known = touched_rows(fresh_table(spark, table), joined, schemas.TOKEN_KEYS, schemas.PARTITION)
-        fresh = absent(joined, known, schemas.TOKEN_KEYS)
-        append(flatten_metadata(fresh), table, schemas.PARTITION)
+        joined = Staging.of(batch).write(join_documents(base, batch), "joined")
+        metadata = fresh_table(spark, names.full("metadata"))
+        known = touched_rows(metadata, joined, schemas.TOKEN_KEYS, schemas.PARTITION)
+        store_documents(absent(joined, known, schemas.TOKEN_KEYS), names)
 
     drain(documents, checkpoint, handle)
     documents.sparkSession.catalog.refreshTable(names.full("metadata"))
