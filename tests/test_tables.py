@@ -1,4 +1,4 @@
-"""Registry, writes, audit, reports, pipeline and streams on small tables."""
+"""Registry, writes, audit, reports, whole runs and streams on small tables."""
 
 import json
 from types import SimpleNamespace
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from traitrank import schemas
 from traitrank.operators import audit, joins, ordering, registry, reports, upsert
-from traitrank.plans.pipeline import RarityPipeline
+from traitrank.plans.rarity_run import RarityRun
 from traitrank.sources.staging import Staging, shared_folder
 from traitrank.sources.tables import read_table, use_namespace
 from traitrank.streaming import incremental
@@ -208,61 +208,61 @@ def landed(spark):
 RANKED = [("1", "1", 200, 3), ("1", "2", 200, 4), ("1", "3", 50, 2), ("1", "4", 0, 1)]
 
 
-def test_pipeline_runs_twice(spark, database):
-    pipeline = RarityPipeline(spark, schemas.TableNames(prefix=database))
+def test_everything_runs_twice(spark, database):
+    run = RarityRun(spark, schemas.TableNames(prefix=database))
     pages, docs = landed(spark)
     contracts = spark.createDataFrame(CONTRACTS, "contract_address string, ordinal int")
     for _ in range(2):
-        pipeline.run(contracts, pages, docs)
-        ranked = pipeline.table("rarity").select(*schemas.RARITY.names)
+        run.run(contracts, pages, docs)
+        ranked = run.table("rarity").select(*schemas.RARITY.names)
         assert rows(ranked) == RANKED
         # The second contract had no good page and waits for the next run.
-        assert rows(pipeline.table("registry")) == [
+        assert rows(run.table("registry")) == [
             (1, "collection_0xaaaaaa", "0xAAAAAAAA01", "METADATA_FETCHED"),
             (2, "collection_0xbbbbbb", "0xBBBBBBBB02", "FETCHING"),
         ]
-        assert rows(pipeline.table("rejects").select("collection_id", "stage", "item", "reject_reason")) == [
+        assert rows(run.table("rejects").select("collection_id", "stage", "item", "reject_reason")) == [
             ("1", "base", "1/2", "token_id"),
             ("1", "metadata", "4", "unparsable"),
             ("2", "base", "0", "http_status"),
         ]
-    assert pipeline.table("base").count() == 4 and pipeline.table("metadata").count() == 3
-    pipeline.reset()
+    assert run.table("base").count() == 4 and run.table("metadata").count() == 3
+    run.reset()
     assert not spark.catalog.tableExists(f"{database}.nft_base_table")
 
 
 def test_streams_pick_up_new_files_only(spark, database):
-    pipeline = RarityPipeline(spark, schemas.TableNames(prefix=database))
-    pipeline.create_tables()
-    pipeline.register(spark.createDataFrame(CONTRACTS, "contract_address string, ordinal int"))
+    run = RarityRun(spark, schemas.TableNames(prefix=database))
+    run.create_tables()
+    run.register(spark.createDataFrame(CONTRACTS, "contract_address string, ordinal int"))
     pages, docs = landed(spark)
     staging = Staging(spark)
     paths = {k: staging.path(k) for k in ("pages", "docs", "pages_seen", "docs_seen")}
 
     def drain():
         stream = incremental.file_stream(spark, paths["pages"], schemas.PAGES, files_per_batch=1)
-        incremental.drain_pages(stream, pipeline.names, paths["pages_seen"])
+        incremental.drain_pages(stream, run.names, paths["pages_seen"])
         stream = incremental.file_stream(spark, paths["docs"], schemas.DOCUMENTS, files_per_batch=1)
-        incremental.drain_documents(stream, pipeline.names, paths["docs_seen"])
+        incremental.drain_documents(stream, run.names, paths["docs_seen"])
 
     pages.filter("page_no = 0").coalesce(1).write.json(paths["pages"])
     docs.filter("token_id = '1'").coalesce(1).write.json(paths["docs"])
     drain()
-    assert rows(pipeline.table("base").select("token_id")) == [("1",), ("2",), ("3",)]
-    assert rows(pipeline.table("metadata").select("token_id")) == [("1",)]
+    assert rows(run.table("base").select("token_id")) == [("1",), ("2",), ("3",)]
+    assert rows(run.table("metadata").select("token_id")) == [("1",)]
     pages.coalesce(1).write.mode("append").json(paths["pages"])
     docs.repartition(2).write.mode("append").json(paths["docs"])
     drain()
     drain()
-    assert rows(pipeline.table("base").select("token_id")) == [("1",), ("2",), ("3",), ("4",)]
-    assert rows(pipeline.table("metadata").select("token_id")) == [("1",), ("2",), ("3",)]
-    assert rows(pipeline.table("rejects").select("stage", "item", "reject_reason")) == [
+    assert rows(run.table("base").select("token_id")) == [("1",), ("2",), ("3",), ("4",)]
+    assert rows(run.table("metadata").select("token_id")) == [("1",), ("2",), ("3",)]
+    assert rows(run.table("rejects").select("stage", "item", "reject_reason")) == [
         ("base", "0", "http_status"),
         ("base", "1/2", "token_id"),
         ("metadata", "4", "unparsable"),
     ]
-    pipeline.rank()
-    assert rows(pipeline.table("rarity").select(*schemas.RARITY.names)) == RANKED
+    run.rank()
+    assert rows(run.table("rarity").select(*schemas.RARITY.names)) == RANKED
 
 
 def test_shared_folder_is_the_configured_one(spark):

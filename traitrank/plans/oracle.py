@@ -226,7 +226,7 @@ _ORACLE = {
     "schema_evolving_append": """SELECT p_partkey, p_name, CAST(NULL AS INTEGER) AS p_size,
             p_type AS collection_id FROM part
         UNION ALL SELECT p_partkey, NULL, p_size, p_type FROM part""",
-    "pipeline_end_to_end": f"""WITH contracts AS (SELECT p_type AS contract_address,
+    "end_to_end_run": f"""WITH contracts AS (SELECT p_type AS contract_address,
             CAST(row_number() OVER (ORDER BY min(p_partkey)) AS VARCHAR) AS id FROM part GROUP BY p_type),
         {rarity_sql(
             f"SELECT collection_id, token_id, trait_type, trait_value FROM ({_PART_DOCUMENT_TRAITS})",

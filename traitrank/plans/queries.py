@@ -20,7 +20,7 @@ from traitrank.functions import (
 )
 from traitrank.operators import audit, ingest, joins, ordering, rarity, registry, reports, upsert
 from traitrank.plans import inputs
-from traitrank.plans.pipeline import RarityPipeline
+from traitrank.plans.rarity_run import RarityRun
 from traitrank.sources.paged import folder_fetch, paged_source
 from traitrank.sources.staging import Staging
 from traitrank.streaming import incremental
@@ -525,15 +525,15 @@ def schema_evolving_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pipeline = RarityPipeline(spark, schemas.TableNames(prefix=scratch_database(spark)))
-    pipeline.run(
+def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = RarityRun(spark, schemas.TableNames(prefix=scratch_database(spark)))
+    run.run(
         inputs.part_contracts(spark, sf_dir),
         inputs.part_pages(spark, sf_dir),
         inputs.part_documents(spark, sf_dir),
     )
-    return pipeline.table("rarity").join(
-        pipeline.table("registry").select(
+    return run.table("rarity").join(
+        run.table("registry").select(
             F.col("id").cast("string").alias("collection_id"), "contract_address", "status"
         ),
         "collection_id",
@@ -564,21 +564,20 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and documents landed as JSON files, drained into base and metadata tables."""
-    pipeline = RarityPipeline(spark, schemas.TableNames(prefix=scratch_database(spark)))
-    pipeline.create_tables()
-    pipeline.register(inputs.part_contracts(spark, sf_dir))
+    run = RarityRun(spark, schemas.TableNames(prefix=scratch_database(spark)))
+    run.create_tables()
+    run.register(inputs.part_contracts(spark, sf_dir))
     staging = Staging(spark)
     pages, documents = staging.path("pages"), staging.path("documents")
     inputs.part_pages(spark, sf_dir).write.json(pages)
     inputs.part_documents(spark, sf_dir).write.json(documents)
     incremental.drain_pages(
-        incremental.file_stream(spark, pages, schemas.PAGES), pipeline.names, staging.path("stream")
+        incremental.file_stream(spark, pages, schemas.PAGES), run.names, staging.path("stream")
     )
     incremental.drain_documents(
         incremental.file_stream(spark, documents, schemas.DOCUMENTS),
-        pipeline.names,
+        run.names,
         staging.path("stream"),
     )
-    return audit.audit_tokens(
-        pipeline.table("base"), pipeline.table("base"), pipeline.table("metadata")
-    )
+    run.rank()
+    return audit.audit_tokens(run.table("base"), run.table("rarity"), run.table("metadata"))

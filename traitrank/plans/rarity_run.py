@@ -20,7 +20,7 @@ from traitrank.sources.staging import Staging
 from traitrank.sources.tables import fresh_table
 
 
-class RarityPipeline:
+class RarityRun:
     """Binds the stages to a session and a set of tables.
 
     ``location`` places the table files; by default they go to the session's warehouse.
