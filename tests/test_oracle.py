@@ -3,7 +3,9 @@
 import pytest
 from comparing import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from traitrank.plans.oracle import all_oracles
+from traitrank.plans.queries import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,12 +16,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, duck, name):
-    assert compare(queries()[name](spark, SF_DIR), duck, oracle_sql()[name]) is None
+    assert compare(all_queries()[name](spark, SF_DIR), duck, all_oracles()[name]) is None
 
 
 def test_entry(spark):
