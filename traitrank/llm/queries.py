@@ -7,12 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitrank.llm import simhash
+from traitrank.llm import fingerprints, line_dedup, mixing, simhash
 from traitrank.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return fingerprints.compare_with_neighbours(table(spark, sf_dir, "documents"))
+
+
+def op4_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shown text of every page without the lines that stand on too many pages of its host."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id",
+        line_dedup.url_host(F.col("url")).alias("host"),
+        line_dedup.html_text(F.col("html")).alias("text"),
+    )
+    return line_dedup.drop_boilerplate(pages, text="text", host="host", counts=("n_lines", "n_dropped"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, and the target of its source."""
+    plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
+    rows = plan.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
+    taken = mixing.own_share("nth", "copies", "m") * F.col("size")
+    return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of near copies of every document."""
     classes = simhash.simhash_classes(table(spark, sf_dir, "documents"))
@@ -21,9 +44,14 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_spotsigs": op1_spotsigs,
+        "op4_site_lines": op4_site_lines,
+        "op5_mixing": op5_mixing,
         "op6_simhash": op6_simhash,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op4_site_lines": line_dedup.ORACLE,
+    }
