@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitrank.llm import fingerprints, line_dedup, mixing, simhash
-from traitrank.llm.common import table
+from traitrank.llm import fingerprints, line_dedup, mixing, quality, simhash, toxicity
+from traitrank.llm.common import crc_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,17 @@ def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by a model that never saw a fifth of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(crc_remainder("doc_id", 5) != 0))
+    scored = docs.select(
+        "doc_id", (crc_remainder("doc_id", 5) == 0).alias("held_out"),
+        toxicity.toxicity_score(spark, model, F.col("text")).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op4_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shown text of every page without the lines that stand on too many pages of its host."""
     pages = table(spark, sf_dir, "pages").select(
@@ -42,12 +53,25 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by neighbours among two thirds of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.filter(crc_remainder("doc_id", 3) != 1))
+    scored = docs.select(
+        "doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"),
+        quality.quality_score(spark, model, F.col("text")).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_spotsigs": op1_spotsigs,
+        "op2_toxicity": op2_toxicity,
         "op4_site_lines": op4_site_lines,
         "op5_mixing": op5_mixing,
         "op6_simhash": op6_simhash,
+        "op10_quality": op10_quality,
     }
 
 
