@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitrank.llm import fingerprints, line_dedup, mixing, quality, simhash, toxicity
+from traitrank.llm import fingerprints, line_dedup, mixing, packing, quality, simhash, toxicity
 from traitrank.llm.common import crc_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every token of every document lies in windows of 1024."""
+    return packing.pack_by_retrieval(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document by neighbours among two thirds of the labels."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -71,6 +76,7 @@ def llm_queries() -> dict[str, Query]:
         "op4_site_lines": op4_site_lines,
         "op5_mixing": op5_mixing,
         "op6_simhash": op6_simhash,
+        "op9_packing": op9_packing,
         "op10_quality": op10_quality,
     }
 
