@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from traitrank.sources.staging import Staging
 
 
+def spanning_forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest position reachable from each of n positions over the links (i, j)."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        np.minimum.at(label, i, label[j])
+        np.minimum.at(label, j, label[i])
+        label = label[label]
+        if np.array_equal(label, before):
+            return label
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above a node is tied to the smallest of the node's neighbourhood."""
     near = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(

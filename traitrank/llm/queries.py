@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitrank.llm import fingerprints, line_dedup, mixing, packing, quality, simhash, toxicity
+from traitrank.llm import embedding_dedup, fingerprints, line_dedup, mixing, packing, quality, simhash, toxicity, warc
 from traitrank.llm.common import crc_remainder, table
+from traitrank.sources.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +54,21 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written into WARC archives and read back from them."""
+    staging = Staging(spark)
+    folder = staging.path("archive")
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder, staging)
+    return warc.read_archives(manifest, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and class of every vector among those of its label."""
+    return embedding_dedup.vector_classes(table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every token of every document lies in windows of 1024."""
     return packing.pack_by_retrieval(table(spark, sf_dir, "documents"))
@@ -76,6 +92,8 @@ def llm_queries() -> dict[str, Query]:
         "op4_site_lines": op4_site_lines,
         "op5_mixing": op5_mixing,
         "op6_simhash": op6_simhash,
+        "op7_warc": op7_warc,
+        "op8_embeddings": op8_embeddings,
         "op9_packing": op9_packing,
         "op10_quality": op10_quality,
     }

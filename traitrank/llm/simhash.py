@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traitrank.llm.common import shuffle_partitions, without
-from traitrank.llm.components import components
+from traitrank.llm.components import components, spanning_forest
 from traitrank.sources.staging import Staging
 
 SHINGLE = 3
@@ -137,18 +137,6 @@ def _expand(x: np.ndarray, y: np.ndarray, fan: int, nx: int, ny: int):
     return i[real], j[real], parent[real]
 
 
-def spanning_forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest position reachable from each of n positions over the links (i, j)."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        np.minimum.at(label, i, label[j])
-        np.minimum.at(label, j, label[i])
-        label = label[label]
-        if np.array_equal(label, before):
-            return label
-
-
 def _forest_edges(nodes: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     label = spanning_forest(len(nodes), i, j)
     tied = np.flatnonzero(label != np.arange(len(nodes)))
