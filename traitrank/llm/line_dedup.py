@@ -20,7 +20,7 @@ MAX_RATIO = 0.1
 MIN_PAGES = 10
 
 # Parts of a page that are not shown, and tags that end a line; fixed by HTML.
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<head\b.*?</head>"
+HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script>|style\b.*?</style>|head\b.*?</head>)"
 BREAKS = (
     r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|hr|tr|td|th|table|article|section|nav|header|footer"
     r"|main|aside|body|html|title|blockquote|pre)\b[^>]*>"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitrank.llm import embedding_dedup, fingerprints, line_dedup, mixing, packing, quality, simhash, toxicity, warc
+from traitrank.llm import embedding_dedup, fingerprints, line_dedup, mixing, packing, quality, quotations, simhash, toxicity, warc
 from traitrank.llm.common import crc_remainder, table
 from traitrank.sources.staging import Staging
 
@@ -30,6 +30,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op3_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without its quotations, and its place in reply order."""
+    return quotations.reply_order(table(spark, sf_dir, "conversations"))
+
+
 def op4_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shown text of every page without the lines that stand on too many pages of its host."""
     pages = table(spark, sf_dir, "pages").select(
@@ -89,6 +94,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_spotsigs": op1_spotsigs,
         "op2_toxicity": op2_toxicity,
+        "op3_quotations": op3_quotations,
         "op4_site_lines": op4_site_lines,
         "op5_mixing": op5_mixing,
         "op6_simhash": op6_simhash,
@@ -101,5 +107,6 @@ def llm_queries() -> dict[str, Query]:
 
 def llm_oracles() -> dict[str, str]:
     return {
+        "op3_quotations": quotations.ORACLE,
         "op4_site_lines": line_dedup.ORACLE,
     }
