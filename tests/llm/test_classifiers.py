@@ -67,6 +67,36 @@ def test_pooling_in_stretches_equals_whole(monkeypatch):
     assert np.allclose(model.pooled(padded), whole)
 
 
+def test_texts_side_by_side_pool_like_one_by_one():
+    model = toxicity.Model.new()
+    texts = [[], [b"a"], [b"the", b"word", b"and"] * 40, [], [b"und", b"kein" * 20], []]
+    pooled, votes = model.pooled_texts(texts)
+    for words, row, vote in zip(texts, pooled, votes):
+        rows, told = toxicity.hashed(words)
+        assert np.allclose(model.pooled(toxicity._padded(model.table[rows].mean(axis=1))), row, atol=1e-5)
+        assert (told.sum(axis=0) == vote).all()
+
+
+def test_long_texts_in_stretches_score_alike(monkeypatch):
+    import pyarrow as pa
+
+    model = toxicity.Model.new()
+    batch = pa.array(["the und le " * 30 + "x", None, "one", " ".join(f"w{i}" for i in range(77))])
+
+    def pooled():
+        maxima, told = {}, {}
+        for places, texts in toxicity._blocks(batch):
+            for n, row, vote in zip(places, *model.pooled_texts(texts, toxicity._AT_ONCE)):
+                maxima[n] = np.maximum(maxima.get(n, 0), row)
+                told[n] = told.get(n, 0) + vote
+        return maxima, told
+
+    whole, votes = pooled()
+    monkeypatch.setattr(toxicity, "_AT_ONCE", 13)
+    again, counted = pooled()
+    assert all(np.allclose(whole[n], again[n], atol=1e-5) and (votes[n] == counted[n]).all() for n in range(4))
+
+
 def test_votes_equal_plain_loop():
     rng = np.random.default_rng(1)
     unit = rng.normal(size=(80, 6)).astype(np.float32)

@@ -10,7 +10,6 @@ language, which is told from the function words of the text, and shifted to a sc
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,7 +33,8 @@ LEAST_STEPS = 300
 BATCH = 32
 # Share of the words that a training text loses at random, so that no single word decides.
 DROPOUT = 0.2
-_CACHED = 200_000
+# Words agree if so many bytes of them do.
+WORD_BYTES = 24
 _AT_ONCE = 1 << 16
 _GAP = max(WIDTHS) - 1
 
@@ -49,32 +49,42 @@ LANGUAGES = {
     "fr": "le la les et est que un une pour dans qui pas sur au il elle de",
     "es": "el los las la de y en por con para del se que lo como más su no al un una",
 }
-_TELLING: dict[bytes, list[int]] = {}
-for _n, _words in enumerate(LANGUAGES.values()):
-    for _word in _words.split():
-        _TELLING.setdefault(_word.encode(), []).append(_n)
+_FACTORS = np.random.default_rng(20).integers(1, 1 << 63, WORD_BYTES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Words:
-    """Numbers words as they come and keeps their hashed rows and language votes."""
+def words_of(text: bytes) -> list[bytes]:
+    return text.translate(_FOLD).split()
 
-    def __init__(self):
-        self.clear()
 
-    def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.rows: list[list[int]] = []
-        self.votes: list[list[int]] = []
+def _sums(words: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hash sums of the beginnings of each word, and of the words themselves."""
+    signs = np.array(words, dtype=f"S{WORD_BYTES}").view(np.uint8).reshape(len(words), WORD_BYTES)
+    total, stems = np.zeros(len(words), np.uint64), []
+    for k in range(WORD_BYTES):
+        total = total + signs[:, k] * _FACTORS[k]
+        if k + 1 in STEMS:
+            stems.append(total + np.uint64((k + 1) * int(_MIX) % (1 << 64)))
+    return stems, total
 
-    def of(self, text: bytes) -> np.ndarray:
-        number = self.number
-        words = text.translate(_FOLD).split()
-        for word in set(words).difference(number):
-            number[word] = len(number)
-            parts = [word, *(b"<" + word[:k] for k in STEMS)]
-            self.rows.append([zlib.crc32(p) % BUCKETS for p in parts])
-            self.votes.append([1 if n in _TELLING.get(word, ()) else 0 for n in range(len(LANGUAGES))])
-        return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+
+def hashed(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the embedding table per word (words x parts), and its votes for each language."""
+    stems, whole = _sums(words)
+    rows = np.stack([((h ^ (h >> np.uint64(29))) * _MIX) >> np.uint64(50) for h in [whole, *stems]], axis=1)
+    at = np.minimum(np.searchsorted(_TOLD, whole), len(_TOLD) - 1)
+    return rows.astype("<u2"), _VOTES[at] * (_TOLD[at] == whole)[:, None]
+
+
+def _telling() -> tuple[np.ndarray, np.ndarray]:
+    lists = [set(words.encode().split()) for words in LANGUAGES.values()]
+    words = sorted(set().union(*lists))
+    sums = _sums(words)[1]
+    order = np.argsort(sums)
+    return sums[order], np.array([[w in of for of in lists] for w in words], np.int64)[order]
+
+
+_TOLD, _VOTES = _telling()
 
 
 @dataclass
@@ -121,6 +131,39 @@ class Model:
             place.append(at)
         return (np.concatenate(best), place) if where else np.concatenate(best)
 
+    def pooled_texts(self, texts: list[list[bytes]], most: int = _AT_ONCE) -> tuple[np.ndarray, np.ndarray]:
+        """Maxima (texts x filters) and language votes of texts given as words, side by side.
+
+        Words beyond the first ``most`` of a text are only looked at by filters that begin before.
+        """
+        counts = np.array([len(t) for t in texts])
+        best = np.zeros((len(texts), len(WIDTHS) * FILTERS), np.float32)
+        votes = np.zeros((len(texts), len(LANGUAGES)), np.int64)
+        filled = np.flatnonzero(counts)
+        if not len(filled):
+            return best, votes
+        rows, told = hashed([w for t in texts for w in t])
+        starts = (np.cumsum(counts) - counts)[filled]
+        own = np.minimum(counts[filled], most)
+        votes[filled] = np.add.reduceat(told, np.stack([starts, starts + own], axis=1).ravel()[: -1 if own[-1] == counts[filled][-1] else None])[::2]
+        # Texts stand apart by the gap, so no filter sees two of them.
+        apart = starts + _GAP * np.arange(len(filled))
+        place = np.repeat(apart - starts, counts[filled]) + np.arange(len(rows))
+        embedded = np.zeros((len(rows) + _GAP * (len(filled) + 1), DIMS), np.float32)
+        for part in range(rows.shape[1]):
+            embedded[place] += self.table[rows[:, part]]
+        embedded /= rows.shape[1]
+        n = len(embedded) - _GAP
+        value = np.empty((n, best.shape[1]), np.float32)
+        value[:] = np.concatenate(self.biases)
+        for shift in range(max(WIDTHS)):
+            wide = [k for k, w in enumerate(WIDTHS) if w > shift]
+            kernel = np.concatenate([self.filters[k][shift * DIMS : (shift + 1) * DIMS] for k in wide], axis=1)
+            value[:, wide[0] * FILTERS :] += embedded[shift : n + shift] @ kernel
+        bounds = np.stack([apart, apart + own], axis=1).ravel()
+        best[filled] = np.maximum(np.maximum.reduceat(value, bounds)[::2], 0)
+        return best, votes
+
     def logit(self, pooled: np.ndarray) -> np.ndarray:
         return pooled @ self.out + self.out_bias[0]
 
@@ -212,14 +255,12 @@ def train(
     @F.arrow_udf("struct<rows: binary, votes: binary>")
     def prepared(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            words, rows, votes = Words(), [], []
+            rows, votes = [], []
             for t in batch:
-                data = t.as_buffer().to_pybytes() if t.is_valid else b""
-                at = words.of(data)
-                rows.append(np.array(words.rows, dtype="<u2").reshape(-1, len(STEMS) + 1)[at].tobytes())
-                told = np.array(words.votes, np.int64).reshape(-1, len(LANGUAGES))[at].sum(axis=0)
-                votes.append(told.astype("<i8").tobytes())
-                words.clear()
+                words = words_of(t.as_buffer().to_pybytes() if t.is_valid else b"")
+                own, told = hashed(words)
+                rows.append(own.tobytes())
+                votes.append(told.sum(axis=0).astype("<i8").tobytes())
             yield pa.StructArray.from_arrays([pa.array(rows, pa.binary()), pa.array(votes, pa.binary())], ["rows", "votes"])
 
     sample = labelled_sample(labels, key, label, per_label)
@@ -254,23 +295,36 @@ def toxicity_score(spark, model: Model, text: Column) -> Column:
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known, words = shared.value, Words()
-        vectors, votes = np.zeros((0, DIMS), np.float32), np.zeros((0, len(LANGUAGES)), np.int64)
+        known = shared.value
         for batch in batches:
             scores = np.zeros(len(batch))
-            for n, t in enumerate(batch):
-                if len(words.number) > _CACHED:
-                    words.clear()
-                    vectors, votes = vectors[:0], votes[:0]
-                at = words.of(t.as_buffer().to_pybytes() if t.is_valid else b"")
-                if len(vectors) < len(words.number):
-                    new = slice(len(vectors), None)
-                    vectors = np.concatenate([vectors, known.table[np.array(words.rows[new])].mean(axis=1)])
-                    votes = np.concatenate([votes, np.array(words.votes[new], np.int64)])
-                logit = known.logit(known.pooled(_padded(vectors[at])))
-                logit -= known.shifts[_language(votes[at].sum(axis=0))]
-                scores[n] = 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
+            for places, texts in _blocks(batch):
+                pooled, votes = known.pooled_texts(texts, _AT_ONCE)
+                # A long text comes in stretches, which share their maxima and add their votes.
+                own, first = np.unique(places, return_index=True)
+                pooled, votes = np.maximum.reduceat(pooled, first), np.add.reduceat(votes, first)
+                told = np.where(votes.any(axis=1), votes.argmax(axis=1), len(LANGUAGES))
+                logit = known.logit(pooled) - known.shifts[told]
+                scores[own] = 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
             yield pa.array(scores)
 
     return score(text)
 
+
+def _blocks(batch: pa.Array) -> Iterator[tuple[list[int], list[list[bytes]]]]:
+    """(text numbers, words) of a batch in blocks of about ``_AT_ONCE`` words, whole texts each.
+
+    Longer texts are cut into stretches that overlap by the gap.
+    """
+    places, texts, size = [], [], 0
+    for n, t in enumerate(batch):
+        words = words_of(t.as_buffer().to_pybytes() if t.is_valid else b"")
+        for start in range(0, len(words) or 1, _AT_ONCE):
+            places.append(n)
+            texts.append(words[start : start + _AT_ONCE + _GAP])
+        size += len(words)
+        if size >= _AT_ONCE:
+            yield places, texts
+            places, texts, size = [], [], 0
+    if places:
+        yield places, texts
