@@ -159,7 +159,11 @@ def test_latest_document_prefers_good_responses(spark):
         ],
         schemas.DOCUMENTS,
     )
-    got = ingest.latest_documents(landed).select("token_id", "http_status", "body")
+    tokens = spark.createDataFrame(
+        [("1", "c", "0xA", "1"), ("1", "c", "0xA", "2"), ("1", "c", "0xA", "3")],
+        "collection_id string, collection_name string, contract_address string, token_id string",
+    )
+    got = ingest.wanted_documents(tokens, landed).select("token_id", "http_status", "body")
     assert rows(got) == [("1", 200, "second"), ("2", 404, "none")]
 
 

@@ -46,7 +46,7 @@ value -> transform(array(named_struct(
         WHEN 'ARRAY' THEN nullif(v.text, '[]')
         WHEN 'OBJECT' THEN nullif(v.text, '{{}}')
         ELSE CASE
-            WHEN v.kind = 'DECIMAL' AND v.text RLIKE r'^-?\d{{19,}}$' THEN v.text
+            WHEN v.kind = 'DECIMAL' AND v.text RLIKE r'^-?\d{{19,}}\z' THEN v.text
             WHEN cast(v.text AS double) <> 0
                 THEN transform(array(cast(v.text AS double)), {_FLOAT_TEXT})[0]
         END

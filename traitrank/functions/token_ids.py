@@ -48,9 +48,11 @@ def parse_token_id(raw: Column) -> Column:
     return bound(raw, _PARSE)
 
 
-# The accepted spellings of an id.
-_HEX_FORM = r"^0x0*([0-9a-fA-F]+)[ \t\n\r\f\x0B]*$"
-_DECIMAL_FORM = r"^[ \t\n\r\f\x0B]*(?:\+|(-?))0*([0-9]+)[ \t\n\r\f\x0B]*$"
+# The accepted spellings of an id. White space is what Python strips; \\z, as $ also
+# matches before a final line terminator.
+_SPACE = r"[\t-\r\x1C-\x1F\x85\p{Z}]*"
+_HEX_FORM = rf"^0x0*([0-9a-fA-F]+){_SPACE}\z"
+_DECIMAL_FORM = rf"^{_SPACE}(?:\+|(-?))0*([0-9]+){_SPACE}\z"
 
 _PARSE = rf"""
 raw -> CASE

@@ -1,11 +1,19 @@
 """Landed JSON to typed rows: listing pages to base tokens, metadata documents to traits.
 
 Nothing fails silently: what cannot be used carries a ``reject_reason`` and can be written
-to a quarantine table, while the rest of the batch goes through.
+to a quarantine table, while the rest of the batch goes through. Each record of a page is a
+VARIANT of its own, so neither the size of a body nor a key that an object repeats costs more
+than one record; of repeated keys the last one counts.
+
+Which landing of a page or document is opened is chosen by number, without the bodies. A ledger
+(collection_id, stage, item, landed_no, ok) keeps what became of it: a failed response is opened
+again only after a newer landing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +40,25 @@ def _items(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
 
 
-def _parsed_body() -> Column:
-    """The body as a variant; NULL for a failed response, whose body is not looked at."""
-    return F.when(F.col("http_status") == 200, F.try_parse_json("body"))
+# No cap on a string's length, and the text of what is no object of the wanted form.
+_BAD = "__bad"
+_READ_ALL = {"maxStringLen": str(2**31 - 1), "columnNameOfCorruptRecord": _BAD}
+# A VARIANT holds no more than 128 MiB.
+_LARGE = 100 << 20
+
+
+def _repeated_keys(df: DataFrame) -> None:
+    """Objects may repeat a key, as for most JSON readers; set where bodies are parsed."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
+def _good_body() -> Column:
+    """The body; NULL for a failed response, whose body is not looked at."""
+    return F.when(F.col("http_status") == 200, F.col("body"))
+
+
+def _unparsable() -> Column:
+    return F.when(F.octet_length("body") >= _LARGE, "too_large").otherwise("unparsable")
 
 
 def _bad_response() -> Column:
@@ -58,17 +82,24 @@ def attach_collection(landed: DataFrame, registry: DataFrame, spread: str = "pag
 
 
 def _open_pages(pages: DataFrame) -> DataFrame:
+    """Adds the page's records as variants and the reason to reject the page.
+
+    The page as a whole is parsed only if it has no array of records, to tell why.
+    """
+    _repeated_keys(pages)
     page = _fields(F.col("page"), "nfts")
     tokens = page["nfts"]
     return (
-        pages.withColumn("page", _parsed_body())
-        .withColumn("tokens", _items(tokens))
+        pages.withColumn("opened", F.from_json(_good_body(), f"nfts array<variant>, {_BAD} string", _READ_ALL))
+        .withColumn("tokens", F.col("opened.nfts"))
+        .withColumn("page", F.when(F.col("tokens").isNull(), F.try_parse_json(_good_body())))
         .withColumn(
             "page_reject",
             F.when(_bad_response(), "http_status")
-            .when(F.col("page").isNull(), "unparsable")
+            .when(F.col("tokens").isNotNull(), F.when(F.col(f"opened.{_BAD}").isNotNull(), "unparsable"))
+            .when(F.col("page").isNull(), _unparsable())
             .when(page.isNull(), "not_an_object")
-            .when(F.col("tokens").isNull() & is_truthy(tokens), "tokens_not_an_array"),
+            .when(is_truthy(tokens), "tokens_not_an_array"),
         )
     )
 
@@ -94,11 +125,13 @@ def page_records(pages: DataFrame) -> DataFrame:
         F.when(F.col("record_no").isNotNull() & F.col("token_id").isNull(), "token_id"),
     )
     rejected = F.col("reject_reason").isNotNull()
+    landing = [c for c in ("landed_no",) if c in pages.columns]
     return (
         _open_pages(pages)
         .select(
             *_COLLECTION,
             "page_no",
+            *landing,
             "page_reject",
             F.when(F.col("page_reject").isNotNull(), F.col("body")).alias("page_body"),
             F.posexplode_outer(usable).alias("record_no", "record"),
@@ -114,6 +147,7 @@ def page_records(pages: DataFrame) -> DataFrame:
                 at("$.metadata.image"), at("$.raw.metadata.image"), at("$.image.cachedUrl")
             ).alias("image_url"),
             "page_no",
+            *landing,
             "record_no",
             "page_reject",
             "page_body",
@@ -168,27 +202,82 @@ def enrichable_tokens(base: DataFrame) -> DataFrame:
     )
 
 
-def latest_documents(documents: DataFrame) -> DataFrame:
-    """One document per token: a good response before a failed one, then the last landed."""
-    ok = F.coalesce(F.col("http_status") == 200, F.lit(False))
+def with_landing(landed: DataFrame) -> DataFrame:
+    """``landed`` with ``landed_no``, NULL where the source does not number its landings."""
+    return landed if "landed_no" in landed.columns else landed.withColumn("landed_no", F.lit(None).cast("long"))
+
+
+def _answered() -> Column:
+    return F.coalesce(F.col("http_status") == 200, F.lit(False))
+
+
+def best_landing(landed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, landed_no, answered): a good response before a failed one, then the last landed.
+
+    Bodies take no part, so only numbers are shuffled.
+    """
     return (
-        documents.groupBy(F.lower("contract_address").alias(_ADDRESS_KEY), "token_id")
-        .agg(F.max(F.struct(ok.alias("ok"), "landed_no", "http_status", "body")).alias("last"))
-        .select(_ADDRESS_KEY, "token_id", "last.http_status", "last.body")
+        landed.groupBy(*keys)
+        .agg(F.max(F.struct(_answered().alias("answered"), "landed_no")).alias("best"))
+        .select(*keys, "best.landed_no", "best.answered")
     )
 
 
-def join_documents(base: DataFrame, documents: DataFrame) -> DataFrame:
-    """Base tokens with their document. Tokens without a document are left out.
+def not_in_ledger(best: DataFrame, ledger: DataFrame, stage: str, item: Column) -> DataFrame:
+    """Landings that the ledger lacks, or has as failed with an older number."""
+    known = ledger.filter(F.col("stage") == stage).select(
+        "collection_id", F.col("item").alias("__item"), F.col("landed_no").alias("__no"), F.col("ok").alias("__ok")
+    )
+    joined = best.withColumn("__item", item).join(known, ["collection_id", "__item"], "left")
+    newer = F.coalesce(F.col("landed_no") > F.col("__no"), F.lit(True))
+    return joined.filter(F.col("__ok").isNull() | (~F.col("__ok") & newer)).select(*best.columns)
+
+
+def bodies_of(landed: DataFrame, best: DataFrame, keys: Sequence[str], spread: Sequence[str]) -> DataFrame:
+    """The rows of ``landed`` that ``best`` chose; bodies are shuffled only if it is too large to send."""
+    chosen = best.select(*keys, F.col("landed_no").alias("__no"), F.col("answered").alias("__answered"))
+    met = lookup_join(landed, chosen, keys, spread=spread)
+    same = F.col("landed_no").eqNullSafe(F.col("__no")) & (_answered() == F.col("__answered"))
+    return met.filter(same).drop("__no", "__answered")
 
-    Both sides hold one row per token and address spelling, so no key is hot.
+
+def wanted_pages(attached: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Of landed pages of registered contracts those to open: the best landing of each page that
+    the ledger does not have yet."""
+    keys = ["collection_id", "page_no"]
+    best = not_in_ledger(best_landing(attached, keys), ledger, "base", F.col("page_no").cast("string"))
+    return bodies_of(attached, best, keys, [])
+
+
+def wanted_documents(tokens: DataFrame, documents: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """Tokens (collection columns, token_id) with the document to open, one per token.
+
+    Documents of other contracts are dropped before anything is shuffled; tokens without a
+    document, or with one that the ledger has, are left out.
     """
-    tokens = enrichable_tokens(base).withColumn(_ADDRESS_KEY, F.lower("contract_address"))
-    return tokens.join(latest_documents(documents), [_ADDRESS_KEY, "token_id"]).select(
-        *_COLLECTION, "token_id", "http_status", "body"
+    keyed = tokens.withColumn(_ADDRESS_KEY, F.lower("contract_address"))
+    contracts = keyed.select(_ADDRESS_KEY).distinct()
+    theirs = with_landing(documents).withColumn(_ADDRESS_KEY, F.lower("contract_address")).drop("contract_address")
+    theirs = lookup_join(theirs, contracts, [_ADDRESS_KEY], how="left_semi", spread=["token_id"])
+    keys = [_ADDRESS_KEY, "token_id"]
+    best = keyed.join(best_landing(theirs, keys), keys).select(*keyed.columns, "landed_no", "answered")
+    if ledger is not None:
+        best = not_in_ledger(best, ledger, "metadata", F.col("token_id"))
+    bodies = bodies_of(theirs, best.select(*keys, "landed_no", "answered").distinct(), keys, [])
+    found = best.drop("landed_no", "answered").join(bodies, keys)
+    # Equal numbers leave several bodies; the greatest text is taken, so that reruns agree.
+    return (
+        found.groupBy(*_COLLECTION, "token_id", "landed_no", "http_status").agg(F.max("body").alias("body"))
+        if "landed_no" not in documents.columns
+        else found.select(*_COLLECTION, "token_id", "landed_no", "http_status", "body")
     )
 
 
+def join_documents(base: DataFrame, documents: DataFrame) -> DataFrame:
+    """Base tokens with their document. Tokens without a document are left out."""
+    return wanted_documents(enrichable_tokens(base), documents).drop("landed_no")
+
+
 def _open_documents(joined: DataFrame) -> DataFrame:
     """Adds the metadata members, the attributes and the reason to reject the document.
 
@@ -196,11 +285,13 @@ def _open_documents(joined: DataFrame) -> DataFrame:
     another type in place of an object does not, and one attribute that is not an object
     rejects the whole token.
     """
-    top = _fields(F.col("doc"), "raw")
+    _repeated_keys(joined)
     raw = _fields(F.col("raw"), "metadata")
     return (
-        joined.withColumn("doc", _parsed_body())
-        .withColumn("raw", top["raw"])
+        joined.withColumn("opened", F.from_json(_good_body(), f"raw variant, {_BAD} string", _READ_ALL))
+        .withColumn("raw", F.col("opened.raw"))
+        # Only a document that is no object is parsed as a whole, to tell why.
+        .withColumn("doc", F.when(F.col(f"opened.{_BAD}").isNotNull(), F.try_parse_json(_good_body())))
         .withColumn("metadata", raw["metadata"])
         .withColumn("m", _fields(F.col("metadata"), "name", "description", "image", "attributes"))
         .withColumn("attributes", F.col("m.attributes"))
@@ -209,8 +300,10 @@ def _open_documents(joined: DataFrame) -> DataFrame:
         .withColumn(
             "reject_reason",
             F.when(_bad_response(), "http_status")
-            .when(F.col("doc").isNull(), "unparsable")
-            .when(top.isNull(), "not_an_object")
+            .when(
+                F.col("opened").isNull() | F.col(f"opened.{_BAD}").isNotNull(),
+                F.when(F.col("doc").isNull(), _unparsable()).otherwise("not_an_object"),
+            )
             .when(F.col("raw").isNotNull() & raw.isNull(), "raw_not_an_object")
             .when(F.col("metadata").isNotNull() & F.col("m").isNull(), "metadata_not_an_object")
             .when(
@@ -221,38 +314,55 @@ def _open_documents(joined: DataFrame) -> DataFrame:
     )
 
 
-def flatten_metadata(joined: DataFrame) -> DataFrame:
-    """One row per (token, attribute); a token without attributes keeps one row without trait."""
+def document_records(joined: DataFrame) -> DataFrame:
+    """What became of every document, from one pass over the bodies.
+
+    A usable document is a row with its texts and trait pairs, another one a row with its
+    ``reject_reason`` and ``body``. Further columns of ``joined`` stay.
+    """
     none = F.array(F.lit(None).cast("struct<trait_type:variant,value:variant>"))
-    pairs = F.when(
-        F.col("reject_reason").isNull(),
+    texts = F.transform(
         F.when(F.size("pairs") > 0, F.col("pairs")).otherwise(none),
+        lambda pair: F.struct(
+            stringify_or_null(pair["trait_type"]).alias("trait_type"), stringify_or_null(pair["value"]).alias("trait_value")
+        ),
     )
-    empty_list, empty_object = F.lit("[]"), F.lit("{}")
-    return (
-        _open_documents(joined)
-        .select(
-            *_COLLECTION,
-            "token_id",
-            stringify_or_null(F.col("m.name")).alias("name"),
-            stringify_or_null(F.col("m.description")).alias("description"),
-            stringify_or_null(F.col("m.image")).alias("image_url"),
-            F.coalesce(F.to_json("attributes"), empty_list).alias("attributes_json"),
-            F.coalesce(F.to_json("metadata"), empty_object).alias("metadata_json"),
-            F.explode(pairs).alias("pair"),
-        )
-        .select(
-            *schemas.METADATA.names[:-2],
-            stringify_or_null(F.col("pair.trait_type")).alias("trait_type"),
-            stringify_or_null(F.col("pair.value")).alias("trait_value"),
-        )
+    kept = [c for c in joined.columns if c not in (*_COLLECTION, "token_id", "body")]
+    return _open_documents(joined).select(
+        *_COLLECTION,
+        "token_id",
+        *kept,
+        stringify_or_null(F.col("m.name")).alias("name"),
+        stringify_or_null(F.col("m.description")).alias("description"),
+        stringify_or_null(F.col("m.image")).alias("image_url"),
+        F.coalesce(F.to_json("attributes"), F.lit("[]")).alias("attributes_json"),
+        F.coalesce(F.to_json("metadata"), F.lit("{}")).alias("metadata_json"),
+        F.when(F.col("reject_reason").isNull(), texts).alias("traits"),
+        "reject_reason",
+        F.when(F.col("reject_reason").isNotNull(), F.col("body")).alias("body"),
     )
 
 
-def rejected_documents(joined: DataFrame) -> DataFrame:
-    """Documents that give no trait row, with the reason."""
-    return (
-        _open_documents(joined)
-        .filter(F.col("reject_reason").isNotNull())
-        .select(*_COLLECTION, "token_id", "reject_reason", "body")
+def trait_rows(records: DataFrame) -> DataFrame:
+    """One row per (token, attribute) among ``document_records``; a token without attributes
+    keeps one row without trait."""
+    return records.select(*schemas.METADATA.names[:-2], F.explode("traits").alias("pair")).select(
+        *schemas.METADATA.names[:-2], "pair.trait_type", "pair.trait_value"
+    )
+
+
+def bad_documents(records: DataFrame) -> DataFrame:
+    """Documents that give no trait row, with the reason, among ``document_records``."""
+    return records.filter(F.col("reject_reason").isNotNull()).select(
+        *_COLLECTION, "token_id", "reject_reason", "body"
     )
+
+
+def flatten_metadata(joined: DataFrame) -> DataFrame:
+    """``trait_rows`` of tokens with their document."""
+    return trait_rows(document_records(joined))
+
+
+def rejected_documents(joined: DataFrame) -> DataFrame:
+    """``bad_documents`` of tokens with their document."""
+    return bad_documents(document_records(joined))

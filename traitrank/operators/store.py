@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from traitrank import schemas
 from traitrank.operators import ingest
-from traitrank.operators.upsert import append, insert_missing
+from traitrank.operators.upsert import append, insert_missing, merge_upsert
 
 _REJECT_KEYS = ["collection_id", "stage", "item", "reject_reason"]
 
@@ -20,14 +20,30 @@ def store_records(records: DataFrame, names: schemas.TableNames) -> None:
     _quarantine(ingest.rejected_records(records), "base", place, names)
 
 
-def store_documents(joined: DataFrame, names: schemas.TableNames) -> None:
-    """Append the traits of tokens with their document, for tokens without metadata.
+def store_documents(records: DataFrame, names: schemas.TableNames) -> None:
+    """Append the traits among ``document_records``. Pass the records staged, of tokens that have
+    no metadata yet."""
+    append(ingest.trait_rows(records), names.full("metadata"), schemas.PARTITION)
+    _quarantine(ingest.bad_documents(records), "metadata", F.col("token_id"), names)
 
-    Rejects are looked for after the append. They are the documents that give no trait row,
-    so it does not matter if ``joined`` by then leaves out the tokens just stored.
-    """
-    append(ingest.flatten_metadata(joined), names.full("metadata"), schemas.PARTITION)
-    _quarantine(ingest.rejected_documents(joined), "metadata", F.col("token_id"), names)
+
+def note_pages(records: DataFrame, names: schemas.TableNames) -> None:
+    """Keep in the ledger which pages among ``page_records`` were answered."""
+    item = F.col("page_no").cast("string")
+    _note(records, "base", item, ~F.col("reject_reason").eqNullSafe(F.lit("http_status")), names)
+
+
+def note_documents(records: DataFrame, names: schemas.TableNames) -> None:
+    """Keep in the ledger which documents among ``document_records`` gave no rows, and why."""
+    unused = records.filter(F.col("reject_reason").isNotNull())
+    _note(unused, "metadata", F.col("token_id"), F.col("reject_reason") != "http_status", names)
+
+
+def _note(records: DataFrame, stage: str, item: Column, ok: Column, names: schemas.TableNames) -> None:
+    entries = records.groupBy("collection_id", F.lit(stage).alias("stage"), item.alias("item")).agg(
+        F.max("landed_no").alias("landed_no"), F.bool_and(ok).alias("ok")
+    )
+    merge_upsert(entries, names.full("ledger"), ["collection_id", "stage", "item"], schemas.PARTITION)
 
 
 def _quarantine(rejects: DataFrame, stage: str, item: Column, names: schemas.TableNames) -> None:

@@ -6,7 +6,7 @@ import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traitrank import schemas
@@ -532,6 +532,34 @@ def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.part_pages(spark, sf_dir),
         inputs.part_documents(spark, sf_dir),
     )
+    return _ranked_with_status(run)
+
+
+@_query
+def resume_after_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the pages and documents fail in the first landing and are sound in the second."""
+    run = RarityRun(spark, schemas.TableNames(prefix=scratch_database(spark)))
+    contracts = inputs.part_contracts(spark, sf_dir)
+    pages, documents = inputs.part_pages(spark, sf_dir), inputs.part_documents(spark, sf_dir)
+
+    def landing(df: DataFrame, number: int, failed: Column) -> DataFrame:
+        numbered = df.withColumn("landed_no", F.lit(number).cast("long"))
+        return numbered.withColumn("http_status", F.when(failed, 500).otherwise(F.col("http_status")))
+
+    first_pages = landing(pages, 1, F.col("page_no") % 2 == 1)
+    first_documents = landing(documents, 1, F.col("token_id").cast("long") % 3 == 0)
+    run.run(contracts, first_pages, first_documents)
+    none = F.lit(False)
+    for _ in range(2):
+        run.run(
+            contracts,
+            first_pages.unionByName(landing(pages, 2, none)),
+            first_documents.unionByName(landing(documents, 2, none)),
+        )
+    return _ranked_with_status(run)
+
+
+def _ranked_with_status(run: RarityRun) -> DataFrame:
     return run.table("rarity").join(
         run.table("registry").select(
             F.col("id").cast("string").alias("collection_id"), "contract_address", "status"

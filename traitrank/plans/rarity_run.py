@@ -2,7 +2,9 @@
 
 Every stage is one set of Spark jobs over all collections that wait for it. A stage can be
 run again at any time: registration skips known addresses, listing adds unknown tokens,
-enrichment skips enriched tokens, ranking merges by key.
+enrichment skips enriched tokens, ranking merges by key. Work is what is missing and has landed:
+a page or document that failed is taken up as soon as a newer landing is there, whatever the
+state of its collection. A state says done only if nothing stands failed or is still to come.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from traitrank import schemas
 from traitrank.operators import ingest, registry
 from traitrank.operators.joins import restrict
 from traitrank.operators.rarity import trait_rarity
-from traitrank.operators.store import store_documents, store_records
+from traitrank.operators.store import note_documents, note_pages, store_documents, store_records
 from traitrank.operators.upsert import append, create_table, drop_table, merge_update, merge_upsert
 from traitrank.sources.staging import Staging
 from traitrank.sources.tables import fresh_table
@@ -59,42 +61,76 @@ class RarityRun:
         fresh = registry.register_collections(self.table("registry"), contracts)
         append(fresh, self.names.full("registry"))
 
-    def _set_status(self, collections: DataFrame, status: str) -> None:
-        updates = collections.select("id").distinct().withColumn("status", F.lit(status))
-        merge_update(updates, self.names.full("registry"), ["id"], ["status"])
-
-    def _advance(self, stage: str, seen: DataFrame, status: str) -> None:
-        """Move the collections that wait for ``stage`` and occur in ``seen`` to ``status``."""
-        ids = seen.select(F.col("collection_id").cast("int").alias("id")).distinct()
-        waiting = registry.pending(self.table("registry"), stage)
-        self._set_status(waiting.join(ids, "id", "left_semi"), status)
+    def _set_status(self, status: DataFrame) -> None:
+        """Write the states (id, status) that differ from the registry's, if any do."""
+        known = self.table("registry").select("id", F.col("status").alias("old"))
+        changed = Staging.of(status).write(
+            known.join(status, "id").filter(~F.col("old").eqNullSafe(F.col("status"))).drop("old"), "status"
+        )
+        if not changed.isEmpty():
+            merge_update(changed, self.names.full("registry"), ["id"], ["status"])
 
     def ingest_base(self, pages: DataFrame) -> None:
-        """List the tokens of all collections that wait for it and have landed pages.
+        """List the tokens of all landed pages that are new, or that failed and landed again.
 
-        A collection without any good page stays pending.
+        A collection is FETCHED once no page of it stands failed, else FETCHING.
         """
-        waiting = registry.pending(self.table("registry"), "base")
-        attached = ingest.attach_collection(pages, waiting)
-        # Staged: every page is opened once, and what waits changes with the status below.
-        records = Staging.of(pages).write(ingest.page_records(attached), "records")
-        self._advance("base", records, schemas.FETCHING)
+        attached = ingest.attach_collection(ingest.with_landing(pages), self.table("registry"))
+        wanted = ingest.wanted_pages(attached, self.table("ledger"))
+        # Staged: every page is opened once, and what is wanted changes with the ledger below.
+        records = Staging.of(pages).write(ingest.page_records(wanted), "records")
+        if records.isEmpty():
+            return
         store_records(records, self.names)
-        answered = records.filter(~F.col("reject_reason").eqNullSafe("http_status"))
-        self._advance("base", answered, schemas.FETCHED)
+        note_pages(records, self.names)
+        touched = records.select("collection_id").distinct()
+        ledger = self._of(self.table("ledger"), touched).filter("stage = 'base'")
+        done = F.when(F.bool_and("ok"), schemas.FETCHED).otherwise(schemas.FETCHING)
+        self._set_status(
+            ledger.groupBy(F.col("collection_id").cast("int").alias("id")).agg(done.alias("status"))
+        )
 
     def ingest_metadata(self, documents: DataFrame) -> None:
-        """Enrich the tokens of all collections that wait for it and have documents."""
-        waiting = registry.pending(self.table("registry"), "metadata").select(
+        """Enrich the tokens without metadata that have a new document.
+
+        A listed collection is METADATA_FETCHED once each of its tokens is enriched or has a
+        document that cannot be used, else METADATA_FETCHING.
+        """
+        states = (schemas.FETCHING, *registry.AWAITING["metadata"])
+        waiting = self.table("registry").filter(F.col("status").isin(*states)).select(
             F.col("id").cast("string").alias("collection_id")
         )
-        tokens = registry.pending_tokens(
-            self._of(self.table("base"), waiting), self._of(self.table("metadata"), waiting)
+        staging = Staging.of(documents)
+        ids = staging.write(waiting, "waiting")
+        if ids.isEmpty():
+            return
+        tokens = staging.write(self._unenriched(ids), "tokens")
+        if not tokens.isEmpty():
+            joined = ingest.wanted_documents(tokens, documents, self._of(self.table("ledger"), ids))
+            records = staging.write(ingest.document_records(joined), "documents")
+            if not records.isEmpty():
+                store_documents(records, self.names)
+                note_documents(records, self.names)
+                tokens = self._unenriched(ids)
+        left = tokens.select("collection_id").distinct().withColumn("left", F.lit(True))
+        done = F.when(F.col("left"), schemas.METADATA_FETCHING).otherwise(schemas.METADATA_FETCHED)
+        listed = registry.pending(self.table("registry"), "metadata").select(
+            "id", F.col("id").cast("string").alias("collection_id")
+        )
+        seen = self._of(self.table("base"), ids).select("collection_id").distinct()
+        self._set_status(
+            listed.join(seen, "collection_id").join(left, "collection_id", "left").select("id", done.alias("status"))
+        )
+
+    def _unenriched(self, ids: DataFrame) -> DataFrame:
+        """Tokens of the collections that have neither metadata nor an unusable document."""
+        base, metadata = self._of(self.table("base"), ids), self._of(self.table("metadata"), ids)
+        unusable = self._of(self.table("ledger"), ids).filter("stage = 'metadata' AND ok").select(
+            "collection_id", F.col("item").alias("token_id")
+        )
+        return ingest.enrichable_tokens(registry.pending_tokens(base, metadata)).join(
+            unusable, list(schemas.TOKEN_KEYS), "left_anti"
         )
-        joined = Staging.of(documents).write(ingest.join_documents(tokens, documents), "documents")
-        self._advance("metadata", joined, schemas.METADATA_FETCHING)
-        store_documents(joined, self.names)
-        self._advance("metadata", joined.filter("http_status = 200"), schemas.METADATA_FETCHED)
 
     def rank(self, collection_ids: DataFrame | None = None) -> None:
         """Score and rank the given collections (collection_id), or all, and merge the result."""

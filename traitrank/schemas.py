@@ -46,6 +46,12 @@ RARITY = T.StructType(
 # Ours: input that could not be used, per stage and page, record or token.
 REJECTS = _strings("collection_id", "stage", "item", "reject_reason", "body")
 
+# Ours: what became of the landings of each page and document that gave no rows for good.
+LEDGER = T.StructType(
+    _strings("collection_id", "stage", "item").fields
+    + [T.StructField("landed_no", T.LongType(), True), T.StructField("ok", T.BooleanType(), True)]
+)
+
 # The states a collection passes through, in this order.
 NOT_FETCHED = "NOT_FETCHED"
 FETCHING = "FETCHING"
@@ -56,7 +62,8 @@ METADATA_FETCHED = "METADATA_FETCHED"
 PARTITION = "collection_id"
 TOKEN_KEYS = ("collection_id", "token_id")
 
-# Landed input: one row per listing response, one row per metadata response.
+# Landed input: one row per listing response, one row per metadata response. Listing responses
+# may have a LONG ``landed_no`` as well, which tells a later response of a page from an earlier one.
 PAGES = T.StructType(
     [
         T.StructField("contract_address", T.StringType(), True),
@@ -87,6 +94,7 @@ class TableNames:
     metadata: str = "nft_metadata_table"
     rarity: str = "nft_rarity_table"
     rejects: str = "ingest_rejects"
+    ledger: str = "ingest_ledger"
 
     def full(self, kind: str) -> str:
         name = getattr(self, kind)
@@ -99,4 +107,5 @@ class TableNames:
             self.full("metadata"): METADATA,
             self.full("rarity"): RARITY,
             self.full("rejects"): REJECTS,
+            self.full("ledger"): LEDGER,
         }

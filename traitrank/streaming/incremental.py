@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from traitrank import schemas
-from traitrank.operators.ingest import attach_collection, join_documents, page_records
+from traitrank.operators.ingest import attach_collection, document_records, join_documents, page_records
 from traitrank.operators.joins import restrict
 from traitrank.operators.registry import collections_of
 from traitrank.operators.store import store_documents, store_records
@@ -77,7 +77,8 @@ def drain_documents(documents: DataFrame, names: schemas.TableNames, checkpoint:
         joined = Staging.of(batch).write(join_documents(base, batch), "joined")
         metadata = fresh_table(spark, names.full("metadata"))
         known = touched_rows(metadata, joined, schemas.TOKEN_KEYS, schemas.PARTITION)
-        store_documents(absent(joined, known, schemas.TOKEN_KEYS), names)
+        records = document_records(absent(joined, known, schemas.TOKEN_KEYS))
+        store_documents(Staging.of(batch).write(records, "documents"), names)
 
     drain(documents, checkpoint, handle)
     documents.sparkSession.catalog.refreshTable(names.full("metadata"))
