@@ -84,20 +84,28 @@ def own_body(lines: Column) -> Column:
 
 
 def _depths(nodes: DataFrame, staging: Staging) -> DataFrame:
-    """(conv_id, pos, depth) from (conv_id, pos, parent); the parent lies before."""
+    """(conv_id, pos, depth) from (conv_id, pos, parent); the parent lies before.
+
+    Every step doubles how far up a message has looked. Messages that reached the opening one
+    take no further part, so a long conversation costs steps for its own messages only.
+    """
     known = staging.write(
         nodes.select("conv_id", "pos", F.col("parent").alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth")),
         "depths",
     )
-    while not known.filter("up IS NOT NULL").isEmpty():
-        above = known.select("conv_id", F.col("pos").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
+    done, climbing = known.filter("up IS NULL"), known.filter("up IS NOT NULL")
+    while not climbing.isEmpty():
+        above = done.unionByName(climbing).select(
+            "conv_id", F.col("pos").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more")
+        )
         known = staging.write(
-            known.join(above.hint("merge"), ["conv_id", "up"], "left").select(
-                "conv_id", "pos", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")
+            climbing.join(above.hint("merge"), ["conv_id", "up"]).select(
+                "conv_id", "pos", F.col("up2").alias("up"), (F.col("depth") + F.col("more")).alias("depth")
             ),
             "depths",
         )
-    return known.drop("up")
+        done, climbing = done.unionByName(known.filter("up IS NULL")), known.filter("up IS NOT NULL")
+    return done.drop("up")
 
 
 def reply_order(
