@@ -111,10 +111,12 @@ def test_value_lookup_runs_in_the_jvm_and_does_not_shuffle_traits(spark):
     folder = Staging(spark)
     metadata = folder.write(spark.createDataFrame(traits, TRAITS), "traits")
     listed = folder.write(spark.createDataFrame(base, BASE), "base")
-    plan = rarity.trait_rarity(metadata, listed)._jdf.queryExecution().executedPlan().toString()
+    frequency = folder.write(rarity.trait_frequency(rarity.usable_traits(metadata)), "frequency")
+    scored = rarity.scored_traits(rarity.usable_traits(metadata), rarity.trait_scores(frequency))
+    plan = rarity.base_token_scores(listed, scored)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "SortMergeJoin" not in plan and "CartesianProduct" not in plan
-    # Value totals, token sums and the rank; the trait rows themselves are joined in place.
-    assert plan.count("Exchange hashpartitioning") == 3
+    # Value totals and token sums; the trait rows themselves are joined in place.
+    assert plan.count("Exchange hashpartitioning") == 2
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])

@@ -173,9 +173,10 @@ def test_reports(spark):
     first = reports.first_by_token(ranked, "1", 2).orderBy("position").collect()
     assert [r["token_id"] for r in first] == ["10", str(2**200)]
     base = ranked.select("collection_id", "token_id", F.lit("0xA").alias("contract_address")).filter("collection_id = '1'")
-    report = reports.contract_report(base, base, ranked, "0xA")
+    known = spark.createDataFrame([(1, "a", "0xA", None), (2, "b", "0xB2", None)], schemas.REGISTRY)
+    report = reports.contract_report(known, base, base, ranked, "0XA")
     assert [r["rank"] for r in report["rarity"].collect()] == [1, 2, 3]
-    assert rows(reports.contract_ranks(base, ranked, "0xB")) == []
+    assert rows(reports.of_contract(ranked, known, "0xB")) == []
     assert rows(reports.collection_report(base, base, ranked, ["2"])["rarity"]) == [("2", "5", 9, 1)]
 
 

@@ -11,10 +11,10 @@ def odds_score(count: Column, total: Column) -> Column:
 
     A value that every holder of the trait type shares scores 0. The arithmetic is done
     in DOUBLE from left to right and cut to INT before any summing, which decides the
-    result at the last digit. Odds above about 2.1e7 do not fit INT and raise under ANSI.
+    result at the last digit. Odds above about 2.1e7 do not fit INT and are NULL.
     """
     return F.when(count == total, F.lit(0)).otherwise(
-        (count / (total - count) * 100).cast("int")
+        (count / (total - count) * 100).try_cast("int")
     )
 
 

@@ -10,12 +10,12 @@ the union of what the collections give one by one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traitrank.functions import odds_score
 from traitrank.operators.joins import Size, lookup_join, measure, row_bytes
-from traitrank.operators.ordering import largest_group, positions
+from traitrank.operators.ordering import positions
 from traitrank.sources.staging import Staging
 
 COLLECTION = "collection_id"
@@ -28,16 +28,20 @@ _VALUE_KEYS = [COLLECTION, TYPE, VALUE]
 _TOKEN_KEYS = [COLLECTION, TOKEN]
 
 
-def usable_traits(metadata: DataFrame) -> DataFrame:
+def usable_traits(metadata: DataFrame, weight: str | None = None) -> DataFrame:
     """Trait rows that count: token, type and value present. Repeated rows stay."""
-    return metadata.select(COLLECTION, TOKEN, TYPE, VALUE).filter(
+    return metadata.select(COLLECTION, TOKEN, TYPE, VALUE, *([weight] if weight else [])).filter(
         F.col(TOKEN).isNotNull() & F.col(TYPE).isNotNull() & F.col(VALUE).isNotNull()
     )
 
 
-def trait_frequency(traits: DataFrame) -> DataFrame:
-    """Rows per (collection, type, value). Counted before the shuffle, so hot values are cheap."""
-    return traits.groupBy(*_VALUE_KEYS).agg(F.count(F.lit(1)).alias("trait_count"))
+def trait_frequency(traits: DataFrame, weight: str | None = None) -> DataFrame:
+    """Rows per (collection, type, value). Counted before the shuffle, so hot values are cheap.
+
+    With ``weight`` a row stands for as many.
+    """
+    count = F.sum(F.col(weight).cast("long")) if weight else F.count(F.lit(1))
+    return traits.groupBy(*_VALUE_KEYS).agg(count.alias("trait_count"))
 
 
 def trait_totals(frequency: DataFrame) -> DataFrame:
@@ -103,9 +107,15 @@ def scored_traits(traits: DataFrame, scores: DataFrame, size: Size | None = None
     ).select(*_TOKEN_KEYS, "rarity_score")
 
 
+def _token_sum() -> Column:
+    """Sum of trait scores; NULL if one of them is, or if the sum does not fit INT."""
+    unknown = F.bool_or(F.col("rarity_score").isNull())
+    return F.when(~unknown, F.sum("rarity_score").try_cast("int")).alias("rarity_score")
+
+
 def token_scores(scored: DataFrame) -> DataFrame:
     """Sum of trait scores per token, for tokens that have a trait."""
-    return scored.groupBy(*_TOKEN_KEYS).agg(F.sum("rarity_score").cast("int").alias("rarity_score"))
+    return scored.groupBy(*_TOKEN_KEYS).agg(_token_sum())
 
 
 def base_token_scores(base: DataFrame, scored: DataFrame) -> DataFrame:
@@ -122,7 +132,7 @@ def base_token_scores(base: DataFrame, scored: DataFrame) -> DataFrame:
         listed.unionByName(found)
         .groupBy(*_TOKEN_KEYS)
         .agg(
-            F.sum("rarity_score").cast("int").alias("rarity_score"),
+            _token_sum(),
             F.bool_or("listed").alias("listed"),
         )
         .filter("listed")
@@ -149,17 +159,32 @@ def trait_rarity(
 ) -> DataFrame:
     """``(collection_id, token_id, rarity_score, rank)`` for all base tokens.
 
+    Collections with a score beyond INT are left out, see ``score_and_rank``.
+    """
+    return score_and_rank(metadata, base, staging)[0]
+
+
+def score_and_rank(
+    metadata: DataFrame, base: DataFrame, staging: Staging | None = None, weight: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Ranks of all base tokens, and the collections (collection_id) that could not be ranked.
+
+    A score that does not fit INT costs its own collection the ranks and no other one. The
+    token scores are staged, since whether there is such a collection decides how to go on.
     The value frequencies are staged: they are read three times, and their size decides
     whether the trait rows have to be shuffled for the score lookup.
     """
     staging = staging or Staging.of(metadata)
-    traits = usable_traits(metadata)
-    frequency = staging.write(trait_frequency(traits), "frequency")
+    traits = usable_traits(metadata, weight)
+    frequency = staging.write(trait_frequency(traits, weight), "frequency")
     values_size, types_size = measure_vocabulary(frequency)
     scores = trait_scores(frequency, types_size)
-    scored = base_token_scores(base, scored_traits(traits, scores, values_size))
-    # Base rows per collection bound its distinct tokens from above.
-    group_rows = largest_group(base, [COLLECTION])
-    return rank_tokens(scored, group_rows, staging).select(
-        COLLECTION, TOKEN, "rarity_score", "rank"
+    scored = staging.write(base_token_scores(base, scored_traits(traits, scores, values_size)), "scored")
+    per_collection = scored.groupBy(COLLECTION).agg(
+        F.count(F.lit(1)).alias("n"), F.bool_or(F.col("rarity_score").isNull()).alias("overflow")
     )
+    overflowing = per_collection.filter("overflow").select(COLLECTION)
+    found = per_collection.agg(F.max("n").alias("most"), F.count_if("overflow").alias("bad")).first()
+    sound = lookup_join(scored, overflowing, [COLLECTION], how="left_anti", spread=[TOKEN]) if found["bad"] else scored
+    ranks = rank_tokens(sound, found["most"] or 0, staging).select(COLLECTION, TOKEN, "rarity_score", "rank")
+    return ranks, overflowing

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from traitrank.functions import numeric_order
 from traitrank.operators.joins import restrict
 from traitrank.operators.ordering import positions, top_k, top_k_per_group
+from traitrank.operators.registry import find_by_address
 
 
 def registry_listing(registry: DataFrame) -> DataFrame:
@@ -21,8 +22,10 @@ def of_collections(df: DataFrame, collection_ids: Sequence[str]) -> DataFrame:
     return df.filter(F.col("collection_id").isin([str(i) for i in collection_ids]))
 
 
-def of_contract(df: DataFrame, contract_address: str) -> DataFrame:
-    return df.filter(F.col("contract_address") == contract_address)
+def of_contract(df: DataFrame, registry: DataFrame, contract_address: str) -> DataFrame:
+    """Rows of a contract in any spelling, found by its id: prunes a table partitioned by collection."""
+    ids = find_by_address(registry, contract_address).select(F.col("id").cast("string").alias("collection_id"))
+    return restrict(df, ids, "collection_id", ["token_id"])
 
 
 def top_common(rarity: DataFrame, k: int = 10) -> DataFrame:
@@ -61,19 +64,19 @@ def token_number_positions(df: DataFrame) -> DataFrame:
     return positions(df, ["collection_id"], list(numeric_order(F.col("token_id"))), "position")
 
 
-def contract_ranks(base: DataFrame, rarity: DataFrame, contract_address: str) -> DataFrame:
-    """Ranked tokens of a contract, whose collection is found through the base table."""
-    return restrict(rarity, of_contract(base, contract_address), "collection_id", ["token_id"])
+def rank_positions(rarity: DataFrame) -> DataFrame:
+    """Place of every token within its collection by rank, then by id as text."""
+    return positions(rarity, ["collection_id"], [F.col("rank"), F.col("token_id")], "position")
 
 
 def contract_report(
-    base: DataFrame, metadata: DataFrame, rarity: DataFrame, contract_address: str
+    registry: DataFrame, base: DataFrame, metadata: DataFrame, rarity: DataFrame, contract_address: str
 ) -> dict[str, DataFrame]:
     """The three tables of a contract, each in its reading order."""
     return {
-        "base": by_token_number(of_contract(base, contract_address)),
-        "metadata": by_token_number(of_contract(metadata, contract_address)),
-        "rarity": by_rank(contract_ranks(base, rarity, contract_address)),
+        "base": by_token_number(of_contract(base, registry, contract_address)),
+        "metadata": by_token_number(of_contract(metadata, registry, contract_address)),
+        "rarity": by_rank(of_contract(rarity, registry, contract_address)),
     }
 
 

@@ -39,6 +39,12 @@ def note_documents(records: DataFrame, names: schemas.TableNames) -> None:
     _note(unused, "metadata", F.col("token_id"), F.col("reject_reason") != "http_status", names)
 
 
+def reject_collections(collections: DataFrame, reason: str, names: schemas.TableNames) -> None:
+    """Keep the collections (collection_id) that could not be ranked."""
+    described = collections.withColumn("reject_reason", F.lit(reason)).withColumn("body", F.lit(None).cast("string"))
+    _quarantine(described, "rank", F.col("collection_id"), names)
+
+
 def _note(records: DataFrame, stage: str, item: Column, ok: Column, names: schemas.TableNames) -> None:
     entries = records.groupBy("collection_id", F.lit(stage).alias("stage"), item.alias("item")).agg(
         F.max("landed_no").alias("landed_no"), F.bool_and(ok).alias("ok")

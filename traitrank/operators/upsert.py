@@ -2,8 +2,8 @@
 
 The tables are plain parquet, which has no MERGE, so a merge is a join and a rewrite of the
 partitions it touches. Such a rewrite is not atomic across partitions and not safe against
-another writer of the same partitions. The incoming rows are staged first: a run that
-breaks off can be repeated from them, and repeating it changes nothing.
+another writer of the same partitions. What is written is staged first, the rows that only the
+table has included, so a rewrite that breaks off can be finished from the staged copy.
 """
 
 from __future__ import annotations
@@ -120,7 +120,10 @@ def updated(
     columns: Sequence[str],
     size: Size | None = None,
 ) -> DataFrame:
-    """``target`` with ``columns`` replaced where a key matches, by NULL as well."""
+    """``target`` with ``columns`` replaced where a key matches, by NULL as well.
+
+    ``size`` is that of the updates with their columns, which are what may be broadcast.
+    """
     new = updates.select(
         *keys, F.lit(True).alias("__hit"), *[F.col(c).alias(f"__{c}") for c in columns]
     )
@@ -174,6 +177,7 @@ def merge_upsert(
         result = staged
     else:
         result = upserted(touched_rows(target, staged, keys, partition), staged, keys, size)
+        result = staging.write(result, "merged")
     with _dynamic_overwrite(spark):
         _in_table_order(_rebalanced(result, partition), table).write.insertInto(table, overwrite=True)
 
@@ -191,5 +195,7 @@ def merge_update(
     """
     spark = updates.sparkSession
     staging = staging or Staging.of(updates)
-    changed = updated(fresh_table(spark, table), updates, keys, columns, unique_size(updates, keys))
+    staged = staging.write(updates.select(*keys, *columns), "updates")
+    unique_size(staged, keys)
+    changed = updated(fresh_table(spark, table), staged, keys, columns, measure(staged))
     staging.write(changed, "updated").write.insertInto(table, overwrite=True)

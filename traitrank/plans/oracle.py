@@ -129,7 +129,7 @@ _ORACLE = {
         FROM ({_PART_BASE}) WHERE collection_id = 'ECONOMY' ORDER BY token_id LIMIT 10""",
     "tokens_numeric_order": """SELECT p_type AS collection_id, CAST(p_partkey AS VARCHAR) AS token_id,
         CAST(row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) AS INTEGER) AS position FROM part""",
-    "rank_sorted": f'{_PART} SELECT * FROM ranked ORDER BY collection_id, "rank"',
+    "rank_sorted": f'{_PART} SELECT *, "rank" AS position FROM ranked',
     "collection_report": f"""{_PART}, counted AS (SELECT collection_id, token_id, count(trait_value) AS n_traits
         FROM traits GROUP BY ALL)
         SELECT * FROM ranked JOIN counted USING (collection_id, token_id)
@@ -246,8 +246,21 @@ _ORACLE = {
 }
 
 
+_LINE_NAMES = """SELECT CAST(l_suppkey AS VARCHAR) AS collection_id,
+    l_orderkey || '-' || l_linenumber AS token_id, CAST(l_linenumber % 3 AS INTEGER) AS n
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_name = 'Supplier#000000001'"""
+_ORACLE["contract_report_base"] = _LINE_NAMES
+_ORACLE["contract_report_metadata"] = f"{_LINE_NAMES} AND l_linenumber % 3 > 0"
+_ORACLE["find_by_address"] = f"""SELECT CAST(s_suppkey AS INTEGER) AS id, {_LABEL} AS collection_name,
+    s_name AS contract_address FROM supplier WHERE lower(s_name) = 'supplier#000000001'"""
+_FLAGS = """SELECT CAST(l_linenumber AS VARCHAR) AS collection_id, CAST(l_partkey AS VARCHAR) AS token_id, 'flag' AS trait_type,
+    l_returnflag AS trait_value FROM lineitem WHERE l_linenumber <> 1"""
+_ORACLE["rank_with_overflow"] = f"""WITH {rarity_sql(_FLAGS, _FLAGS).strip()}
+    SELECT * FROM ranked UNION ALL SELECT '1', NULL, NULL, NULL"""
+
 # What failed at first is taken up, so the result is that of a run without failures.
 _ORACLE["resume_after_failures"] = _ORACLE["end_to_end_run"]
+_ORACLE["late_arrivals_stream"] = _ORACLE["end_to_end_run"]
 
 
 def all_oracles() -> dict[str, str]:

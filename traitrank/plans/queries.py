@@ -187,7 +187,7 @@ def tokens_numeric_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def rank_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.by_rank(_part_rarity(spark, sf_dir))
+    return reports.rank_positions(_part_rarity(spark, sf_dir))
 
 
 @_query
@@ -200,15 +200,51 @@ def collection_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing["rarity"].join(per_token, ["collection_id", "token_id"])
 
 
+def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.supplier_contracts(spark, sf_dir).select(
+        F.col("collection_id").cast("int").alias("id"), "collection_name", "contract_address"
+    )
+
+
+def _contract_report(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Lines as ranked tokens of suppliers; their address is asked for in another spelling."""
+    ranks, known = inputs.line_ranks(spark, sf_dir), _suppliers(spark, sf_dir)
+    named = ranks.select("collection_id", "token_id", (F.col("rank") % 3).alias("n"))
+    return reports.contract_report(known, named, named.filter("n > 0"), ranks, "SUPPLIER#000000001")
+
+
 @_query
 def contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.by_rank(
-        reports.contract_ranks(
-            inputs.supplier_contracts(spark, sf_dir),
-            inputs.line_ranks(spark, sf_dir),
-            "Supplier#000000001",
-        )
+    return _contract_report(spark, sf_dir)["rarity"]
+
+
+@_query
+def contract_report_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _contract_report(spark, sf_dir)["base"]
+
+
+@_query
+def contract_report_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _contract_report(spark, sf_dir)["metadata"]
+
+
+@_query
+def find_by_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.find_by_address(_suppliers(spark, sf_dir), "sUPPLIER#000000001")
+
+
+@_query
+def rank_with_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers as collections, one of them with counts whose odds do not fit INT."""
+    traits = inputs.read(spark, sf_dir, "lineitem").select(
+        F.col("l_linenumber").cast("string").alias("collection_id"),
+        F.col("l_partkey").cast("string").alias("token_id"),
+        F.lit("flag").alias("trait_type"),
+        F.col("l_returnflag").alias("trait_value"),
+        F.when((F.col("l_linenumber") == 1) & (F.col("l_returnflag") == "N"), 1_000_000_000).otherwise(1).alias("weight"),
     )
+    ranks, overflowing = rarity.score_and_rank(traits, traits, weight="weight")
+    return ranks.unionByName(overflowing, allowMissingColumns=True)
 
 
 @_query
@@ -609,3 +645,27 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     run.rank()
     return audit.audit_tokens(run.table("base"), run.table("rarity"), run.table("metadata"))
+
+
+@_query
+def late_arrivals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drained before their pages, and pages before their contract is registered."""
+    run = RarityRun(spark, schemas.TableNames(prefix=scratch_database(spark)))
+    run.create_tables()
+    staging = Staging(spark)
+    paths = {k: staging.path(k) for k in ("pages", "documents", "pages_seen", "documents_seen")}
+    inputs.part_pages(spark, sf_dir).write.json(paths["pages"])
+    inputs.part_documents(spark, sf_dir).write.json(paths["documents"])
+
+    def drain() -> None:
+        documents = incremental.file_stream(spark, paths["documents"], schemas.DOCUMENTS)
+        incremental.drain_documents(documents, run.names, paths["documents_seen"])
+        pages = incremental.file_stream(spark, paths["pages"], schemas.PAGES)
+        incremental.drain_pages(pages, run.names, paths["pages_seen"])
+
+    drain()
+    run.register(inputs.part_contracts(spark, sf_dir))
+    for _ in range(2):
+        drain()
+    run.rank()
+    return _ranked_with_status(run)

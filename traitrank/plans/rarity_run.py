@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from traitrank import schemas
 from traitrank.operators import ingest, registry
 from traitrank.operators.joins import restrict
-from traitrank.operators.rarity import trait_rarity
-from traitrank.operators.store import note_documents, note_pages, store_documents, store_records
+from traitrank.operators.rarity import score_and_rank
+from traitrank.operators.store import note_documents, note_pages, reject_collections, store_documents, store_records
 from traitrank.operators.upsert import append, create_table, drop_table, merge_update, merge_upsert
 from traitrank.sources.staging import Staging
 from traitrank.sources.tables import fresh_table
@@ -133,12 +133,18 @@ class RarityRun:
         )
 
     def rank(self, collection_ids: DataFrame | None = None) -> None:
-        """Score and rank the given collections (collection_id), or all, and merge the result."""
+        """Score and rank the given collections (collection_id), or all, and merge the result.
+
+        A collection with a score beyond INT is rejected, keeps its earlier ranks and stops no other.
+        """
         base, metadata = self.table("base"), self.table("metadata")
         if collection_ids is not None:
             base, metadata = self._of(base, collection_ids), self._of(metadata, collection_ids)
+        ranks, overflowing = score_and_rank(metadata, base)
+        if not overflowing.isEmpty():
+            reject_collections(overflowing, "score_overflow", self.names)
         merge_upsert(
-            trait_rarity(metadata, base),
+            ranks,
             self.names.full("rarity"),
             schemas.TOKEN_KEYS,
             schemas.PARTITION,

@@ -10,14 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from traitrank import schemas
-from traitrank.operators.ingest import attach_collection, document_records, join_documents, page_records
-from traitrank.operators.joins import restrict
+from traitrank.operators.ingest import with_landing
+from traitrank.operators.joins import lookup_join, restrict
 from traitrank.operators.registry import collections_of
-from traitrank.operators.store import store_documents, store_records
-from traitrank.operators.upsert import absent, merge_upsert, touched_rows
+from traitrank.operators.upsert import merge_upsert
+from traitrank.plans.rarity_run import RarityRun
 from traitrank.sources.staging import Staging
 from traitrank.sources.tables import fresh_table
 
@@ -47,38 +48,89 @@ def drain(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame], None
 
 
 def drain_into(
-    stream: DataFrame, table: str, keys: Sequence[str], partition: str, checkpoint: str
+    stream: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    partition: str,
+    checkpoint: str,
+    newest_by: str | None = None,
 ) -> None:
-    """Upsert a stream of rows with unique keys per batch into a table."""
-    drain(stream, checkpoint, lambda batch: merge_upsert(batch, table, keys, partition))
+    """Upsert a stream of rows into a table.
+
+    With ``newest_by`` a batch may hold several versions of a key; the one with the greatest
+    value of that column is taken. Without it a repeated key is an error.
+    """
+
+    def newest(batch: DataFrame) -> DataFrame:
+        if newest_by is None:
+            return batch
+        row = F.max_by(F.struct(*batch.columns), F.struct(newest_by, *batch.columns)).alias("row")
+        return batch.groupBy(*keys).agg(row).select("row.*")
+
+    drain(stream, checkpoint, lambda batch: merge_upsert(newest(batch), table, keys, partition))
     stream.sparkSession.catalog.refreshTable(table)
 
 
-def drain_pages(pages: DataFrame, names: schemas.TableNames, checkpoint: str) -> None:
-    """Add the tokens of newly landed pages to the base table."""
+def _keep_waiting(rows: DataFrame, table: str) -> None:
+    """What the table holds from now on. Repeated rows, as of a replayed batch, are kept once."""
+    kept = Staging.of(rows).write(rows.distinct(), "waiting")
+    if not (kept.isEmpty() and fresh_table(rows.sparkSession, table).isEmpty()):
+        kept.select(*rows.sparkSession.table(table).columns).write.insertInto(table, overwrite=True)
+
 
-    def handle(batch: DataFrame) -> None:
-        registry = fresh_table(batch.sparkSession, names.full("registry"))
-        records = page_records(attach_collection(batch, registry))
-        store_records(Staging.of(batch).write(records, "records"), names)
+def drain_pages(pages: DataFrame, names: schemas.TableNames, checkpoint: str) -> None:
+    """Add the tokens of newly landed pages to the base table and advance the states.
+
+    Pages of contracts that are not registered yet wait in a table of their own; every batch, and
+    every drain at its end, takes up those whose contract has become known.
+    """
+    spark = pages.sparkSession
+    run, waiting = RarityRun(spark, names), names.full("waiting_pages")
+    columns = schemas.WAITING_PAGES.names
+
+    def handle(batch: DataFrame | None) -> None:
+        landed = fresh_table(spark, waiting).select(*columns)
+        if batch is not None:
+            landed = landed.unionByName(with_landing(batch).select(*columns))
+        landed = Staging(spark).write(landed, "landed")
+        if landed.isEmpty():
+            return
+        run.ingest_base(landed)
+        known = run.table("registry").select(F.lower("contract_address").alias("__address")).distinct()
+        keyed = landed.withColumn("__address", F.lower("contract_address"))
+        _keep_waiting(lookup_join(keyed, known, ["__address"], how="left_anti", spread=["page_no"]).drop("__address"), waiting)
 
     drain(pages, checkpoint, handle)
-    pages.sparkSession.catalog.refreshTable(names.full("base"))
+    handle(None)
+    spark.catalog.refreshTable(names.full("base"))
 
 
 def drain_documents(documents: DataFrame, names: schemas.TableNames, checkpoint: str) -> None:
-    """Add the traits of newly landed documents for tokens that have none yet."""
-
-    def handle(batch: DataFrame) -> None:
-        spark = batch.sparkSession
-        # Only the partitions of the contracts in the batch are read.
-        ids = collections_of(fresh_table(spark, names.full("registry")), batch)
-        base = restrict(fresh_table(spark, names.full("base")), ids, schemas.PARTITION, ["token_id"])
-        joined = Staging.of(batch).write(join_documents(base, batch), "joined")
-        metadata = fresh_table(spark, names.full("metadata"))
-        known = touched_rows(metadata, joined, schemas.TOKEN_KEYS, schemas.PARTITION)
-        records = document_records(absent(joined, known, schemas.TOKEN_KEYS))
-        store_documents(Staging.of(batch).write(records, "documents"), names)
+    """Add the traits of newly landed documents for tokens that have none yet, and advance the states.
+
+    Documents of tokens that are not listed yet wait, as pages do.
+    """
+    spark = documents.sparkSession
+    run, waiting = RarityRun(spark, names), names.full("waiting_documents")
+    columns = schemas.DOCUMENTS.names
+
+    def handle(batch: DataFrame | None) -> None:
+        landed = fresh_table(spark, waiting).select(*columns)
+        if batch is not None:
+            landed = landed.unionByName(batch.select(*columns))
+        landed = Staging(spark).write(landed, "landed")
+        if landed.isEmpty():
+            return
+        run.ingest_metadata(landed)
+        # Only the partitions of the contracts that landed are read.
+        ids = collections_of(run.table("registry"), landed)
+        listed = restrict(run.table("base"), ids, schemas.PARTITION, ["token_id"]).select(
+            F.lower("contract_address").alias("__address"), "token_id"
+        ).distinct()
+        keyed = landed.withColumn("__address", F.lower("contract_address"))
+        unlisted = keyed.join(listed, ["__address", "token_id"], "left_anti")
+        _keep_waiting(unlisted.select(*columns), waiting)
 
     drain(documents, checkpoint, handle)
-    documents.sparkSession.catalog.refreshTable(names.full("metadata"))
+    handle(None)
+    spark.catalog.refreshTable(names.full("metadata"))
