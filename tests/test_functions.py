@@ -50,6 +50,11 @@ def test_token_id_edges(spark):
         "0x" + "0" * 70: "0",
         "0x" + "f" * 64: str(2**256 - 1),
         "9" * 90: "9" * 90,
+        "12\u0085": "12",
+        "12\u2028": "12",
+        "\u200712\u2029\n": "12",
+        "0xff\u2029": "255",
+        "12\u200b": None,
     }
     got = evaluate(spark, list(expected), parse_token_id(F.col("v")))
     assert dict(zip(expected, got)) == expected

@@ -219,3 +219,55 @@ def test_traits_from_columns(spark):
     df = spark.createDataFrame([(1, "x", None)], "id int, a string, b int")
     got = traits_from_columns(df, F.lit("c"), F.col("id"), {"a": F.col("a"), "b": F.col("b")})
     assert rows(got) == sorted([("c", "1", "a", "x"), ("c", "1", "b", None)], key=repr)
+
+
+def attached(spark, bodies):
+    data = [("1", "c", "0xA", i, 200, b) for i, b in enumerate(bodies)]
+    return spark.createDataFrame(
+        data, "collection_id string, collection_name string, contract_address string, page_no long, http_status int, body string"
+    )
+
+
+def test_no_size_of_a_body_costs_its_page(spark):
+    long_text = "x" * 25_000_000
+    mib = "y" * (1 << 20)
+    bodies = spark.range(3).select(
+        F.lit("1").alias("collection_id"), F.lit("c").alias("collection_name"), F.lit("0xA").alias("contract_address"),
+        F.col("id").alias("page_no"), F.lit(200).alias("http_status"),
+        F.when(F.col("id") == 0, F.concat(F.lit('{"nfts":[{"tokenId":"1","title":"'), F.repeat(F.lit("x"), F.lit(len(long_text))), F.lit('"},{"tokenId":"2"}]}')))
+        .when(
+            F.col("id") == 1,
+            F.concat(F.lit('{"nfts":['), F.array_join(F.array_repeat(F.concat(F.lit('{"tokenId":"3","x":"'), F.repeat(F.lit("y"), F.lit(len(mib))), F.lit('"}')), 140), ","), F.lit("]}")),
+        )
+        .otherwise(F.lit('{"nfts":[{"tokenId":"4"}]}')).alias("body"),
+    )
+    records = ingest.page_records(bodies.repartition(3))
+    found = records.groupBy("token_id", "reject_reason").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("name")).alias("name"))
+    assert rows(found) == [("1", None, 1, 25_000_000), ("2", None, 1, 0), ("3", None, 140, 0), ("4", None, 1, 0)]
+
+
+def test_the_last_of_repeated_keys_counts(spark):
+    page = '{"nfts":[{"tokenId":"1","tokenId":"2","title":"a","title":"b"},"{\\"tokenId\\":\\"9\\"}"]}'
+    got = ingest.page_records(attached(spark, [page])).select("token_id", "name", "reject_reason")
+    assert rows(got) == [("2", "b", None), (None, "", "record_not_an_object")]
+    body = '{"raw":{"metadata":{"name":"a","name":"b","attributes":[{"trait_type":"t","trait_type":"u","value":1}]}}}'
+    assert traits(spark, body) == [("u", "1")]
+
+
+def test_documents_are_chosen_without_their_bodies(spark):
+    staging = Staging(spark)
+    tokens = staging.write(
+        spark.createDataFrame([("1", "c", "0xA", "1")], "collection_id string, collection_name string, contract_address string, token_id string"),
+        "tokens",
+    )
+    landed = staging.write(spark.createDataFrame([("0xA", "1", 1, 200, "x")], schemas.DOCUMENTS), "landed")
+    plan = ingest.wanted_documents(tokens, landed)._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Aggregate" in line and "body" in line]
+
+
+def test_ledger_tells_what_to_open(spark):
+    schema = "collection_id string, page_no long, landed_no long, http_status int, body string"
+    pages = [("1", 0, 1, 200, "a"), ("1", 1, 1, 500, ""), ("1", 1, 2, 200, "b"), ("1", 2, 1, 500, ""), ("1", 3, 3, 404, "")]
+    ledger = [("1", "base", "0", 1, True), ("1", "base", "1", 1, False), ("1", "base", "2", 1, False)]
+    got = ingest.wanted_pages(spark.createDataFrame(pages, schema), spark.createDataFrame(ledger, schemas.LEDGER))
+    assert rows(got.select("page_no", "landed_no", "body")) == [(1, 2, "b"), (3, 3, "")]

@@ -288,3 +288,22 @@ def test_namespace(spark, database):
         assert spark.catalog.tableExists(f"{database}.here")
     finally:
         use_namespace(spark, database=before)
+
+
+def test_newest_version_of_a_key_in_a_batch(spark, database):
+    table = f"{database}.ranks"
+    upsert.create_table(spark, table, schemas.RARITY, schemas.PARTITION)
+    staging = Staging(spark)
+    path = staging.path("versions")
+    spark.createDataFrame([("1", "a", 5, 1), ("1", "a", 7, 2), ("1", "b", 1, 1)], schemas.RARITY).coalesce(1).write.json(path)
+    stream = incremental.file_stream(spark, path, schemas.RARITY)
+    incremental.drain_into(stream, table, schemas.TOKEN_KEYS, schemas.PARTITION, staging.path("seen"), newest_by="rank")
+    assert rows(spark.table(table).select(*schemas.RARITY.names)) == [("1", "a", 7, 2), ("1", "b", 1, 1)]
+
+
+def test_wide_updates_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1 << 20)
+    updates = spark.range(200).select("id", F.repeat(F.lit("x"), F.lit(1 << 14)).alias("status"))
+    target = spark.range(300).select("id", F.lit("old").alias("status"))
+    plan = upsert.updated(target, updates, ["id"], ["status"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
