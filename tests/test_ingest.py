@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from traitrank import schemas
 from traitrank.operators import ingest
-from traitrank.sources.paged import land_pages, page_chain, paged_source
+from traitrank.sources.paged import LOOP, folder_fetch, land_documents, land_pages, page_chain, paged_source
 from traitrank.sources.tables import read_pages, traits_from_columns
 from traitrank.sources.staging import Staging
 
@@ -271,3 +271,40 @@ def test_ledger_tells_what_to_open(spark):
     ledger = [("1", "base", "0", 1, True), ("1", "base", "1", 1, False), ("1", "base", "2", 1, False)]
     got = ingest.wanted_pages(spark.createDataFrame(pages, schema), spark.createDataFrame(ledger, schemas.LEDGER))
     assert rows(got.select("page_no", "landed_no", "body")) == [(1, 2, "b"), (3, 3, "")]
+
+
+def test_a_chain_that_turns_in_circles_ends_as_failed():
+    def circle(contract, page_key):
+        return 200, json.dumps({"nfts": [1], "pageKey": {None: "x", "x": "y", "y": "x"}[page_key]})
+
+    assert [r[1:3] for r in page_chain(circle, "a")] == [(0, 200), (1, 200), (2, 200), (3, LOOP)]
+
+
+def test_a_chain_goes_on_from_a_page(spark):
+    starts = [("a", "2", 2), ("a", "1", 1), ("b", None, None)]
+    contracts = spark.createDataFrame(starts, "contract_address string, page_key string, page_no long")
+    got = [r[:3] for r in rows(land_pages(contracts, fetch))]
+    assert got == [("a", 1, 200), ("a", 2, 200), ("b", 0, 200), ("b", 1, 429)]
+
+
+def test_documents_land_on_executors(spark):
+    def answer(contract, token):
+        return (500, None) if token == "7" else (200, f"{contract}/{token}")
+
+    tokens = spark.createDataFrame([("a", str(i % 150)) for i in range(200)], "contract_address string, token_id string")
+    landed = land_documents(tokens.withColumn("body", F.lit(1)), answer, 4, tasks=3)
+    assert landed.schema == schemas.DOCUMENTS
+    got = rows(landed)
+    assert len(got) == 150 and ("a", "7", 4, 500, None) in got and ("a", "8", 4, 200, "a/8") in got
+    assert rows(land_documents(tokens.limit(0), answer, 4)) == []
+
+
+def test_a_folder_is_read_whole_whatever_its_name(tmp_path, spark):
+    name = "0x:1%/[b]"
+    spark.createDataFrame([(name, 0, "{")], "contract_address string, page_no long, value string").write.partitionBy(
+        "contract_address", "page_no"
+    ).text(f"{tmp_path}/p")
+    (folder,) = (tmp_path / "p").glob("*/page_no=0")
+    (folder / "part-99999.txt").write_text("}\n")
+    assert folder_fetch(f"{tmp_path}/p")(name, None) == (200, "{\n}")
+    assert folder_fetch(f"{tmp_path}/p")(name, "1") == (404, "")

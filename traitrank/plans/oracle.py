@@ -205,6 +205,8 @@ _ORACLE = {
         END AS reject_reason FROM part WHERE p_brand IN {_BAD_BRANDS}""",
     "paged_source": f"""SELECT p_type AS collection_id, CAST(p_partkey AS VARCHAR) AS token_id,
         {_LISTED_NAME} {_LISTED_PART}""",
+    "land_pages": f"""SELECT p_type AS collection_id, CAST(p_partkey AS VARCHAR) AS token_id,
+        {_LISTED_NAME} {_LISTED_PART}""",
     "register_collections": f"""WITH {_REGISTRY} SELECT {_NEW_IDS}, {_LABEL} AS collection_name,
         s_name AS contract_address, 'NOT_FETCHED' AS status FROM supplier WHERE s_nationkey >= 12""",
     "get_or_create_ids": f"""WITH {_REGISTRY} SELECT *, false AS created FROM registry

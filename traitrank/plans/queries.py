@@ -21,7 +21,7 @@ from traitrank.functions import (
 from traitrank.operators import audit, ingest, joins, ordering, rarity, registry, reports, upsert
 from traitrank.plans import inputs
 from traitrank.plans.rarity_run import RarityRun
-from traitrank.sources.paged import folder_fetch, paged_source
+from traitrank.sources.paged import folder_fetch, land_pages, paged_source
 from traitrank.sources.staging import Staging
 from traitrank.streaming import incremental
 
@@ -438,9 +438,8 @@ def quarantine_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_query
-def query_paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages landed as files, read back through the paged data source and flattened."""
+def _landed_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the part pages as files, to be fetched page by page."""
     root = Staging(spark).path("landed")
     pages = inputs.part_pages(spark, sf_dir).select("contract_address", "page_no", "body")
     # A contract may lack a key range, so its pages are numbered anew; each names the next
@@ -457,13 +456,31 @@ def query_paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         .write.partitionBy("contract_address", "page_no")
         .text(root)
     )
-    source = paged_source(folder_fetch(root))
+    return root
+
+
+def _names_listed(pages: DataFrame) -> DataFrame:
+    listed = ingest.first_listing(ingest.flatten_pages(inputs.with_part_collection(pages)))
+    return listed.select("collection_id", "token_id", "name")
+
+
+@_query
+def query_paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed as files, read back through the paged data source and flattened.
+
+    The source takes its contracts as an option, so it is for lists that fit one.
+    """
+    source = paged_source(folder_fetch(_landed_folder(spark, sf_dir)))
     spark.dataSource.register(source)
     contracts = [r[0] for r in inputs.part_contracts(spark, sf_dir).select("contract_address").collect()]
-    read = spark.read.format(source.name()).option("contracts", json.dumps(contracts)).load()
-    return ingest.first_listing(ingest.flatten_pages(inputs.with_part_collection(read))).select(
-        "collection_id", "token_id", "name"
-    )
+    return _names_listed(spark.read.format(source.name()).option("contracts", json.dumps(contracts)).load())
+
+
+@_query
+def query_land_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages fetched for a table of contracts, which stays on the executors."""
+    landed = land_pages(inputs.part_contracts(spark, sf_dir), folder_fetch(_landed_folder(spark, sf_dir)))
+    return _names_listed(Staging(spark).write(landed, "pages"))
 
 
 # -- registry ---------------------------------------------------------------------------

@@ -3,6 +3,8 @@
 How a page is fetched is injected: ``fetch(contract, page_key)`` returns the response
 status and body, with ``page_key`` None for the first page. The pages of one contract
 form a chain and are read by one task, but streamed row by row and never held together.
+A long chain that broke off can go on from a page further down. Metadata documents have no
+order, so those of one contract are spread over all tasks.
 """
 
 from __future__ import annotations
@@ -13,10 +15,11 @@ from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-from traitrank.schemas import PAGES
+from traitrank.schemas import DOCUMENTS, PAGES
 
 # What runs on the executors travels with the job; the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -25,13 +28,19 @@ Fetch = Callable[[str, str | None], tuple[int, str]]
 PageRow = tuple[str, int, int, str]
 
 
-def page_chain(fetch: Fetch, contract: str) -> Iterator[PageRow]:
-    """All pages of a contract as rows of ``PAGES``.
+# Status of the row that ends a chain whose next key was had before.
+LOOP = 508
+_ROWS = 64
 
-    The chain ends with a failed response, an empty page or a page without a next key. A
-    fetch that raises fails the task, which Spark runs again.
+
+def page_chain(fetch: Fetch, contract: str, page_key: str | None = None, page_no: int = 0) -> Iterator[PageRow]:
+    """All pages of a contract from the given one on, as rows of ``PAGES``.
+
+    The chain ends with a failed response, an empty page or a page without a next key. A next
+    key that was had before gives one more row, failed with status ``LOOP``. A fetch that raises
+    fails the task, which Spark runs again.
     """
-    page_key, page_no = None, 0
+    had = {page_key}
     while True:
         status, body = fetch(contract, page_key)
         yield contract, page_no, status, body
@@ -42,26 +51,69 @@ def page_chain(fetch: Fetch, contract: str) -> Iterator[PageRow]:
         if not page.get("nfts") or not page_key:
             return
         page_no += 1
+        if page_key in had:
+            yield contract, page_no, LOOP, ""
+            return
+        had.add(page_key)
+
+
+def _columns(schema: StructType) -> str:
+    return schema.simpleString()[len("struct<") : -1].replace(":", " ")
+
+
+def _tasks(df: DataFrame) -> int:
+    """Four per core: the work lies in waiting for responses, which the size of a list does not show."""
+    return 4 * df.sparkSession.sparkContext.defaultParallelism
 
 
 def land_pages(contracts: DataFrame, fetch: Fetch, tasks: int | None = None) -> DataFrame:
-    """Pages of all ``contracts`` (contract_address), one chain per contract.
+    """Pages of all ``contracts`` (contract_address[, page_key, page_no]), one chain per contract.
 
-    The contracts are spread over ``tasks`` tasks, by default four per core: the work lies
-    in waiting for responses, which the size of the contract list does not show.
+    With ``page_key`` and its ``page_no`` a chain starts there, at the earliest one if a contract
+    has several; NULLs stand for the first page. The contracts are spread over ``tasks`` tasks.
     """
-    tasks = tasks or 4 * contracts.sparkSession.sparkContext.defaultParallelism
 
     def read(batches):
         import pandas as pd
 
         for batch in batches:
-            for contract in batch["contract_address"]:
-                for row in page_chain(fetch, contract):
+            for contract, page_key, page_no in zip(*(batch[c] for c in ("contract_address", "page_key", "page_no"))):
+                first = (page_key, int(page_no)) if isinstance(page_key, str) else (None, 0)
+                for row in page_chain(fetch, contract, *first):
                     yield pd.DataFrame([row], columns=PAGES.names)
 
-    spread = contracts.select("contract_address").distinct().repartition(tasks, "contract_address")
-    return spread.mapInPandas(read, PAGES.simpleString()[len("struct<") : -1].replace(":", " "))
+    start = [F.col(c) if c in contracts.columns else F.lit(None) for c in ("page_no", "page_key")]
+    start = F.struct(start[0].cast("long").alias("page_no"), start[1].cast("string").alias("page_key"))
+    once = contracts.groupBy("contract_address").agg(F.min(start).alias("start"))
+    spread = once.select("contract_address", "start.page_key", F.coalesce("start.page_no", F.lit(0)).alias("page_no"))
+    return spread.repartition(tasks or _tasks(contracts), "contract_address").mapInPandas(read, _columns(PAGES))
+
+
+def land_documents(tokens: DataFrame, fetch: Fetch, landed_no: int, tasks: int | None = None) -> DataFrame:
+    """Documents of all ``tokens`` (contract_address, token_id) as rows of ``DOCUMENTS``.
+
+    ``fetch(contract, token_id)`` returns status and body; what failed is a row as well. All rows
+    bear the ``landed_no`` of this landing. Tokens are spread over ``tasks`` tasks whatever their
+    contract.
+    """
+
+    def read(batches):
+        import pandas as pd
+
+        for batch in batches:
+            rows = []
+            for contract, token in zip(batch["contract_address"], batch["token_id"]):
+                answer = dict(zip(("http_status", "body"), fetch(contract, token)))
+                rows.append({"contract_address": contract, "token_id": token, "landed_no": landed_no, **answer})
+                if len(rows) == _ROWS:
+                    yield pd.DataFrame(rows)[DOCUMENTS.names]
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows)[DOCUMENTS.names]
+
+    keys = ["contract_address", "token_id"]
+    spread = tokens.select(*keys).distinct().repartition(tasks or _tasks(tokens), *keys)
+    return spread.mapInPandas(read, _columns(DOCUMENTS))
 
 
 class _ContractPartition(InputPartition):
@@ -99,11 +151,15 @@ def paged_source(fetch: Fetch, source_name: str = "paged_listing") -> type[DataS
     return PagedListing
 
 
+# Characters that Spark writes as % and two hex digits in folder names.
+_ESCAPED = {ord(c): f"%{ord(c):02X}" for c in "\"#%'*/:=?\\\x7f{[]^" + "".join(map(chr, range(1, 32)))}
+
+
 def folder_fetch(root: str) -> Fetch:
-    """Fetches pages kept as one file each under ``root/contract_address=…/page_no=…/``.
+    """Fetches pages kept as text files under ``root/contract_address=…/page_no=…/``.
 
     ``root`` may lie on any file system that pyarrow reaches. The page key is the number
-    of the page in its folder name.
+    of the page in its folder name. Several part files of a page are its body in order of names.
     """
 
     def fetch(contract: str, page_key: str | None) -> tuple[int, str]:
@@ -111,12 +167,15 @@ def folder_fetch(root: str) -> Fetch:
 
         uri = root.replace("file:/", "file:///", 1) if root.startswith("file:/") and not root.startswith("file://") else root
         system, base = fs.FileSystem.from_uri(uri)
-        folder = f"{base}/contract_address={contract}/page_no={page_key or 0}"
+        folder = f"{base}/contract_address={contract.translate(_ESCAPED)}/page_no={page_key or 0}"
         listed = system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-        parts = [f.path for f in listed if f.base_name.startswith("part-")]
+        parts = sorted(f.path for f in listed if f.base_name.startswith("part-"))
         if not parts:
             return 404, ""
-        with system.open_input_stream(parts[0]) as stream:
-            return 200, stream.read().decode("utf-8").rstrip("\n")
+        texts = []
+        for part in parts:
+            with system.open_input_stream(part) as stream:
+                texts.append(stream.read().decode("utf-8").rstrip("\n"))
+        return 200, "\n".join(texts)
 
     return fetch
