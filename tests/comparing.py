@@ -15,6 +15,10 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def rows(df) -> list[tuple]:
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
 def bag(columns: list[str], rows: list) -> Counter:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return Counter(tuple(row[i] for i in order) for row in rows)

@@ -30,7 +30,3 @@ def database(spark):
     name = scratch_database(spark)
     yield name
     spark.sql(f"DROP DATABASE {name} CASCADE")
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -2,7 +2,7 @@ import json
 import sys
 
 import pytest
-from conftest import rows
+from comparing import rows
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import rows
+from comparing import rows
 from pyspark.sql import functions as F
 
 from traitrank.operators import joins, ordering, rarity

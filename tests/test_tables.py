@@ -4,7 +4,7 @@ import json
 from types import SimpleNamespace
 
 import pytest
-from conftest import rows
+from comparing import rows
 from pyspark.sql import functions as F
 
 from traitrank import schemas
