@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitrank.llm import embedding_dedup, fingerprints, line_dedup, mixing, packing, quality, quotations, sharding, simhash, toxicity, warc
+from traitrank.llm import clustering, embedding_dedup, fingerprints, line_dedup, mixing, packing, quality, quotations, sharding, simhash, toxicity, warc
 from traitrank.llm.common import crc_remainder, table
 from traitrank.sources.staging import Staging
 
@@ -90,6 +90,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after ten rounds, and what the clustering came to."""
+    return clustering.cluster_vectors(table(spark, sf_dir, "embeddings")).drop("n_compared")
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, by bytes."""
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
@@ -107,6 +112,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_embeddings": op8_embeddings,
         "op9_packing": op9_packing,
         "op10_quality": op10_quality,
+        "op11_clustering": op11_clustering,
         "op12_sharding": op12_sharding,
     }
 
@@ -115,4 +121,5 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op3_quotations": quotations.ORACLE,
         "op4_site_lines": line_dedup.ORACLE,
+        "op11_clustering": clustering.ORACLE,
     }
