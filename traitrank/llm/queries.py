@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitrank.llm import clustering, embedding_dedup, fingerprints, line_dedup, mixing, packing, quality, quotations, sharding, simhash, toxicity, warc
+from traitrank.llm import clustering, embedding_dedup, fingerprints, line_dedup, mixing, negatives, packing, quality, quotations, sharding, simhash, toxicity, warc
 from traitrank.llm.common import crc_remainder, table
 from traitrank.sources.staging import Staging
 
@@ -100,6 +100,11 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector for each of its positives."""
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_spotsigs": op1_spotsigs,
@@ -114,6 +119,7 @@ def llm_queries() -> dict[str, Query]:
         "op10_quality": op10_quality,
         "op11_clustering": op11_clustering,
         "op12_sharding": op12_sharding,
+        "op13_negatives": op13_negatives,
     }
 
 
@@ -122,4 +128,5 @@ def llm_oracles() -> dict[str, str]:
         "op3_quotations": quotations.ORACLE,
         "op4_site_lines": line_dedup.ORACLE,
         "op11_clustering": clustering.ORACLE,
+        "op13_negatives": negatives.ORACLE,
     }
