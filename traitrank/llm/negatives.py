@@ -191,11 +191,19 @@ _CHOSEN = "pack long, block long, which binary, n_which int"
 _FOUND = "anchor_id long, window int, found_id long, score long"
 
 
+def _first(found: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    """The first k rows per anchor and window."""
+    rows = pd.concat(found)
+    rows = rows.iloc[np.lexsort((rows["found_id"], -rows["score"], rows["window"], rows["anchor_id"]))]
+    return rows[rows.groupby(["anchor_id", "window"]).cumcount() < k]
+
+
 def _read(width: int, k: int):
-    """The first k of a block in every window of the anchors that read it."""
+    """The first k of a batch of blocks in every window of the anchors that read them."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = []
             for row in batch.itertuples():
                 anchors, _, asked, windows = _opened(row, width)
                 which = np.flatnonzero(np.unpackbits(np.frombuffer(row.which, np.uint8), count=len(anchors)))
@@ -213,10 +221,14 @@ def _read(width: int, k: int):
                     got = np.take_along_axis(scores, there, axis=1)
                     i, j = np.nonzero((at < len(ids)) & (got >= low[:, None]))
                     if len(i):
-                        yield pd.DataFrame({
+                        found.append(pd.DataFrame({
                             "anchor_id": anchors[which][i], "window": np.full(len(i), w, np.int32),
                             "found_id": ids[order[i, there[i, j]]], "score": got[i, j],
-                        })
+                        }))
+                if len(found) > 64 * width:
+                    found = [_first(found, k)]
+            if found:
+                yield _first(found, k)
 
     return read
 
