@@ -263,6 +263,7 @@ _ORACLE["rank_with_overflow"] = f"""WITH {rarity_sql(_FLAGS, _FLAGS).strip()}
 # What failed at first is taken up, so the result is that of a run without failures.
 _ORACLE["resume_after_failures"] = _ORACLE["end_to_end_run"]
 _ORACLE["late_arrivals_stream"] = _ORACLE["end_to_end_run"]
+_ORACLE["waiting_in_state"] = _ORACLE["end_to_end_run"]
 
 
 def all_oracles() -> dict[str, str]:

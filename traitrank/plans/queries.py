@@ -664,6 +664,38 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_tokens(run.table("base"), run.table("rarity"), run.table("metadata"))
 
 
+@_query
+def waiting_in_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents before their pages and pages before their contract, each landing in two portions
+    with a drain between, so that what waits in the streams' state is let go in several batches."""
+    run = RarityRun(spark, schemas.TableNames(prefix=scratch_database(spark)))
+    run.create_tables()
+    staging = Staging(spark)
+    paths = {k: staging.path(k) for k in ("pages", "documents", "pages_seen", "documents_seen")}
+    pages, documents = inputs.part_pages(spark, sf_dir), inputs.part_documents(spark, sf_dir)
+    contracts = inputs.part_contracts(spark, sf_dir)
+    even = {"pages": F.col("page_no") % 2 == 0, "documents": F.col("token_id").cast("long") % 2 == 0}
+
+    def land(first: bool) -> None:
+        for name, df in (("pages", pages), ("documents", documents)):
+            df.filter(even[name] == F.lit(first)).write.mode("append").json(paths[name])
+
+    def drain() -> None:
+        stream = incremental.file_stream(spark, paths["documents"], schemas.DOCUMENTS)
+        incremental.drain_documents(stream, run.names, paths["documents_seen"])
+        stream = incremental.file_stream(spark, paths["pages"], schemas.PAGES)
+        incremental.drain_pages(stream, run.names, paths["pages_seen"])
+
+    land(True)
+    drain()
+    run.register(contracts)
+    land(False)
+    for _ in range(2):
+        drain()
+    run.rank()
+    return _ranked_with_status(run)
+
+
 @_query
 def late_arrivals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents drained before their pages, and pages before their contract is registered."""

@@ -83,13 +83,6 @@ DOCUMENTS = T.StructType(
 )
 
 
-# Ours: landed rows of a stream that nothing registered or listed belongs to yet.
-WAITING_PAGES = T.StructType(
-    PAGES.fields[:2] + [T.StructField("landed_no", T.LongType(), True)] + PAGES.fields[2:]
-)
-WAITING_DOCUMENTS = DOCUMENTS
-
-
 @dataclass(frozen=True)
 class TableNames:
     """Names of the tables; ``prefix`` may hold a catalog, a database or both."""
@@ -102,8 +95,6 @@ class TableNames:
     rarity: str = "nft_rarity_table"
     rejects: str = "ingest_rejects"
     ledger: str = "ingest_ledger"
-    waiting_pages: str = "waiting_pages"
-    waiting_documents: str = "waiting_documents"
 
     def full(self, kind: str) -> str:
         name = getattr(self, kind)
@@ -117,6 +108,4 @@ class TableNames:
             self.full("rarity"): RARITY,
             self.full("rejects"): REJECTS,
             self.full("ledger"): LEDGER,
-            self.full("waiting_pages"): WAITING_PAGES,
-            self.full("waiting_documents"): WAITING_DOCUMENTS,
         }
