@@ -346,7 +346,10 @@ def document_records(joined: DataFrame) -> DataFrame:
 def trait_rows(records: DataFrame) -> DataFrame:
     """One row per (token, attribute) among ``document_records``; a token without attributes
     keeps one row without trait."""
-    return records.select(*schemas.METADATA.names[:-2], F.explode("traits").alias("pair")).select(
+    # An inner explode would be guarded by a filter on the array's size, which Spark pushes below all
+    # joins, with the whole parse of the body inside; a rejected document has no array at all.
+    pairs = records.select(*schemas.METADATA.names[:-2], F.explode_outer("traits").alias("pair"))
+    return pairs.filter(F.col("pair").isNotNull()).select(
         *schemas.METADATA.names[:-2], "pair.trait_type", "pair.trait_value"
     )
 
@@ -365,4 +368,7 @@ def flatten_metadata(joined: DataFrame) -> DataFrame:
 
 def rejected_documents(joined: DataFrame) -> DataFrame:
     """``bad_documents`` of tokens with their document."""
-    return bad_documents(document_records(joined))
+    records = document_records(joined)
+    # Through a generator no filter is pushed, so the reason is worked out once.
+    once = records.select(F.explode_outer(F.array(F.struct(*records.columns))).alias("record"))
+    return bad_documents(once.select("record.*"))

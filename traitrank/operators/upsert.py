@@ -182,6 +182,13 @@ def merge_upsert(
         _in_table_order(_rebalanced(result, partition), table).write.insertInto(table, overwrite=True)
 
 
+def replace_groups(staged: DataFrame, table: str, partition: str) -> None:
+    """The partitions that ``staged`` has rows for hold these alone. Pass it staged: it may come from the table."""
+    fresh_table(staged.sparkSession, table)
+    with _dynamic_overwrite(staged.sparkSession):
+        _in_table_order(_rebalanced(staged, partition), table).write.insertInto(table, overwrite=True)
+
+
 def merge_update(
     updates: DataFrame,
     table: str,

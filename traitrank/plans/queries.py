@@ -19,6 +19,8 @@ from traitrank.functions import (
     variant_at,
 )
 from traitrank.operators import audit, ingest, joins, ordering, rarity, registry, reports, upsert
+from traitrank.operators.maintenance import MaintainedRarity
+from traitrank.operators.rank_lookup import rank_lookup
 from traitrank.plans import inputs
 from traitrank.plans.rarity_run import RarityRun
 from traitrank.sources.paged import folder_fetch, land_pages, paged_source
@@ -157,6 +159,25 @@ def token_rank_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("rank", F.col("rank").cast("int"))
 
 
+@_query
+def rank_after_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts added in three changes, the second of which is withdrawn by a fourth."""
+    kept = MaintainedRarity(spark, scratch_database(spark))
+    kept.create_tables()
+    third = F.col("token_id").cast("long") % 3
+    traits, base = inputs.part_traits(spark, sf_dir), inputs.part_base(spark, sf_dir)
+    for number, sign in ((0, 1), (1, 1), (2, 1), (1, -1)):
+        kept.apply(*[df.filter(third == number).withColumn("sign", F.lit(sign)) for df in (traits, base)])
+    return kept.table("rarity")
+
+
+@_query
+def query_rank_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks of every seventh part, without sorting a collection."""
+    scores = Staging(spark).write(_part_token_scores(spark, sf_dir), "scores")
+    return rank_lookup(scores, scores.filter(F.col("token_id").cast("long") % 7 == 0))
+
+
 # -- reports ----------------------------------------------------------------------------
 
 
@@ -273,6 +294,13 @@ def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def audit_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``audit_summary`` from bitmaps of the part keys."""
+    metadata = inputs.line_tokens(spark, sf_dir, F.col("l_linestatus") == "O")
+    return audit.audit_by_bitmaps(inputs.line_base(spark, sf_dir), inputs.line_rarity(spark, sf_dir), metadata)
+
+
 @_query
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.token_counts(
