@@ -102,3 +102,31 @@ def test_a_table_as_a_stream_gives_new_rows_only(spark, database):
 
     assert drain("1") == [("c", "1")]
     assert drain("2") == [("c", "1"), ("c", "2")]
+
+
+def test_filters_reach_the_paged_source(spark, tmp_path):
+    """Only contracts that a filter names are fetched; other filters stay with Spark."""
+    from traitrank.sources.paged import PUSHDOWN, paged_source
+
+    def fetch(contract, page_key):
+        (tmp_path / f"{contract}-{page_key}").touch()
+        return 200, '{"nfts":[{"tokenId":"1"}]' + (',"pageKey":"2"}' if page_key is None else "}")
+
+    spark.dataSource.register(paged_source(fetch, "counted", pushdown=True))
+
+    def fetched(condition):
+        for file in tmp_path.iterdir():
+            file.unlink()
+        before = spark.conf.get(PUSHDOWN)
+        spark.conf.set(PUSHDOWN, "true")
+        try:
+            df = spark.read.format("counted").option("contracts", '["a","b","c"]').load().filter(condition)
+            found = sorted((r.contract_address, r.page_no) for r in df.collect())
+        finally:
+            spark.conf.set(PUSHDOWN, before)
+        return found, len(list(tmp_path.iterdir()))
+
+    assert fetched("contract_address = 'b'") == ([("b", 0), ("b", 1)], 2)
+    assert fetched("contract_address in ('a', 'c') and page_no = 1") == ([("a", 1), ("c", 1)], 4)
+    assert fetched("contract_address = 'none'") == ([], 0)
+    assert fetched("page_no = 0") == ([("a", 0), ("b", 0), ("c", 0)], 6)

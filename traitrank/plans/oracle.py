@@ -264,6 +264,7 @@ _ORACLE["rank_with_overflow"] = f"""WITH {rarity_sql(_FLAGS, _FLAGS).strip()}
 _ORACLE["resume_after_failures"] = _ORACLE["end_to_end_run"]
 _ORACLE["late_arrivals_stream"] = _ORACLE["end_to_end_run"]
 _ORACLE["waiting_in_state"] = _ORACLE["end_to_end_run"]
+_ORACLE["paged_pushdown"] = f"{_ORACLE['paged_source']} AND p_type = 'ECONOMY'"
 _KEPT_PARTS = "(SELECT * FROM part WHERE p_partkey % 3 <> 1) part"
 _ORACLE["rank_after_delta"] = _ORACLE["rarity_part"].replace("FROM part", f"FROM {_KEPT_PARTS}")
 _ORACLE["rank_lookup"] = f"{_PART} SELECT * FROM ranked WHERE CAST(token_id AS BIGINT) % 7 = 0"

@@ -23,7 +23,7 @@ from traitrank.operators.maintenance import MaintainedRarity
 from traitrank.operators.rank_lookup import rank_lookup
 from traitrank.plans import inputs
 from traitrank.plans.rarity_run import RarityRun
-from traitrank.sources.paged import folder_fetch, land_pages, paged_source
+from traitrank.sources.paged import PUSHDOWN, folder_fetch, land_pages, paged_source
 from traitrank.sources.staging import Staging
 from traitrank.streaming import incremental
 
@@ -504,6 +504,22 @@ def query_paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _names_listed(spark.read.format(source.name()).option("contracts", json.dumps(contracts)).load())
 
 
+@_query
+def paged_pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One contract of the paged source: the filter reaches it, so no page of another one is fetched."""
+    source = paged_source(folder_fetch(_landed_folder(spark, sf_dir)), "paged_listing_of_one", pushdown=True)
+    spark.dataSource.register(source)
+    contracts = [r[0] for r in inputs.part_contracts(spark, sf_dir).select("contract_address").collect()]
+    before = spark.conf.get(PUSHDOWN)
+    spark.conf.set(PUSHDOWN, "true")
+    try:
+        read = spark.read.format(source.name()).option("contracts", json.dumps(contracts)).load()
+        pages = Staging(spark).write(read.filter(F.col("contract_address") == "ECONOMY"), "pages")
+    finally:
+        spark.conf.set(PUSHDOWN, before)
+    return _names_listed(pages)
+
+
 @_query
 def query_land_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same pages fetched for a table of contracts, which stays on the executors."""

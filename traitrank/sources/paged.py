@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 from pyspark.sql.types import StructType
 
 from traitrank.schemas import DOCUMENTS, PAGES
@@ -121,10 +121,25 @@ class _ContractPartition(InputPartition):
         super().__init__(contract)
 
 
-def paged_source(fetch: Fetch, source_name: str = "paged_listing") -> type[DataSource]:
+# The setting that lets filters reach a source written in Python.
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
+def _addresses(condition: Filter) -> set[str] | None:
+    """The contracts that a filter is for, None if it is about something else."""
+    if getattr(condition, "attribute", None) != ("contract_address",):
+        return None
+    if isinstance(condition, EqualTo):
+        return {condition.value}
+    return set(condition.value) if isinstance(condition, In) else None
+
+
+def paged_source(fetch: Fetch, source_name: str = "paged_listing", pushdown: bool = False) -> type[DataSource]:
     """Data source class for ``spark.dataSource.register``; reads the option ``contracts``.
 
-    The option is a JSON array of addresses; every address is an input partition.
+    The option is a JSON array of addresses; every address is an input partition. With
+    ``pushdown`` a filter that names addresses leaves the others unread; the session then needs
+    ``PUSHDOWN``, without which Spark refuses such a source.
     """
 
     class Reader(DataSourceReader):
@@ -135,7 +150,17 @@ def paged_source(fetch: Fetch, source_name: str = "paged_listing") -> type[DataS
             return [_ContractPartition(c) for c in self.contracts]
 
         def read(self, partition: InputPartition) -> Iterator[PageRow]:
-            return page_chain(fetch, partition.value)
+            # Without a contract Spark asks for a partition that is none.
+            return iter(()) if partition is None else page_chain(fetch, partition.value)
+
+    class PushedReader(Reader):
+        def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+            for condition in filters:
+                named = _addresses(condition)
+                if named is None:
+                    yield condition
+                else:
+                    self.contracts = [c for c in self.contracts if c in named]
 
     class PagedListing(DataSource):
         @classmethod
@@ -146,7 +171,7 @@ def paged_source(fetch: Fetch, source_name: str = "paged_listing") -> type[DataS
             return PAGES
 
         def reader(self, schema: StructType) -> DataSourceReader:
-            return Reader(list(dict.fromkeys(json.loads(self.options["contracts"]))))
+            return (PushedReader if pushdown else Reader)(list(dict.fromkeys(json.loads(self.options["contracts"]))))
 
     return PagedListing
 
