@@ -107,3 +107,64 @@ def test_votes_equal_plain_loop():
         near = np.argsort(-(unit[:60] @ row))[: quality.NEIGHBOURS]
         weight = np.maximum((unit[:60] @ row)[near].astype(float), 0) ** quality.SHARPNESS
         assert got == pytest.approx((weight * labels[near]).sum() / weight.sum(), rel=1e-4)
+
+
+def test_words_are_hashed_whole(monkeypatch):
+    mixed = (1 << 64) - 1
+
+    def plain(word):
+        total = 0
+        for at, sign in enumerate(word, 1):
+            z = at * 0x9E3779B97F4A7C15 & mixed
+            z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 & mixed
+            total += sign * ((z ^ z >> 27) | 1)
+        return total & mixed
+
+    words = [b"a", b"x" * 24 + b"1", b"x" * 24 + b"2", b"q" * 999 + b"1", b"q" * 999 + b"2", "漢字".encode() * 50, b"the"]
+    expected = [plain(w) for w in words]
+    assert toxicity._whole_sums(words).tolist() == expected and len(set(expected)) == len(words)
+    rows = toxicity.hashed(words)[0]
+    assert (rows[1] != rows[2]).any() and (rows[3] != rows[4]).any()
+    monkeypatch.setattr(toxicity, "_HASHED", 7)
+    assert toxicity._whole_sums(words).tolist() == expected
+
+
+def test_scores_equal_a_plain_convolution(spark, few):
+    """Word by word, position by position, filter by filter."""
+    docs, labels = few
+    model = toxicity.train(docs, labels, label="y")
+
+    def plain(text):
+        words = toxicity.words_of(text.encode())
+        best = np.zeros(len(toxicity.WIDTHS) * toxicity.FILTERS)
+        votes = np.array([sum(w.decode() in listed.split() for w in words) for listed in toxicity.LANGUAGES.values()])
+        embedded = [model.table[toxicity.hashed([w])[0][0]].mean(axis=0) for w in words] + [np.zeros(toxicity.DIMS)] * 2
+        for k, width in enumerate(toxicity.WIDTHS):
+            for at in range(len(words)):
+                seen = np.concatenate(embedded[at : at + width])
+                for f in range(toxicity.FILTERS):
+                    value = seen @ model.filters[k][:, f] + model.biases[k][f]
+                    best[k * toxicity.FILTERS + f] = max(best[k * toxicity.FILTERS + f], value)
+        told = int(votes.argmax()) if votes.any() else len(toxicity.LANGUAGES)
+        return 1 / (1 + np.exp(-(best @ model.out + model.out_bias[0] - model.shifts[told])))
+
+    texts = ["the bad1 word is here", "", "fine und nicht die " + "z" * 40, "bad2 " * 9]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    got = [r[0] for r in df.select(toxicity.toxicity_score(spark, model, F.col("text"))).collect()]
+    assert got == pytest.approx([plain(t) for t in texts], abs=1e-4)
+
+
+def test_training_texts_are_bounded_by_bytes(spark, few):
+    docs, labels = few
+    long = docs.withColumn("text", F.when(F.col("doc_id") == 5, F.repeat("text", 10_000)).otherwise(F.col("text")))
+    without = toxicity.train(docs.filter("doc_id <> 5"), labels, label="y", most_bytes=50_000)
+    bounded = toxicity.train(long, labels, label="y", most_bytes=50_000)
+    assert all((a == b).all() for a, b in zip(bounded.weights(), without.weights()))
+
+
+def test_sample_takes_the_lowest_hashes(spark):
+    labels = spark.range(20_000).select(F.col("id").alias("doc_id"), (F.col("id") % 5 == 0).cast("int").alias("y"))
+    got = {(r.doc_id, r.y) for r in quality.labelled_sample(labels, "doc_id", "y", 50).collect()}
+    ordered = labels.withColumn("h", F.xxhash64("doc_id")).orderBy("h").collect()
+    assert got == {(r.doc_id, r.y) for y in (0, 1) for r in [r for r in ordered if r.y == y][:50]}
+    assert quality.labelled_sample(labels, "doc_id", "y", 30_000).count() == 20_000

@@ -140,7 +140,20 @@ def _pack(text: Column) -> Column:
 def labelled_sample(labels: DataFrame, key: str, label: str, per_label: int) -> DataFrame:
     """(key, label) of at most ``per_label`` ids of each label 0 and 1, chosen by a hash of the id."""
     plain = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias(label))
-    order = Window.partitionBy(label).orderBy(F.xxhash64(key), key)
+    place = F.xxhash64(key)
+    # Only the lowest hashes are ranked: a few more than are wanted, whatever the number of labels. Where
+    # chance leaves too few below the bound, all are ranked.
+    bounds = {}
+    for row in plain.groupBy(label).count().collect():
+        share = min(1.0, (per_label + 8 * per_label**0.5 + 64) / row["count"])
+        bounds[row[label]] = (row["count"], min((1 << 63) - 1, round(share * (1 << 64)) - (1 << 63)))
+    low = F.lit(False)
+    for value, (_, bound) in bounds.items():
+        low = low | ((F.col(label) == value) & (place <= bound))
+    found = {row[label]: row["count"] for row in plain.filter(low).groupBy(label).count().collect()}
+    if all(found.get(value, 0) >= min(per_label, n) for value, (n, _) in bounds.items()):
+        plain = plain.filter(low)
+    order = Window.partitionBy(label).orderBy(place, key)
     return plain.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= per_label).drop("__n")
 
 
@@ -157,7 +170,7 @@ def train(
     rows = (
         docs.select(key, text).join(F.broadcast(sample), key)
         .select(key, label, _pack(F.col(text)).alias("t")).select(key, label, "t.columns", "t.weights")
-        .toPandas().sort_values([key, label]).drop_duplicates(key)
+        .toPandas().sort_values([key, label, "columns", "weights"]).drop_duplicates(key)
     )
     features = [(np.frombuffer(c, "<i8"), np.frombuffer(w, "<f8")) for c, w in zip(rows["columns"], rows["weights"])]
     if not features:

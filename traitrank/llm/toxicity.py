@@ -33,8 +33,10 @@ LEAST_STEPS = 300
 BATCH = 32
 # Share of the words that a training text loses at random, so that no single word decides.
 DROPOUT = 0.2
-# Words agree if so many bytes of them do.
-WORD_BYTES = 24
+# Text of the labelled documents that is learned from at most; documents beyond, in order of the hash, are left out.
+SAMPLE_BYTES = 48 << 20
+# Bytes of words that are hashed at once; a longer word is hashed in parts.
+_HASHED = 1 << 22
 _AT_ONCE = 1 << 16
 _GAP = max(WIDTHS) - 1
 
@@ -49,7 +51,6 @@ LANGUAGES = {
     "fr": "le la les et est que un une pour dans qui pas sur au il elle de",
     "es": "el los las la de y en por con para del se que lo como más su no al un una",
 }
-_FACTORS = np.random.default_rng(20).integers(1, 1 << 63, WORD_BYTES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -57,15 +58,44 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
+def _factors(begin: int, end: int) -> np.ndarray:
+    """Odd factors of the places in a word, however long it is."""
+    mixed = np.arange(begin + 1, end + 1, dtype=np.uint64) * _MIX
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed ^ (mixed >> np.uint64(27))) | np.uint64(1)
+
+
+def _whole_sums(words: list[bytes]) -> np.ndarray:
+    """Sum of all bytes of each word times the factors of their places."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    total, begin = np.zeros(len(words), np.uint64), 0
+    while begin < len(words):
+        end = max(begin + 1, begin + int(np.searchsorted(np.cumsum(sizes[begin : begin + _HASHED]), _HASHED, "right")))
+        if sizes[begin] > _HASHED:
+            signs = np.frombuffer(words[begin], np.uint8)
+            for at in range(0, len(signs), _HASHED):
+                part = signs[at : at + _HASHED].astype(np.uint64)
+                total[begin] += (part * _factors(at, at + len(part))).sum(dtype=np.uint64)
+        else:
+            signs = np.frombuffer(b"".join(words[begin:end]), np.uint8).astype(np.uint64)
+            own = sizes[begin:end]
+            starts = np.cumsum(own) - own
+            place = np.arange(len(signs)) - np.repeat(starts, own)
+            total[begin:end] = np.add.reduceat(signs * _factors(0, int(own.max()))[place], starts)
+        begin = end
+    return total
+
+
 def _sums(words: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Hash sums of the beginnings of each word, and of the words themselves."""
-    signs = np.array(words, dtype=f"S{WORD_BYTES}").view(np.uint8).reshape(len(words), WORD_BYTES)
+    """Hash sums of the beginnings of each word, and of the whole words."""
+    longest = max(STEMS)
+    signs = np.array(words, dtype=f"S{longest}").view(np.uint8).reshape(len(words), longest).astype(np.uint64)
     total, stems = np.zeros(len(words), np.uint64), []
-    for k in range(WORD_BYTES):
-        total = total + signs[:, k] * _FACTORS[k]
+    for k, factor in enumerate(_factors(0, longest)):
+        total = total + signs[:, k] * factor
         if k + 1 in STEMS:
             stems.append(total + np.uint64((k + 1) * int(_MIX) % (1 << 64)))
-    return stems, total
+    return stems, _whole_sums(words)
 
 
 def hashed(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +109,7 @@ def hashed(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _telling() -> tuple[np.ndarray, np.ndarray]:
     lists = [set(words.encode().split()) for words in LANGUAGES.values()]
     words = sorted(set().union(*lists))
-    sums = _sums(words)[1]
+    sums = _whole_sums(words)
     order = np.argsort(sums)
     return sums[order], np.array([[w in of for of in lists] for w in words], np.int64)[order]
 
@@ -243,10 +273,13 @@ def _language(votes: np.ndarray) -> int:
 
 def train(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    per_label: int = SAMPLE,
+    per_label: int = SAMPLE, most_bytes: int = SAMPLE_BYTES,
 ) -> Model:
     """A model of at most ``per_label`` documents of each label; their hashed words reach the driver.
 
+    They come to ``most_bytes`` of text at most: documents are taken in order of a hash of their id
+    while they fit, so that no long text, and no number of them, is more than the driver holds. Of
+    documents that repeat an id one counts, the same in every run.
     Three quarters are learned from, the rest calibrates. Null labels, null ids and labels other
     than 0 and 1 are passed over. Without documents of both labels the model is untrained and
     every score is one half.
@@ -264,10 +297,20 @@ def train(
             yield pa.StructArray.from_arrays([pa.array(rows, pa.binary()), pa.array(votes, pa.binary())], ["rows", "votes"])
 
     sample = labelled_sample(labels, key, label, per_label)
+    sizes = (
+        docs.select(key, F.coalesce(F.octet_length(text), F.lit(0)).alias("__bytes")).join(F.broadcast(sample), key)
+        .groupBy(key, label).agg(F.sum("__bytes").cast("long").alias("__bytes")).orderBy(F.xxhash64(key), key).collect()
+    )  # at most 2 * per_label rows
+    chosen, left = [], most_bytes
+    for row in sizes:
+        if row["__bytes"] <= left:
+            left -= row["__bytes"]
+            chosen.append((row[key], row[label]))
+    picked = docs.sparkSession.createDataFrame(chosen, sample.select(key, label).schema)
     found = (
-        docs.select(key, text).join(F.broadcast(sample), key)
+        docs.select(key, text).join(F.broadcast(picked), key)
         .select(key, label, prepared(F.col(text)).alias("t")).select(key, label, "t.rows", "t.votes")
-        .toPandas().sort_values([key, label]).drop_duplicates(key)
+        .toPandas().sort_values([key, label, "rows"]).drop_duplicates(key)
     )
     y = found[label].to_numpy().astype(np.float64)
     if not 0 < y.sum() < len(y):
