@@ -5,6 +5,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
+from traitrank.llm import fingerprints
 from traitrank.llm.fingerprints import COMMON_WORDS, alike_pairs, compare_with_neighbours
 from traitrank.llm.queries import llm_queries
 
@@ -42,6 +43,46 @@ def shown(df):
     return {r.doc_id: (r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in df.collect()}
 
 
+def classes_expected(rows):
+    """doc_id -> smallest id with the same set, and how many other sets are alike."""
+    sigs = {i: frozenset(slow_signatures(t)) for i, t in rows if i is not None}
+    first = {}
+    for i in sorted(sigs):
+        first.setdefault(sigs[i], i)
+    alike = {s: sum(jaccard(s, o) >= 0.8 for o in first if o and o != s) for s in first if s}
+    return {i: (first[s], alike[s]) if s else (None, 0) for i, s in sigs.items()}
+
+
+def classes_shown(df):
+    return {r.doc_id: (r.class_id, r.n_alike) for r in df.collect() if r.doc_id is not None}
+
+
+def near_copies():
+    """Twelve texts in five versions each, two of the texts without a rare word."""
+    rng = random.Random(5)
+    pools = [[f"w{rng.randint(0, 300)}" for _ in range(400)]] * 10 + [["red", "hat"]] * 2
+    base = [[rng.choice(["the", "of", rng.choice(p)]) for _ in range(rng.choice([9, 60, 200]))] for p in pools]
+    rows = []
+    for words in base:
+        for _ in range(5):
+            changed = list(words)
+            for _ in range(rng.randint(0, 2)):
+                changed[rng.randrange(len(changed))] = f"new{rng.randint(0, 99)}"
+            rows.append((len(rows), " ".join(changed)))
+    return rows
+
+
+def test_hot_sets_and_signatures(spark, monkeypatch):
+    """A third of all texts are copies, a passage is in all of them, blocks are small."""
+    monkeypatch.setattr(fingerprints, "_MEETING", 4)
+    monkeypatch.setattr(fingerprints, "_SALTS", 3)
+    shared = " the red hat of blue shoes"
+    rows = [(i, t + shared) for i, t in near_copies()] + [(1000 + i, "the one and same old text") for i in range(30)]
+    rows += [(2000, shared), (2001, None), (2002, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("class_id", F.lit(3)).withColumn("set", F.lit(3))
+    assert classes_shown(compare_with_neighbours(df)) == classes_expected(rows)
+
+
 def test_query_equals_brute_force(spark, given):
     rows = [(r.doc_id, r.text) for r in given("documents")]
     df = llm_queries()["op1_spotsigs"](spark, "/root/testdata/sf0.001")
@@ -50,6 +91,7 @@ def test_query_equals_brute_force(spark, given):
     for r in df.collect():
         prints.setdefault(dict(rows)[r.doc_id], set()).add(r.fingerprint)
     assert all(len(p) == 1 for p in prints.values())
+    assert classes_shown(df) == classes_expected(rows)
 
 
 def test_odd_rows(spark):
@@ -63,15 +105,7 @@ def test_odd_rows(spark):
 
 
 def test_pairs_equal_all_pairs(spark):
-    rng = random.Random(5)
-    base = [[rng.choice(["the", "of", f"w{rng.randint(0, 300)}"]) for _ in range(rng.choice([9, 60, 200]))] for _ in range(12)]
-    rows = []
-    for words in base:
-        for _ in range(5):
-            changed = list(words)
-            for _ in range(rng.randint(0, 2)):
-                changed[rng.randrange(len(changed))] = f"new{rng.randint(0, 99)}"
-            rows.append((len(rows), " ".join(changed)))
+    rows = near_copies()
     rows += [(900, None), (None, rows[0][1])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     pairs, members = alike_pairs(df)

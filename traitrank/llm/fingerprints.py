@@ -38,7 +38,7 @@ def _let(value: Column, use) -> Column:
 
 
 def signatures(text: Column, chain: int = CHAIN, common: list[str] | tuple = COMMON_WORDS) -> Column:
-    """Sorted distinct INT signatures of a text; [] for null and for texts without a word.
+    """Sorted distinct 64-bit signatures of a text; [] for null and for texts without a word.
 
     Case and everything but letters and digits is ignored. A text without common words has every
     word as a spot, so only texts without any word have no signature. Chains at the end of the
@@ -52,10 +52,10 @@ def signatures(text: Column, chain: int = CHAIN, common: list[str] | tuple = COM
 
     def chains(w: Column, at: Column, content: Column) -> Column:
         # Before spot number j at word i there are i - j content words.
-        return F.transform(at, lambda i, j: F.hash(F.get(w, i), *[F.get(content, i - j + k) for k in range(chain)]))
+        return F.transform(at, lambda i, j: F.xxhash64(F.get(w, i), *[F.get(content, i - j + k) for k in range(chain)]))
 
     def every_word(w: Column) -> Column:
-        return F.transform(w, lambda x, i: F.hash(x, *[F.get(w, i + 1 + k) for k in range(chain)]))
+        return F.transform(w, lambda x, i: F.xxhash64(x, *[F.get(w, i + 1 + k) for k in range(chain)]))
 
     def of(w: Column) -> Column:
         content = F.filter(w, lambda x: ~x.isin(*common))
@@ -68,11 +68,8 @@ def signatures(text: Column, chain: int = CHAIN, common: list[str] | tuple = COM
 
 
 def fingerprint(sigs: Column) -> Column:
-    """The set as text: eight hex digits per signature. Equal texts have equal fingerprints."""
-    mask = F.lit(0xFFFFFFFF).cast("long")
-    return F.array_join(
-        F.transform(sigs, lambda s: F.lpad(F.lower(F.hex(s.cast("long").bitwiseAND(mask))), 8, "0")), ""
-    )
+    """The set as text: sixteen hex digits per signature. Equal texts have equal fingerprints."""
+    return F.array_join(F.transform(sigs, lambda s: F.lower(F.lpad(F.hex(s), 16, "0"))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -129,13 +126,24 @@ def edited_text(text: Column, following: Column) -> Column:
 
 
 def compare_with_neighbours(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fingerprints of every text and of its edited text, and their likeness.
+    """Fingerprints of every text and of its edited text, their likeness, and the text's class.
 
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next``, one row per row of ``docs``. Null texts are empty. A single row follows itself.
-    An empty table gives an empty result; further columns are not looked at.
+    near_next, class_id, n_alike``, one row per row of ``docs``. ``class_id`` is the smallest id
+    with the same signature set and ``n_alike`` the number of other classes that ``class_links``
+    finds alike; NULL and 0 for a text without a word, and where only rows without id have the set.
+    Null texts are empty. A single row follows itself. An empty table gives an empty result;
+    further columns are not looked at.
     """
+    staging = Staging.of(docs)
     plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    classes = signature_classes(plain, staging)
+    links = class_links(classes, staging)
+    counted = (
+        links.select(F.col("x").alias("set")).unionByName(links.select(F.col("y").alias("set")))
+        .groupBy("set").agg(F.count(F.lit(1)).alias("n_alike"))
+    )
+    known = classes.drop("sigs").join(counted.hint("merge"), "set", "left")
 
     def sign(dealt: DataFrame) -> DataFrame:
         return dealt.withColumn("sigs", signatures(F.col("text")))
@@ -145,66 +153,149 @@ def compare_with_neighbours(docs: DataFrame, *, key: str = "doc_id", text: str =
         "doc_id", F.length("text").cast("long").alias("n_chars"), "sigs", "next_sigs",
         edited_text(F.col("text"), F.col("next_text")).alias("edited"),
     ).withColumn("edited_sigs", signatures(F.col("edited")))
-    return edited.select(
-        "doc_id", "n_chars",
+    compared = edited.select(
+        "doc_id", "n_chars", "sigs", "edited_sigs",
         F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("sigs")).alias("fingerprint"),
-        fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
         likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
         likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
     )
+    return _with_class(compared, known, classes).select(
+        "doc_id", "n_chars", "edited_sha256",
+        fingerprint(F.col("sigs")).alias("fingerprint"),
+        fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
+        "near_edited", "near_next", "class_id", F.coalesce("n_alike", F.lit(0)).cast("long").alias("n_alike"),
+    )
 
 
-def alike_pairs(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
-) -> tuple[DataFrame, DataFrame]:
-    """(pairs, members): pairs ``(a, b, likeness)`` of classes alike, and ``(doc_id, class_id)``.
+# A set that this share of all documents has is hot; by arithmetic there are at most 1/share.
+_HOT = 1 / 1024
+_SALTS = 32
+# Sets with a signature in common that meet in one task, on one side.
+_MEETING = 1024
 
-    A class holds all documents with one signature set and is named by its smallest id. Sets of
-    lengths n <= m can only be alike if n >= threshold * m, so lengths fall into partitions by
-    powers of the threshold and a set meets its own and the next partition only. In them, sets
-    meet at the rarest signatures that a set must share with any set alike; the lengths prune
-    once more, and what is left is compared in full. Documents without id or without a
-    signature have no class and no pair.
+
+def _set_name(sigs: Column) -> Column:
+    """128 bits of the set, as two numbers."""
+    return F.struct(F.xxhash64(sigs).alias("h"), F.xxhash64(F.lit(1), sigs).alias("g"))
+
+
+def signature_classes(docs: DataFrame, staging: Staging) -> DataFrame:
+    """(set, sigs, class_id, n_docs) of each set of signatures that a document with an id has.
+
+    Copies meet before the shuffle by the name of their set. Documents without any signature have
+    no class.
     """
-    staging = Staging.of(docs)
-    signed = staging.write(
-        docs.select(F.col(key).cast("long").alias("doc_id"), signatures(F.col(text)).alias("sigs"))
-        .filter("doc_id IS NOT NULL AND size(sigs) > 0"),
-        "signed",
+    signed = docs.filter("doc_id IS NOT NULL").select("doc_id", signatures(F.col("text")).alias("sigs"))
+    grouped = signed.filter(F.size("sigs") > 0).withColumn("set", _set_name(F.col("sigs"))).groupBy("set").agg(
+        F.first("sigs").alias("sigs"), F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_docs")
     )
-    classes = staging.write(
-        signed.groupBy(F.xxhash64("sigs").alias("set_hash"), "sigs").agg(F.min("doc_id").alias("class_id")), "classes"
+    return staging.write(grouped, "classes")
+
+
+def _with_class(rows: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``known`` for their set, NULL where it is not known.
+
+    The names of hot sets, at most ``1 / _HOT``, are broadcast; their rows are spread by id.
+    """
+    total = classes.agg(F.sum("n_docs")).first()[0] or 0
+    hot = classes.filter(F.col("n_docs") >= max(_SALTS, total * _HOT)).select("set", F.lit(_SALTS).alias("salts"))
+    rows = rows.withColumn("set", _set_name(F.col("sigs"))).join(F.broadcast(hot), "set", "left")
+    salt = F.pmod(F.xxhash64("doc_id", "edited_sha256"), F.coalesce("salts", F.lit(1))).cast("int")
+    spread = known.join(F.broadcast(hot), "set", "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
     )
-    members = signed.join(classes.hint("merge"), "sigs").select("doc_id", "class_id")
-    spread = classes.select("class_id", F.size("sigs").alias("len"), F.explode("sigs").alias("sig"))
-    frequency = spread.groupBy("sig").agg(F.count(F.lit(1)).alias("df"))
-    rarest = (
-        spread.join(frequency.hint("merge"), "sig").groupBy("class_id", "len")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("by_df"))
+    return rows.withColumn("salt", salt).drop("salts").join(
+        spread.drop("salts").hint("merge"), ["set", "salt"], "left"
+    )
+
+
+def class_links(classes: DataFrame, staging: Staging, threshold: float = THRESHOLD) -> DataFrame:
+    """(x, y, a, b, likeness): sets x and y alike, each pair once, with their class ids.
+
+    Sets of lengths n <= m can only be alike if n >= threshold * m, so lengths fall into
+    partitions by powers of the threshold and a set meets its own and the next partition only. In
+    them, sets meet at the rarest signatures that a set must share with any set alike. Both
+    lengths and the places of that signature in either set, rarest first, bound what the sets can
+    have in common; pairs that cannot reach the threshold go before any set is fetched, what is
+    left is compared in full. A signature that many sets have is met in blocks of sets.
+    """
+    spread = classes.select("set", F.size("sigs").alias("len"), F.explode("sigs").alias("sig"))
+    frequency = staging.write(spread.groupBy("sig").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "frequency")
+    total = frequency.agg(F.sum("df")).first()[0] or 0
+    hot = frequency.filter(F.col("df") >= max(_SALTS, total * _HOT))
+    # One that no other set has comes first in its set and meets nothing; it need not be looked up.
+    common = _split_join(spread, frequency, hot)
+    rarest = common.groupBy("set", "len").agg(
+        F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("by_df"), F.count(F.lit(1)).alias("n_common")
+    )
+    needed = (F.col("len") - F.ceil(F.col("len") * threshold - 1e-9) + 1).cast("int")
+    alone = F.col("len") - F.col("n_common")
+    prefix = staging.write(
+        rarest.withColumn("alone", alone.cast("int")).filter(needed > F.col("alone"))
+        .select(
+            "set", "len", "alone",
+            F.floor(F.log(F.col("len").cast("double")) / -math.log(threshold) + 1e-9).cast("int").alias("part"),
+            F.posexplode(F.slice("by_df", F.lit(1), needed - F.col("alone"))).alias("at", "s"),
+        )
+        .select(
+            "set", "len", "part", (F.col("at") + F.col("alone")).alias("at"), F.col("s.sig").alias("sig"),
+            F.ceil(F.col("s.df") / _MEETING).cast("int").alias("blocks"),
+        ),
+        "prefix",
     )
-    needed = F.col("len") - F.ceil(F.col("len") * threshold) + 1
-    prefix = rarest.select(
-        "class_id", "len",
-        F.floor(F.log(F.col("len").cast("double")) / -math.log(threshold) + 1e-9).alias("part"),
-        F.explode(F.slice("by_df", F.lit(1), needed.cast("int"))).alias("s"),
-    ).select("class_id", "len", "part", F.col("s.sig").alias("sig"))
     shorter = prefix.select(
-        F.col("class_id").alias("a"), F.col("len").alias("len_a"), "sig",
-        F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"),
+        F.col("set").alias("x"), F.col("len").alias("len_x"), F.col("at").alias("at_x"), "sig",
+        F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"), "blocks",
+    ).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    longer = prefix.select(
+        F.col("set").alias("y"), F.col("len").alias("len_y"), F.col("at").alias("at_y"), "sig", "part",
+        F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int").alias("block"),
     )
-    longer = prefix.select(F.col("class_id").alias("b"), F.col("len").alias("len_b"), "sig", "part")
-    candidates = (
-        shorter.join(longer.hint("merge"), ["part", "sig"])
-        .filter((F.col("len_a") < F.col("len_b")) | ((F.col("len_a") == F.col("len_b")) & (F.col("a") < F.col("b"))))
-        .filter(F.col("len_a") >= threshold * F.col("len_b"))
-        .select("a", "b").distinct()
+    shared = F.least("at_x", "at_y") + 1 + F.least(F.col("len_x") - F.col("at_x"), F.col("len_y") - F.col("at_y")) - 1
+    enough = shared * (1 + threshold) >= threshold * (F.col("len_x") + F.col("len_y")) - 1e-6
+    ordered = (F.col("len_x") < F.col("len_y")) | ((F.col("len_x") == F.col("len_y")) & (F.col("x") < F.col("y")))
+    candidates = staging.write(
+        shorter.join(longer.hint("merge"), ["part", "sig", "block"])
+        .filter(ordered & (F.col("len_x") >= threshold * F.col("len_y") - 1e-6) & enough)
+        .select("x", "y").distinct(),
+        "candidates",
     )
-    sets = classes.select("class_id", "sigs")
+
+    def sets(name: str, sigs: str, class_id: str) -> DataFrame:
+        return classes.select(F.col("set").alias(name), F.col("sigs").alias(sigs), F.col("class_id").alias(class_id)).hint("merge")
+
     compared = (
-        candidates.join(sets.select(F.col("class_id").alias("a"), F.col("sigs").alias("x")).hint("merge"), "a")
-        .join(sets.select(F.col("class_id").alias("b"), F.col("sigs").alias("y")).hint("merge"), "b")
-        .withColumn("likeness", likeness(F.col("x"), F.col("y")))
+        candidates.join(sets("x", "sigs_x", "a"), "x").join(sets("y", "sigs_y", "b"), "y")
+        .withColumn("likeness", likeness(F.col("sigs_x"), F.col("sigs_y")))
         .filter(F.col("likeness") >= threshold)
     )
-    return compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness"), members
+    return staging.write(compared.select("x", "y", "a", "b", "likeness"), "links")
+
+
+def _split_join(spread: DataFrame, frequency: DataFrame, hot: DataFrame) -> DataFrame:
+    """Signatures of sets with their frequency; hot ones, at most ``1 / _HOT``, by broadcast."""
+    named = F.broadcast(hot.withColumnRenamed("df", "hot_df"))
+    marked = spread.join(named, "sig", "left")
+    cold = frequency.join(F.broadcast(hot.select("sig")), "sig", "left_anti")
+    few = marked.filter("hot_df IS NOT NULL").withColumnRenamed("hot_df", "df")
+    return few.unionByName(marked.filter("hot_df IS NULL").drop("hot_df").join(cold.hint("merge"), "sig"))
+
+
+def alike_pairs(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+) -> tuple[DataFrame, DataFrame]:
+    """(pairs, members): pairs ``(a, b, likeness)`` of classes alike, and ``(doc_id, class_id)``.
+
+    A class holds all documents with one signature set and is named by its smallest id; pairs are
+    those of ``class_links``, so copies are not expanded. Documents without id or without a
+    signature have no class and no pair.
+    """
+    staging = Staging.of(docs)
+    plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    classes = signature_classes(plain, staging)
+    links = class_links(classes, staging, threshold)
+    signed = plain.filter("doc_id IS NOT NULL").select(
+        "doc_id", signatures(F.col("text")).alias("sigs"), F.lit("").alias("edited_sha256")
+    ).filter(F.size("sigs") > 0)
+    members = _with_class(signed, classes.select("set", "class_id"), classes).select("doc_id", "class_id")
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness"), members
