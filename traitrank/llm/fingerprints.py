@@ -126,24 +126,13 @@ def edited_text(text: Column, following: Column) -> Column:
 
 
 def compare_with_neighbours(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fingerprints of every text and of its edited text, their likeness, and the text's class.
+    """Fingerprints of every text and of its edited text, and their likeness.
 
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next, class_id, n_alike``, one row per row of ``docs``. ``class_id`` is the smallest id
-    with the same signature set and ``n_alike`` the number of other classes that ``class_links``
-    finds alike; NULL and 0 for a text without a word, and where only rows without id have the set.
-    Null texts are empty. A single row follows itself. An empty table gives an empty result;
-    further columns are not looked at.
+    near_next``, one row per row of ``docs``. Null texts are empty. A single row follows itself.
+    An empty table gives an empty result; further columns are not looked at.
     """
-    staging = Staging.of(docs)
     plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    classes = signature_classes(plain, staging)
-    links = class_links(classes, staging)
-    counted = (
-        links.select(F.col("x").alias("set")).unionByName(links.select(F.col("y").alias("set")))
-        .groupBy("set").agg(F.count(F.lit(1)).alias("n_alike"))
-    )
-    known = classes.drop("sigs").join(counted.hint("merge"), "set", "left")
 
     def sign(dealt: DataFrame) -> DataFrame:
         return dealt.withColumn("sigs", signatures(F.col("text")))
@@ -153,17 +142,13 @@ def compare_with_neighbours(docs: DataFrame, *, key: str = "doc_id", text: str =
         "doc_id", F.length("text").cast("long").alias("n_chars"), "sigs", "next_sigs",
         edited_text(F.col("text"), F.col("next_text")).alias("edited"),
     ).withColumn("edited_sigs", signatures(F.col("edited")))
-    compared = edited.select(
-        "doc_id", "n_chars", "sigs", "edited_sigs",
+    return edited.select(
+        "doc_id", "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
-        likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
-    )
-    return _with_class(compared, known, classes).select(
-        "doc_id", "n_chars", "edited_sha256",
         fingerprint(F.col("sigs")).alias("fingerprint"),
         fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
-        "near_edited", "near_next", "class_id", F.coalesce("n_alike", F.lit(0)).cast("long").alias("n_alike"),
+        likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
+        likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
     )
 
 
@@ -200,7 +185,7 @@ def _with_class(rows: DataFrame, known: DataFrame, classes: DataFrame) -> DataFr
     total = classes.agg(F.sum("n_docs")).first()[0] or 0
     hot = classes.filter(F.col("n_docs") >= max(_SALTS, total * _HOT)).select("set", F.lit(_SALTS).alias("salts"))
     rows = rows.withColumn("set", _set_name(F.col("sigs"))).join(F.broadcast(hot), "set", "left")
-    salt = F.pmod(F.xxhash64("doc_id", "edited_sha256"), F.coalesce("salts", F.lit(1))).cast("int")
+    salt = F.pmod(F.xxhash64("doc_id"), F.coalesce("salts", F.lit(1))).cast("int")
     spread = known.join(F.broadcast(hot), "set", "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
     )
@@ -295,7 +280,7 @@ def alike_pairs(
     classes = signature_classes(plain, staging)
     links = class_links(classes, staging, threshold)
     signed = plain.filter("doc_id IS NOT NULL").select(
-        "doc_id", signatures(F.col("text")).alias("sigs"), F.lit("").alias("edited_sha256")
+        "doc_id", signatures(F.col("text")).alias("sigs")
     ).filter(F.size("sigs") > 0)
     members = _with_class(signed, classes.select("set", "class_id"), classes).select("doc_id", "class_id")
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness"), members
