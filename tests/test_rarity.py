@@ -173,3 +173,13 @@ def test_top_k_per_group_cuts_before_the_shuffle(spark):
     top = ordering.top_k_per_group(df, ["g"], 2, [F.col("s")])
     assert rows(top) == [(g, int(g) + 3 * i, i + 1) for g in "012" for i in range(2)]
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_too_large_to_broadcast(spark, monkeypatch):
+    """Only hashes of the hot keys are broadcast; every row meets its key once."""
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    known = spark.createDataFrame([("hot" * 50, 90, "a"), ("cold", 3, "b"), ("unused", 5, "c")], "k string, n long, v string")
+    found = spark.createDataFrame([("hot" * 50, i) for i in range(90)] + [("cold", i) for i in range(3)] + [("none", 0), (None, 1)], "k string, i int")
+    joined = joins.split_hot_join(found, known, ["k"], "n", 50, ["i"])
+    assert sorted(rows(joined.select("i", "v"))) == sorted([(i, "a") for i in range(90)] + [(i, "b") for i in range(3)])
+    assert joined.columns == ["k", "i", "n", "v"]

@@ -130,3 +130,86 @@ def test_filters_reach_the_paged_source(spark, tmp_path):
     assert fetched("contract_address in ('a', 'c') and page_no = 1") == ([("a", 1), ("c", 1)], 4)
     assert fetched("contract_address = 'none'") == ([], 0)
     assert fetched("page_no = 0") == ([("a", 0), ("b", 0), ("c", 0)], 6)
+
+
+@pytest.fixture
+def paged(spark, tmp_path):
+    """Runs one batch of a paged stream and gives all rows landed so far, by contract and page."""
+    from traitrank.sources.paged import Marks, paged_stream
+
+    staging = Staging(spark)
+    marks, seen, landed = (staging.path(k) for k in ("marks", "seen", "pages"))
+
+    def run(fetch, contracts, write=None):
+        import json
+
+        spark.dataSource.register(paged_stream(fetch, "paged_in_test"))
+        read = spark.readStream.format("paged_in_test").options(contracts=json.dumps(contracts), marks=marks, pages="2").load()
+        sink = read.writeStream.option("checkpointLocation", seen).trigger(availableNow=True)
+        (sink.foreachBatch(write) if write else sink.format("parquet").option("path", landed)).start().awaitTermination()
+        found = spark.read.schema(schemas.PAGES).parquet(landed) if not write else None
+        return found and [r[:3] for r in rows(found)], Marks(marks).any_open(contracts)
+
+    return run
+
+
+def test_a_paged_stream_goes_on_where_it_was(paged, tmp_path):
+    """Two pages a batch, each batch a new stream; page 3 of b fails once, c is not there."""
+
+    def fetch(contract, page_key):
+        at = int(page_key or 0)
+        (tmp_path / f"{contract}-{at}").open("a").write("x")
+        if contract == "c":
+            return 404, ""
+        if contract == "b" and at == 3 and (tmp_path / "b-3").read_text() == "x":
+            return 503, ""
+        return 200, '{"nfts":[{"tokenId":"1"}]' + (f',"pageKey":"{at + 1}"}}' if at < 4 else "}")
+
+    contracts = ["a", "b", "c"]
+    first, still = paged(fetch, contracts)
+    assert first == [("a", 0, 200), ("a", 1, 200), ("b", 0, 200), ("b", 1, 200), ("c", 0, 404)] and still
+    second, still = paged(fetch, contracts)
+    assert ("b", 3, 503) in second and ("a", 3, 200) in second and still
+    third, still = paged(fetch, contracts)
+    whole = [("a", n, 200) for n in range(5)] + [("b", n, 200) for n in range(5)] + [("b", 3, 503), ("c", 0, 404)]
+    assert third == sorted(whole) and not still
+    assert paged(fetch, contracts) == (third, False)
+    # Every page was fetched once, but for the one that failed.
+    assert {f.name: len(f.read_text()) for f in tmp_path.iterdir()} == {
+        **{f"{c}-{n}": 1 for c in "ab" for n in range(5)}, "b-3": 2, "c-0": 1,
+    }
+
+
+def test_a_paged_round_that_breaks_off_is_played_again(paged):
+    def fetch(contract, page_key):
+        return 200, '{"nfts":[{"tokenId":"1"}],"pageKey":"%d"}' % (int(page_key or 0) + 1)
+
+    def broken(batch, number):
+        batch.collect()
+        raise RuntimeError("broken off")
+
+    with pytest.raises(Exception, match="broken off"):
+        paged(fetch, ["a"], broken)
+    assert paged(fetch, ["a"]) == ([("a", 0, 200), ("a", 1, 200)], True)
+    assert paged(fetch, ["a"])[0] == [("a", n, 200) for n in range(4)]
+
+
+def test_a_paged_stream_leaves_a_circle(paged):
+    def fetch(contract, page_key):
+        return 200, '{"nfts":[{"tokenId":"1"}],"pageKey":"%d"}' % (1 + int(page_key or 0) % 3)
+
+    for _ in range(8):
+        found, still = paged(fetch, ["a"])
+        if not still:
+            break
+    assert not still and found[-1][2] == 508 and len(found) <= 10
+
+
+@pytest.mark.parametrize(
+    ("given", "meant"),
+    [("file:/tmp/x", "file:///tmp/x"), ("file:///tmp/x", "file:///tmp/x"), ("s3a://b/x", "s3://b/x"), ("s3n://b/x", "s3://b/x")],
+)
+def test_names_of_folders(given, meant):
+    from traitrank.sources.paged import pyarrow_uri
+
+    assert pyarrow_uri(given) == meant

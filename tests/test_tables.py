@@ -11,7 +11,7 @@ from traitrank import schemas
 from traitrank.operators import audit, joins, ordering, registry, reports, upsert
 from traitrank.plans.rarity_run import RarityRun
 from traitrank.sources.staging import Staging, shared_folder
-from traitrank.sources.tables import read_table, use_namespace
+from traitrank.sources.tables import read_merged, read_table, use_namespace
 from traitrank.streaming import incremental
 
 RANKS = "token_id string, rarity_score int, rank int, collection_id string"
@@ -307,3 +307,46 @@ def test_wide_updates_are_not_broadcast(spark, monkeypatch):
     target = spark.range(300).select("id", F.lit("old").alias("status"))
     plan = upsert.updated(target, updates, ["id"], ["status"])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_merged_read_of_several_schemas(spark, tmp_path):
+    """Other columns, spellings, types and partitions; a filter reaches every folder."""
+    a, b, c = (str(tmp_path / n) for n in "abc")
+    spark.createDataFrame([(1, "x", "p"), (2, None, "q")], "id int, name string, kind string").write.partitionBy("kind").parquet(a)
+    spark.createDataFrame([(3_000_000_000, 7)], "ID long, name int").write.parquet(b)
+    spark.createDataFrame([(2.5, True)], "id double, extra boolean").write.parquet(c)
+    merged = read_merged(spark, [a, b, c])
+    assert merged.dtypes == [("id", "double"), ("name", "string"), ("kind", "string"), ("extra", "boolean")]
+    assert sorted(rows(merged), key=lambda r: r[0]) == [
+        (1.0, "x", "p", None), (2.0, None, "q", None), (2.5, None, None, True), (3e9, "7", None, None)
+    ]
+    assert rows(read_merged(spark, [a]).filter("kind = 'q'")) == [(2, None, "q")]
+    plan = merged.filter("kind = 'q' and extra is null").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(kind" in plan and plan.count("FileScan") <= 1
+    with pytest.raises(ValueError):
+        read_merged(spark, [])
+
+
+def test_sql_functions_on_tables(spark, database):
+    from traitrank.plans import sql_functions
+
+    run = RarityRun(spark, schemas.TableNames(prefix=database))
+    run.create_tables()
+    run.register(spark.createDataFrame([("0xAAAAAAAA01", 0), ("0xBBBBBBBB02", 1)], "contract_address string, ordinal int"))
+    ranks = [("1", "7", 3, 1), ("1", "8", 4, 2), ("2", "7", 0, 1)]
+    upsert.append(spark.createDataFrame(ranks, schemas.RARITY), run.names.full("rarity"), schemas.PARTITION)
+    listed = spark.createDataFrame([(c, None, None, t, None, None, None) for c, t, *_ in ranks], schemas.BASE)
+    upsert.append(listed, run.names.full("base"), schemas.PARTITION)
+    sql_functions.install(spark, sql_functions.Relations.of(run.names))
+
+    def asked(sql, **args):
+        return rows(spark.sql(sql, args=args))
+
+    assert asked("SELECT * FROM contract_rarity(:a)", a="0xaaaaaaaa01") == ranks[:2]
+    assert asked("SELECT token_id FROM contract_base(:a)", a="0xBBBBBBBB02") == [("7",)]
+    assert asked("SELECT * FROM contract_metadata(:a)", a="0xAAAAAAAA01") == []
+    assert asked("SELECT * FROM contract_rarity(:a)", a="' OR true --") == asked("SELECT * FROM contract_rarity(NULL)") == []
+    assert asked("SELECT id FROM pending_collections('base')") == [(1,), (2,)]
+    assert asked("SELECT id FROM pending_collections('metadata')") == asked("SELECT id FROM pending_collections(NULL)") == []
+    assert asked("SELECT * FROM pending_tokens('1')") == [("1", "7"), ("1", "8")]
+    assert len(asked("SELECT * FROM pending_tokens(NULL)")) == 3

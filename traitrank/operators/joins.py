@@ -4,7 +4,7 @@ The small-looking side is measured before a plan is chosen:
 
 * within ``BROADCAST_BYTES``, estimated from the rows and not from compressed files, it is
   broadcast and the many rows are not shuffled at all;
-* beyond that, keys that carry a large share of the rows are split off and broadcast -
+* beyond that, keys that carry a large share of the rows are split off and, measured again, broadcast -
   there are at most ``1 / HOT_SHARE`` of them - and the rest is shuffled, where by
   construction no key is hot;
 * where the rows per key are not known, the key is salted instead.
@@ -30,6 +30,7 @@ FILTER_VALUES = 1000
 
 _ROW_OVERHEAD = 48
 _SALT = "__salt"
+_HOT = "__hot"
 
 
 @dataclass(frozen=True)
@@ -81,17 +82,29 @@ def measure(df: DataFrame, weight: str | None = None) -> Size:
 
 
 def split_hot_join(
-    rows: DataFrame, keyed: DataFrame, keys: Sequence[str], weight: str, hot_from: int
+    rows: DataFrame, keyed: DataFrame, keys: Sequence[str], weight: str, hot_from: int, spread: Sequence[str] = ()
 ) -> DataFrame:
     """Inner join in two parts: hot keys by broadcast, all others by shuffle.
 
-    ``weight`` counts the rows per key, so at most ``total / hot_from`` keys are hot.
+    ``weight`` counts the rows per key, so at most ``total / hot_from`` keys are hot. Their rows
+    are measured; beyond ``BROADCAST_BYTES`` only hashes of the keys are broadcast, which tell the
+    two parts apart on both sides, and the hot part is salted by ``spread``.
     """
     hot = keyed.filter(F.col(weight) >= hot_from)
-    cold = keyed.filter(F.col(weight) < hot_from)
-    hot_keys = F.broadcast(hot.select(*keys))
-    return rows.join(F.broadcast(hot), list(keys)).unionByName(
-        rows.join(hot_keys, list(keys), "left_anti").join(cold.hint("merge"), list(keys))
+    if measure(hot).broadcastable:
+        cold = keyed.filter(F.col(weight) < hot_from)
+        hot_keys = F.broadcast(hot.select(*keys))
+        return rows.join(F.broadcast(hot), list(keys)).unionByName(
+            rows.join(hot_keys, list(keys), "left_anti").join(cold.hint("merge"), list(keys))
+        )
+    name = F.xxhash64(*[F.col(k) for k in keys])
+    names = F.broadcast(hot.select(name.alias(_HOT)).distinct())
+
+    def part(df: DataFrame, how: str) -> DataFrame:
+        return df.withColumn(_HOT, name).join(names, _HOT, how).drop(_HOT)
+
+    return salted_join(part(rows, "left_semi"), part(keyed, "left_semi"), keys, spread or rows.columns).unionByName(
+        part(rows, "left_anti").join(part(keyed, "left_anti").hint("merge"), list(keys))
     )
 
 
@@ -133,7 +146,7 @@ def lookup_join(
     if size.broadcastable:
         joined = rows.join(F.broadcast(keyed), list(keys), how)
     elif weight and how == "inner" and size.has_hot_keys:
-        joined = split_hot_join(rows, keyed, keys, weight, size.hot_from)
+        joined = split_hot_join(rows, keyed, keys, weight, size.hot_from, spread)
     elif spread and not weight:
         joined = salted_join(rows, keyed, keys, spread, how)
     else:

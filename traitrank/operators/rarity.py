@@ -103,6 +103,7 @@ def scored_traits(traits: DataFrame, scores: DataFrame, size: Size | None = None
         lookup,
         _VALUE_KEYS,
         weight="trait_count",
+        spread=["token_id"],
         size=size or measure(lookup, "trait_count"),
     ).select(*_TOKEN_KEYS, "rarity_score")
 

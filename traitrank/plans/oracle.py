@@ -268,6 +268,15 @@ _ORACLE["paged_pushdown"] = f"{_ORACLE['paged_source']} AND p_type = 'ECONOMY'"
 _KEPT_PARTS = "(SELECT * FROM part WHERE p_partkey % 3 <> 1) part"
 _ORACLE["rank_after_delta"] = _ORACLE["rarity_part"].replace("FROM part", f"FROM {_KEPT_PARTS}")
 _ORACLE["rank_lookup"] = f"{_PART} SELECT * FROM ranked WHERE CAST(token_id AS BIGINT) % 7 = 0"
+_ORACLE["paged_stream"] = _ORACLE["paged_source"]
+_ORACLE["merged_schema_read"] = """SELECT CAST(p_partkey AS BIGINT) AS p_partkey,
+    CASE WHEN p_partkey % 3 = 0 THEN p_name END AS p_name,
+    CASE p_partkey % 3 WHEN 1 THEN CAST(p_size AS VARCHAR) WHEN 2 THEN 'no. ' || p_size END AS p_size,
+    CASE WHEN p_partkey % 3 < 2 THEN p_type END AS p_type, CASE WHEN p_partkey % 3 = 2 THEN p_brand END AS p_brand FROM part"""
+_ORACLE["sql_contract_report"] = _ORACLE["contract_report"]
+_ORACLE["sql_pending"] = f"""WITH {_REGISTRY} SELECT DISTINCT id, l_orderkey || '-' || l_linenumber AS token_id
+    FROM registry JOIN lineitem ON l_suppkey = id
+    WHERE status IN ('FETCHED', 'METADATA_FETCHING') AND l_linenumber % 3 = 0"""
 _ORACLE["audit_bitmaps"] = _ORACLE["audit_summary"]
 
 

@@ -21,10 +21,11 @@ from traitrank.functions import (
 from traitrank.operators import audit, ingest, joins, ordering, rarity, registry, reports, upsert
 from traitrank.operators.maintenance import MaintainedRarity
 from traitrank.operators.rank_lookup import rank_lookup
-from traitrank.plans import inputs
+from traitrank.plans import inputs, sql_functions
 from traitrank.plans.rarity_run import RarityRun
-from traitrank.sources.paged import PUSHDOWN, folder_fetch, land_pages, paged_source
+from traitrank.sources.paged import PUSHDOWN, Marks, folder_fetch, land_pages, paged_source, paged_stream
 from traitrank.sources.staging import Staging
+from traitrank.sources.tables import read_merged
 from traitrank.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,7 +108,7 @@ def trait_scores_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def trait_scores_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The score join in the form it takes when the types are too many to broadcast."""
+    """The score join with salts, as for a lookup whose rows per key are not known."""
     frequency = _staged_frequency(spark, sf_dir)
     totals = rarity.trait_totals(frequency)
     joined = joins.salted_join(frequency, totals, ["collection_id", "trait_type"], ["trait_value"])
@@ -218,7 +219,8 @@ def collection_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_token = listing["metadata"].groupBy("collection_id", "token_id").agg(
         F.count("trait_value").alias("n_traits")
     )
-    return listing["rarity"].join(per_token, ["collection_id", "token_id"])
+    ranked = listing["base"].distinct().join(listing["rarity"], ["collection_id", "token_id"], "left")
+    return ranked.join(per_token, ["collection_id", "token_id"])
 
 
 def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,6 +251,44 @@ def contract_report_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _contract_report(spark, sf_dir)["metadata"]
 
 
+def _with_functions(spark: SparkSession, base: DataFrame, metadata: DataFrame, rarity_: DataFrame, known: DataFrame) -> str:
+    """Installs the SQL functions over views of these tables; returns the prefix of their names."""
+    prefix = f"f{uuid.uuid4().hex}_"
+    views = sql_functions.Relations(*[f"{prefix}{k}" for k in ("registry", "base", "metadata", "rarity")])
+    for df, view in ((known, views.registry), (base, views.base), (metadata, views.metadata), (rarity_, views.rarity)):
+        df.createOrReplaceTempView(view)
+    sql_functions.install(spark, views, prefix)
+    return prefix
+
+
+def _filled(df: DataFrame, schema) -> DataFrame:
+    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def _line_functions(spark: SparkSession, ranks: DataFrame, known: DataFrame) -> str:
+    listed = ranks.select("collection_id", "token_id")
+    enriched = _filled(ranks.filter("rank % 3 > 0"), schemas.METADATA)
+    return _with_functions(spark, _filled(listed, schemas.BASE), enriched, ranks, _filled(known, schemas.REGISTRY))
+
+
+@_query
+def sql_contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks of a contract by a function in SQL, its address bound as an argument."""
+    prefix = _line_functions(spark, inputs.line_ranks(spark, sf_dir), _suppliers(spark, sf_dir))
+    return spark.sql(f"SELECT * FROM {prefix}contract_rarity(:address)", args={"address": "SUPPLIER#000000001"})
+
+
+@_query
+def sql_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of the collections that wait for metadata, and have none, in SQL."""
+    prefix = _line_functions(spark, inputs.line_ranks(spark, sf_dir), inputs.supplier_registry(spark, sf_dir))
+    return spark.sql(
+        f"""SELECT p.id, t.token_id FROM {prefix}pending_collections(:stage) p
+            JOIN {prefix}pending_tokens(NULL) t ON t.collection_id = CAST(p.id AS STRING)""",
+        args={"stage": "metadata"},
+    )
+
+
 @_query
 def find_by_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.find_by_address(_suppliers(spark, sf_dir), "sUPPLIER#000000001")
@@ -527,6 +567,39 @@ def query_land_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _names_listed(Staging(spark).write(landed, "pages"))
 
 
+@_query
+def query_paged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages as a stream, three of a contract in a batch, started anew for every batch."""
+    source = paged_stream(folder_fetch(_landed_folder(spark, sf_dir)))
+    spark.dataSource.register(source)
+    contracts = [r[0] for r in inputs.part_contracts(spark, sf_dir).select("contract_address").collect()]
+    staging = Staging(spark)
+    marks, seen, landed = (staging.path(k) for k in ("marks", "seen", "pages"))
+    while Marks(marks).any_open(contracts):
+        read = spark.readStream.format(source.name()).options(contracts=json.dumps(contracts), marks=marks, pages="3").load()
+        write = read.writeStream.format("parquet").option("checkpointLocation", seen).trigger(availableNow=True)
+        write.start(landed).awaitTermination()
+    return _names_listed(spark.read.schema(schemas.PAGES).parquet(landed))
+
+
+@_query
+def merged_schema_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts landed in three folders of other columns, types, spellings and partitions."""
+    part, staging = inputs.read(spark, sf_dir, "part"), Staging(spark)
+    third = F.col("p_partkey") % 3
+    folders = {
+        "first": part.filter(third == 0).select(F.col("p_partkey").cast("int"), "p_name", "p_type"),
+        "second": part.filter(third == 1).select(F.col("p_partkey").cast("long"), "p_size", "p_type"),
+        "third": part.filter(third == 2).select(
+            F.col("p_partkey").cast("int").alias("P_PartKey"), F.concat(F.lit("no. "), "p_size").alias("p_size"), "p_brand"
+        ),
+    }
+    paths = [staging.path(name) for name in folders]
+    for path, df in zip(paths, folders.values()):
+        df.write.partitionBy(*[c for c in df.columns if c == "p_type"]).parquet(path)
+    return read_merged(spark, paths).withColumn("p_partkey", F.col("p_partkey").cast("long"))
+
+
 # -- registry ---------------------------------------------------------------------------
 
 

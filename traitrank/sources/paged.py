@@ -9,14 +9,26 @@ order, so those of one contract are spread over all tasks.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 import sys
+import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import asdict, dataclass, replace
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamReader,
+    EqualTo,
+    Filter,
+    In,
+    InputPartition,
+)
 from pyspark.sql.types import StructType
 
 from traitrank.schemas import DOCUMENTS, PAGES
@@ -44,11 +56,8 @@ def page_chain(fetch: Fetch, contract: str, page_key: str | None = None, page_no
     while True:
         status, body = fetch(contract, page_key)
         yield contract, page_no, status, body
-        if status != 200:
-            return
-        page = json.loads(body)
-        page_key = page.get("pageKey")
-        if not page.get("nfts") or not page_key:
+        page_key = _next_key(body) if status == 200 else None
+        if not page_key:
             return
         page_no += 1
         if page_key in had:
@@ -57,6 +66,12 @@ def page_chain(fetch: Fetch, contract: str, page_key: str | None = None, page_no
         had.add(page_key)
 
 
+def _next_key(body: str) -> str | None:
+    """Key of the page after this one; None after an empty or a last page."""
+    page = json.loads(body)
+    return (page.get("pageKey") or None) if page.get("nfts") else None
+
+
 def _columns(schema: StructType) -> str:
     return schema.simpleString()[len("struct<") : -1].replace(":", " ")
 
@@ -176,6 +191,158 @@ def paged_source(fetch: Fetch, source_name: str = "paged_listing", pushdown: boo
     return PagedListing
 
 
+@dataclass(frozen=True)
+class Mark:
+    """Where a chain stands after a round: the page to fetch next, and whether there is one.
+
+    ``anchor`` is a key that was had ``steps`` pages ago. It moves on after 1, 2, 4 ... pages, so a
+    chain that runs in a circle comes back to it, however long the circle is.
+    """
+
+    page_key: str | None = None
+    page_no: int = 0
+    open: bool = True
+    anchor: str | None = None
+    steps: int = 0
+    span: int = 1
+
+    def after(self, key: str | None) -> Mark:
+        """The mark after a page that names ``key`` as the next one."""
+        if not key:
+            return replace(self, page_no=self.page_no + 1, open=False)
+        moved = self.steps + 1 == self.span
+        return Mark(
+            key, self.page_no + 1, True,
+            key if moved else self.anchor, 0 if moved else self.steps + 1, 2 * self.span if moved else self.span,
+        )
+
+
+class Marks:
+    """Marks of all chains after each round, a small file each, in a folder that all executors share."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def _file(self, round_no: int, contract: str) -> str:
+        return f"{round_no}/{hashlib.sha256(contract.encode()).hexdigest()}.json"
+
+    def read(self, round_no: int, contract: str) -> Mark:
+        if not round_no:
+            return Mark()
+        system, base = file_system(self.folder)
+        with system.open_input_stream(f"{base}/{self._file(round_no, contract)}") as stream:
+            return Mark(**json.loads(stream.read()))
+
+    def write(self, round_no: int, contract: str, mark: Mark) -> None:
+        """Under a name of its own first, so that no reader finds half a mark."""
+        system, base = file_system(self.folder)
+        target = f"{base}/{self._file(round_no, contract)}"
+        system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+        draft = f"{target}.{uuid.uuid4().hex}"
+        with system.open_output_stream(draft) as stream:
+            stream.write(json.dumps(asdict(mark)).encode())
+        system.move(draft, target)
+
+    def last_round(self, contracts: list[str]) -> int:
+        """The last round after which all chains have a mark."""
+        from pyarrow import fs
+
+        system, base = file_system(self.folder)
+        rounds = system.get_file_info(fs.FileSelector(base, allow_not_found=True))
+        for round_no in sorted((int(f.base_name) for f in rounds), reverse=True):
+            marked = system.get_file_info(fs.FileSelector(f"{base}/{round_no}"))
+            if sum(f.base_name.endswith(".json") for f in marked) == len(contracts):
+                return round_no
+        return 0
+
+    def any_open(self, contracts: list[str]) -> bool:
+        last = self.last_round(contracts)
+        return any(self.read(last, c).open for c in contracts)
+
+
+class _RoundPartition(InputPartition):
+    def __init__(self, contract: str, start: int, end: int):
+        super().__init__((contract, start, end))
+
+
+def _comes_again(status: int) -> bool:
+    """Whether a page that failed so is asked for again: too many requests, or a fault of the server."""
+    return status == 429 or status >= 500
+
+
+def paged_stream(fetch: Fetch, source_name: str = "paged_stream") -> type[DataSource]:
+    """Streaming data source class for ``spark.dataSource.register``.
+
+    Options: ``contracts``, a JSON array of addresses, fixed for the stream; ``marks``, a shared
+    folder; ``pages``, the most pages of a chain in one batch. A batch is a round: every chain goes
+    on from the page key in its mark of the round before, read by its own task, and leaves a mark
+    for the next. The offset is the number of the round, so neither pages nor keys reach the
+    driver. A round that breaks off is played again from the marks before it. A page that failed
+    for the moment is a row and is fetched again in the next round; other failures end the chain.
+    A chain that comes back to an earlier page ends with a row of status ``LOOP``, at the latest after twice
+    the circle. Rounds end when no chain is open.
+    """
+
+    class StreamReader(DataSourceStreamReader):
+        def __init__(self, options: dict):
+            self.contracts = list(dict.fromkeys(json.loads(options["contracts"])))
+            self.marks = Marks(options["marks"])
+            self.pages = int(options.get("pages", 100))
+
+        def initialOffset(self) -> dict:
+            return {"round": 0}
+
+        def latestOffset(self) -> dict:
+            last = self.marks.last_round(self.contracts)
+            return {"round": last + (not last or self.marks.any_open(self.contracts))}
+
+        def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+            return [_RoundPartition(c, start["round"], end["round"]) for c in self.contracts]
+
+        def read(self, partition: InputPartition) -> Iterator[PageRow]:
+            contract, start, end = partition.value
+            mark = self.marks.read(start, contract)
+            for _ in range(self.pages * (end - start)):
+                if not mark.open:
+                    break
+                status, body = fetch(contract, mark.page_key)
+                yield contract, mark.page_no, status, body
+                if status != 200:
+                    mark = replace(mark, open=_comes_again(status))
+                    break
+                key = _next_key(body)
+                anchor, mark = mark.anchor, mark.after(key)
+                if key and key == anchor:
+                    yield contract, mark.page_no, LOOP, ""
+                    mark = replace(mark, open=False)
+            self.marks.write(end, contract, mark)
+
+    class PagedStream(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return source_name
+
+        def schema(self) -> StructType:
+            return PAGES
+
+        def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+            return StreamReader(self.options)
+
+    return PagedStream
+
+
+def pyarrow_uri(uri: str) -> str:
+    """A folder's name as pyarrow knows it, from the one that Spark uses."""
+    return re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/(?!/)", "file:///", uri))
+
+
+def file_system(uri: str):
+    """File system and path of a folder."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(pyarrow_uri(uri) if ":" in uri else f"file://{uri}")
+
+
 # Characters that Spark writes as % and two hex digits in folder names.
 _ESCAPED = {ord(c): f"%{ord(c):02X}" for c in "\"#%'*/:=?\\\x7f{[]^" + "".join(map(chr, range(1, 32)))}
 
@@ -190,8 +357,7 @@ def folder_fetch(root: str) -> Fetch:
     def fetch(contract: str, page_key: str | None) -> tuple[int, str]:
         from pyarrow import fs
 
-        uri = root.replace("file:/", "file:///", 1) if root.startswith("file:/") and not root.startswith("file://") else root
-        system, base = fs.FileSystem.from_uri(uri)
+        system, base = file_system(root)
         folder = f"{base}/contract_address={contract.translate(_ESCAPED)}/page_no={page_key or 0}"
         listed = system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
         parts = sorted(f.path for f in listed if f.base_name.startswith("part-"))

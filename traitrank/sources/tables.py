@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from traitrank import schemas
 
@@ -41,6 +41,29 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.DOCUMENTS).json(path)
 
 
+def read_merged(spark: SparkSession, paths: Sequence[str], file_format: str = "parquet") -> DataFrame:
+    """Folders of several schemas as one relation, each read with its own schema and partitions.
+
+    Columns are matched by name in any spelling and keep the order and spelling in which they first
+    appear; a folder without a column gives NULL. A column of several types gets the type that Spark
+    widens them to, and text where one of them is text and another is not. Filters and the choice
+    of columns reach every folder. No path: a ValueError.
+    """
+    if not paths:
+        raise ValueError("no path to read")
+    folders = [spark.read.format(file_format).load(path) for path in paths]
+    kinds: dict[str, set[str]] = {}
+    for df in folders:
+        for name, kind in df.dtypes:
+            kinds.setdefault(name.lower(), set()).add(kind)
+    mixed = {name for name, found in kinds.items() if len(found) > 1 and "string" in found}
+
+    def as_text(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(f"`{c}`").cast("string").alias(c) if c.lower() in mixed else F.col(f"`{c}`") for c in df.columns])
+
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(as_text, folders))
+
+
 def use_namespace(spark: SparkSession, catalog: str | None = None, database: str | None = None) -> None:
     """Make a catalog and a database current."""
     if catalog:
@@ -68,7 +91,3 @@ def traits_from_columns(
             )
         ).alias("trait"),
     ).select("collection_id", "token_id", "trait.trait_type", "trait.trait_value")
-
-
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
