@@ -63,6 +63,18 @@ def test_few_lists_equal_brute_force(spark, monkeypatch, block):
     assert found(vector_classes(spark.createDataFrame(rows, SCHEMA).repartition(5))) == brute_force(rows)
 
 
+def test_vectors_of_all_lengths(spark, monkeypatch):
+    """Shorter and longer vectors than most link among themselves, and with no other length."""
+    monkeypatch.setattr(embedding_dedup, "PROBES", 24)
+    rows = planted(300, 3)
+    for start, dims in ((1000, 5), (2000, 40)):
+        rows += [(start + i, v, label) for i, v, label in planted(90, dims, dims)]
+    rows += [(3000, rows[0][1] + [0.0], 1)]
+    expected = brute_force(rows)
+    assert sum(n for key, n, _ in expected if 2000 <= key < 3000) and sum(n for key, n, _ in expected if 1000 <= key < 2000)
+    assert found(vector_classes(spark.createDataFrame(rows, SCHEMA).repartition(5))) == expected
+
+
 def test_recall(spark):
     rows = planted(3000, 1)
     monkey = brute_force(rows)

@@ -94,18 +94,26 @@ class Quantiser:
         return [((rest[:, c][:, None, :] - w) ** 2).sum(axis=2) for c, w in zip(self.cuts, self.words)]
 
 
-def _usable(vectors: pd.Series, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors in double precision, and which rows have one."""
-    rows = np.zeros((len(vectors), dims))
-    good = np.zeros(len(vectors), bool)
-    for i, v in enumerate(vectors):
-        if v is not None and len(v) == dims:
-            x = np.asarray(v, dtype=np.float64)
-            top = np.abs(x).max() if len(x) else 0.0
-            if np.isfinite(top) and top > 0:
-                x = x / top
-                rows[i], good[i] = x / np.linalg.norm(x), True
-    return rows, good
+def _units(vectors: pd.Series) -> list[np.ndarray]:
+    """Unit vectors in double precision. The vectors are finite and have a component that is not 0."""
+    out = []
+    for v in vectors:
+        x = np.asarray(v, dtype=np.float64)
+        x = x / np.abs(x).max()
+        out.append(x / np.linalg.norm(x))
+    return out
+
+
+def _first(units: list[np.ndarray], dims: int) -> np.ndarray:
+    """The first ``dims`` components of each, zeros where there are fewer.
+
+    Two vectors of one length are at least as far apart as these are, so what the quantiser proves
+    of these holds for the vectors.
+    """
+    rows = np.zeros((len(units), dims), np.float32)
+    for row, unit in zip(rows, units):
+        row[: len(unit)] = unit[:dims]
+    return rows
 
 
 def _index(shared, dims: int):
@@ -114,15 +122,15 @@ def _index(shared, dims: int):
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         book = shared.value
         for batch in batches:
-            unit, good = _usable(batch["embedding"], dims)
-            unit, batch = unit[good], batch[good]
             if not len(batch):
                 continue
-            single = unit.astype(np.float32)
+            unit = _units(batch["embedding"])
+            single = _first(unit, dims)
             probes = _nearest(single, book.centres, PROBES)
             codes, error = book.encode(single, probes[:, 0])
             yield pd.DataFrame({
-                "node": batch["node"].to_numpy(), "label": batch["label"].to_numpy(), "copies": batch["copies"].to_numpy(),
+                "node": batch["node"].to_numpy(), "label": batch["label"].to_numpy(),
+                "length": np.array([len(u) for u in unit], np.int32), "copies": batch["copies"].to_numpy(),
                 "unit": [u.tobytes() for u in unit], "own": probes[:, 0].astype(np.int32),
                 "probes": [p.astype(np.int32) for p in probes],
                 "codes": [c.tobytes() for c in codes], "error": error.astype(np.float32),
@@ -131,7 +139,9 @@ def _index(shared, dims: int):
     return index
 
 
-_INDEX = "node long, label int, copies long, unit binary, own int, probes array<int>, codes binary, error float"
+_INDEX = "node long, label int, length int, copies long, unit binary, own int, probes array<int>, codes binary, error float"
+# Vectors of a label and length in a list meet.
+_LIST = ["label", "length", "list"]
 _FOUND = "node long, links long, a long, b long"
 
 
@@ -144,7 +154,7 @@ def _search(shared, threshold: float):
     reach = (2 - 2 * threshold) ** 0.5
 
     def search(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-        listed = int(key[1])
+        listed = int(key[2])
         coded, asking = block[block["coded"]], block[~block["coded"]]
         nothing = pd.DataFrame({"node": [], "links": [], "a": [], "b": []}).astype("Int64")
         if not len(coded) or not len(asking):
@@ -154,7 +164,7 @@ def _search(shared, threshold: float):
         codes = np.frombuffer(b"".join(coded["codes"]), np.uint8).reshape(len(coded), -1)
         limit = (reach + coded["error"].to_numpy().astype(np.float64) + _SLACK) ** 2
         near = np.zeros((len(x), len(y)), np.float32)
-        for k, table in enumerate(book.tables(x.astype(np.float32), listed)):
+        for k, table in enumerate(book.tables(_first(list(x), book.centres.shape[1]), listed)):
             near += table.astype(np.float32)[:, codes[:, k]]
         i, j = np.nonzero(near <= limit)
         nodes_x, nodes_y = asking["node"].to_numpy(), coded["node"].to_numpy()
@@ -195,7 +205,7 @@ def vector_classes(
     ``n_links`` counts the other vectors of the same label found with a cosine of at least
     ``threshold``; ``component_id`` is the smallest id reachable over links; ``kept`` says that
     it is the row's own. Vectors that are null, zero, hold null or non-finite components, have
-    or no label link with nothing; those of another length than most have links to their equals only.
+    or no label link with nothing, and vectors of different lengths do not link.
     Rows that repeat an id count as vectors. A row without id links with nothing and has no component. An empty
     table gives an empty result; further columns are not looked at.
     """
@@ -214,7 +224,6 @@ def vector_classes(
     sample = (
         classes.select("node", "embedding").orderBy(F.xxhash64("node"), "node").limit(SAMPLE).toPandas()["embedding"]
     )
-    lengths = sample.map(len)
     rows = given.select("vec_id", "label", "embedding")
     alone = rows.select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
@@ -222,38 +231,38 @@ def vector_classes(
     )
     if not len(sample):
         return alone
-    dims = int(lengths.mode()[0])
-    fitted, good = _usable(sample, dims)
+    # Most vectors have one length; the quantiser sees as many components of the others.
+    dims = int(sample.map(len).mode()[0])
     n, labels = classes.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
     lists = max(LEAST_LISTS, min(MOST_LISTS, n // (PER_LIST * labels)))
-    shared = spark.sparkContext.broadcast(Quantiser.fit(fitted[good].astype(np.float32), lists))
+    shared = spark.sparkContext.broadcast(Quantiser.fit(_first(_units(sample), dims), lists))
     indexed = staging.write(
         classes.repartition(shuffle_partitions(spark)).mapInPandas(_index(shared, dims), _INDEX), "index"
     )
 
     # Blocks per list: of its coded vectors, and of the vectors that look into it.
     looks = indexed.withColumn("list", F.explode("probes"))
-    own_counts = indexed.groupBy("label", F.col("own").alias("list")).agg(F.count(F.lit(1)).alias("n_coded"))
-    ask_counts = looks.groupBy("label", "list").agg(F.count(F.lit(1)).alias("n_asking"))
-    blocks = own_counts.join(ask_counts, ["label", "list"]).select(
-        "label", "list",
+    own_counts = indexed.groupBy("label", "length", F.col("own").alias("list")).agg(F.count(F.lit(1)).alias("n_coded"))
+    ask_counts = looks.groupBy("label", "length", "list").agg(F.count(F.lit(1)).alias("n_asking"))
+    blocks = own_counts.join(ask_counts, _LIST).select(
+        *_LIST,
         F.ceil(F.col("n_coded") / BLOCK).cast("int").alias("coded_blocks"),
         F.ceil(F.col("n_asking") / BLOCK).cast("int").alias("asking_blocks"),
     )
 
     def dealt(side: DataFrame, coded: bool) -> DataFrame:
         mine, others = ("coded", "asking") if coded else ("asking", "coded")
-        met = side.join(blocks, ["label", "list"]).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(f"{others}_blocks") - 1)))
+        met = side.join(blocks, _LIST).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(f"{others}_blocks") - 1)))
         place = F.pmod(F.xxhash64("node"), F.col(f"{mine}_blocks")).cast("int")
         at, to = (place, F.col("copy")) if coded else (F.col("copy"), place)
         return met.select(
-            "label", "list", at.alias("coded_block"), to.alias("asking_block"), F.lit(coded).alias("coded"),
+            *_LIST, at.alias("coded_block"), to.alias("asking_block"), F.lit(coded).alias("coded"),
             "node", "copies", "unit", "own", "probes", "codes", "error",
         )
 
     both = dealt(indexed.withColumn("list", F.col("own")), True).unionByName(dealt(looks, False))
     found = staging.write(
-        both.groupBy("label", "list", "coded_block", "asking_block").applyInPandas(_search(shared, threshold), _FOUND), "found"
+        both.groupBy(*_LIST, "coded_block", "asking_block").applyInPandas(_search(shared, threshold), _FOUND), "found"
     )
     links = found.filter("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.filter("a IS NOT NULL").select("a", "b"), staging)

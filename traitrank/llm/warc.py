@@ -9,7 +9,8 @@ it and renamed when complete; only files that the manifest names belong to the a
 manifest is written last, by Spark's own commit. A lost task is written again under the same
 names.
 
-Files go through ``pyarrow.fs``, so the folder may lie in any store that it reaches.
+Files go through ``pyarrow.fs``, so the folder may lie in any store that it reaches, under the name
+that Spark has for it.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from traitrank.llm.common import SMALL_BYTES
 from traitrank.operators.joins import Size, lookup_join
 from traitrank.operators.ordering import ranged_positions
+from traitrank.sources.paged import file_system
 from traitrank.sources.staging import Staging
 
 # Payloads below this are always written in full.
@@ -109,7 +111,7 @@ class _Roller:
     """Writes the files of one shard after another."""
 
     def __init__(self, folder: str, roll_bytes: int):
-        self.store, self.folder = fs.FileSystem.from_uri(folder)
+        self.store, self.folder = file_system(folder)
         self.roll_bytes, self.shard, self.file = roll_bytes, None, None
         context = TaskContext.get()
         self.attempt = f"{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
@@ -217,7 +219,7 @@ def write_archives(
 
 def _reader(folder: str):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = file_system(folder)
         for batch in batches:
             for name, expected in zip(batch.column("file").to_pylist(), batch.column("sha256").to_pylist()):
                 seen, rows = hashlib.sha256(), []
