@@ -58,6 +58,43 @@ def test_upsert(spark, ranks, bounds):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+@pytest.fixture
+def bucketed(spark, database):
+    table = f"{database}.bucketed"
+    upsert.create_bucketed(spark, table, schemas.RARITY, schemas.PARTITION, "token_id", 4)
+    old = [(str(i), i, i, "a") for i in range(40)] + [("1", 5, 1, "b"), ("7", 5, 2, "c"), ("7", 5, 3, "c")]
+    upsert.append_bucketed(spark.createDataFrame(old, RANKS), table)
+    return table
+
+
+def test_upsert_into_buckets(spark, bucketed, bounds):
+    before = rows(spark.table(bucketed))
+    source = new_ranks(spark, [("2", None, None, "a"), ("300", 30, 3, "a"), ("1", 6, 1, "d"), ("8", 1, 1, "c")])
+    untouched = files(spark, bucketed, "b")
+    expected = sorted([r for r in before if (r[0], r[3]) != ("2", "a")] + [tuple(r) for r in source.collect()], key=repr)
+    for _ in range(2):
+        upsert.merge_upsert_bucketed(source, bucketed, KEYS, schemas.PARTITION)
+        assert rows(spark.table(bucketed)) == expected
+    assert files(spark, bucketed, "b") == untouched
+    assert len(files(spark, bucketed, "a")) <= 4
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    assert spark.catalog.listTables(bucketed.split(".")[0])[0].name == "bucketed"
+    with pytest.raises(ValueError, match="2 times"):
+        upsert.merge_upsert_bucketed(source.union(source), bucketed, KEYS, schemas.PARTITION)
+    upsert.merge_upsert_bucketed(source.limit(0), bucketed, KEYS, schemas.PARTITION)
+    assert rows(spark.table(bucketed)) == expected
+
+
+def test_a_table_in_buckets_is_not_shuffled(spark, bucketed, ranks):
+    with upsert._settings(spark, upsert._BY_BUCKETS):
+        target = spark.table(bucketed)
+        source = new_ranks(spark, [("2", 99, 1, "a")]).repartition(3)
+        plan = upsert.bucketed_merge(target, source, KEYS, target.columns)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    with pytest.raises(ValueError, match="no buckets"):
+        upsert.merge_upsert_bucketed(source, ranks, KEYS, schemas.PARTITION)
+
+
 def test_upsert_rejects_repeated_keys(spark, ranks):
     before = rows(spark.table(ranks))
     with pytest.raises(ValueError, match="2 times"):

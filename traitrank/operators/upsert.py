@@ -8,6 +8,7 @@ table has included, so a rewrite that breaks off can be finished from the staged
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -19,17 +20,26 @@ from traitrank.operators.joins import Size, lookup_join, measure, restrict
 from traitrank.sources.staging import Staging
 from traitrank.sources.tables import fresh_table
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_DYNAMIC_OVERWRITE = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+# A table in buckets of one key serves a join on that key and others, and keeps its buckets where
+# nothing is joined.
+_BY_BUCKETS = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.sources.bucketing.enabled": "true",
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+}
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def create_table(
@@ -178,14 +188,14 @@ def merge_upsert(
     else:
         result = upserted(touched_rows(target, staged, keys, partition), staged, keys, size)
         result = staging.write(result, "merged")
-    with _dynamic_overwrite(spark):
+    with _settings(spark, _DYNAMIC_OVERWRITE):
         _in_table_order(_rebalanced(result, partition), table).write.insertInto(table, overwrite=True)
 
 
 def replace_groups(staged: DataFrame, table: str, partition: str) -> None:
     """The partitions that ``staged`` has rows for hold these alone. Pass it staged: it may come from the table."""
     fresh_table(staged.sparkSession, table)
-    with _dynamic_overwrite(staged.sparkSession):
+    with _settings(staged.sparkSession, _DYNAMIC_OVERWRITE):
         _in_table_order(_rebalanced(staged, partition), table).write.insertInto(table, overwrite=True)
 
 
@@ -206,3 +216,77 @@ def merge_update(
     unique_size(staged, keys)
     changed = updated(fresh_table(spark, table), staged, keys, columns, measure(staged))
     staging.write(changed, "updated").write.insertInto(table, overwrite=True)
+
+
+def create_bucketed(
+    spark: SparkSession, name: str, schema: T.StructType, partition: str, bucket: str, buckets: int
+) -> None:
+    """Create an empty parquet table of partitions in ``buckets`` buckets of ``bucket``, unless it exists.
+
+    Each partition holds at most one file per bucket and write, so this is for few large partitions.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (`{partition}`)"
+        f" CLUSTERED BY (`{bucket}`) SORTED BY (`{bucket}`) INTO {buckets} BUCKETS"
+    )
+
+
+def buckets_of(spark: SparkSession, table: str) -> tuple[str, int] | None:
+    """The column and the number of the buckets of a table; None if it has none."""
+    named = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if "Num Buckets" not in named:
+        return None
+    return named["Bucket Columns"].strip("[]").replace("`", ""), int(named["Num Buckets"])
+
+
+def bucketed_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows of both with those of ``source`` where a key is in either; for a ``target`` in buckets.
+
+    Both meet in one full join, for which only ``source`` is shuffled, into the target's buckets. A
+    task holds one bucket of all partitions, so its rows are written as they lie. ``target`` may
+    repeat a key that ``source`` lacks.
+    """
+    new = source.select(F.struct(*columns).alias("__new"), *[F.col(k).alias(f"__{k}") for k in keys])
+    on = [F.col(k) == F.col(f"__{k}") for k in keys]
+    joined = target.select(*columns).hint("merge").join(new, on, "full")
+    return joined.select(
+        *[F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) for c in columns]
+    )
+
+
+def append_bucketed(df: DataFrame, table: str) -> None:
+    """Append by column name, each bucket written by one task."""
+    spark = df.sparkSession
+    bucket, buckets = buckets_of(spark, table)
+    _in_table_order(df.repartition(buckets, bucket), table).write.insertInto(table)
+
+
+def merge_upsert_bucketed(
+    source: DataFrame, table: str, keys: Sequence[str], partition: str, *, staging: Staging | None = None
+) -> None:
+    """``merge_upsert`` into a table of buckets: however many keys come, the table is never shuffled.
+
+    The buckets are of one of ``keys``. What is merged is staged in the same buckets as a table beside
+    ``table``, whose entry goes once the touched partitions are overwritten from it. Keys that are
+    NULL match nothing. Fails if the source repeats a key or the table has no such buckets.
+    """
+    spark = source.sparkSession
+    bucket, buckets = buckets_of(spark, table) or (None, 0)
+    if bucket not in keys:
+        raise ValueError(f"{table} has no buckets of one of ({', '.join(keys)})")
+    staging = staging or Staging.of(source)
+    target = fresh_table(spark, table)
+    staged = staging.write(source.select(*target.columns), "incoming")
+    unique_size(staged, keys)
+    merged = f"{table}_merged_{uuid.uuid4().hex}"
+    with _settings(spark, _BY_BUCKETS):
+        result = bucketed_merge(touched_rows(target, staged, keys, partition), staged, keys, target.columns)
+        (
+            result.write.format("parquet").bucketBy(buckets, bucket).sortBy(bucket)
+            .option("path", staging.path("merged")).saveAsTable(merged)
+        )
+        with _settings(spark, _DYNAMIC_OVERWRITE):
+            _in_table_order(spark.table(merged), table).write.insertInto(table, overwrite=True)
+    # Its files stay in the shared folder, as all that is staged.
+    drop_table(spark, merged)

@@ -223,6 +223,7 @@ _ORACLE = {
         id, collection_name FROM registry WHERE status IS DISTINCT FROM 'METADATA_FETCHED'""",
     "pending_tokens": f"{_LINE_BASE} EXCEPT {_LINE_RARITY}",
     "upsert_rarity": _UPSERTED,
+    "upsert_bucketed": _UPSERTED,
     "insert_missing_rows": f"""WITH old AS ({_OLD_RANKS}), new AS ({_NEW_RANKS})
         SELECT * FROM old UNION ALL SELECT * FROM new WHERE token_id NOT IN (SELECT token_id FROM old)""",
     "schema_evolving_append": """SELECT p_partkey, p_name, CAST(NULL AS INTEGER) AS p_size,

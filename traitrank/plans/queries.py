@@ -673,6 +673,17 @@ def upsert_rarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+@_query
+def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``upsert_rarity`` on a table in buckets of the token."""
+    table = schemas.TableNames(prefix=scratch_database(spark)).full("rarity")
+    upsert.create_bucketed(spark, table, schemas.RARITY, schemas.PARTITION, "token_id", 8)
+    upsert.append_bucketed(inputs.order_ranks(spark, sf_dir), table)
+    changed = inputs.changed_order_ranks(inputs.read(spark, sf_dir, "orders"))
+    upsert.merge_upsert_bucketed(changed, table, schemas.TOKEN_KEYS, schemas.PARTITION)
+    return spark.table(table)
+
+
 @_query
 def insert_missing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = schemas.TableNames(prefix=scratch_database(spark)).full("rarity")
