@@ -200,6 +200,13 @@ def test_audit(spark):
     assert rows(audit.token_counts(base=base, rarity=ranked)) == [("base", 4, 3), ("rarity", 3, 3)]
 
 
+def test_counts_observed_while_writing(spark):
+    base = spark.createDataFrame([("1", "1"), ("1", "1"), ("1", "2"), (None, "3"), (None, None)], "collection_id string, token_id string")
+    counts, written = audit.observed_counts(Staging(spark), base=base, rarity=base.limit(0))
+    assert rows(counts) == [("base", 5, 4), ("rarity", 0, 0)] == rows(audit.token_counts(base=base, rarity=base.limit(0)))
+    assert rows(written["base"]) == sorted([("1", "1", 2), ("1", "2", 1), (None, "3", 1), (None, None, 1)], key=repr)
+
+
 def test_reports(spark):
     data = [("1", str(t), s, r) for r, (t, s) in enumerate([(10, 0), (9, 1), (2**200, 5)], 1)]
     ranked = spark.createDataFrame(data + [("2", "5", 9, 1)], schemas.RARITY)

@@ -49,6 +49,21 @@ def token_counts(**tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, (counted(k, df) for k, df in tables.items()))
 
 
+def observed_counts(staging: Staging, **tables: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """``token_counts`` taken while each table is written by token, and what was written.
+
+    A table is staged as one row per token with its number of rows, ``n``; both counts are observed
+    on that write, so none of it is read for them. Two numbers per table reach the driver.
+    """
+    counts, written = [], {}
+    for label, df in tables.items():
+        per_token = df.groupBy(*TOKEN_KEYS).agg(F.count(F.lit(1)).alias("n"))
+        sums = {"n_rows": F.coalesce(F.sum("n"), F.lit(0)), "n_tokens": F.count(F.lit(1))}
+        written[label], seen = staging.write_counted(per_token, label, sums)
+        counts.append((label, seen["n_rows"], seen["n_tokens"]))
+    return staging.spark.createDataFrame(counts, "table_name string, n_rows long, n_tokens long"), written
+
+
 def audit_tokens(base: DataFrame, rarity: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
     """One row per collection: distinct tokens on either side and on one side only.
 

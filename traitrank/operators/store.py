@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,19 +14,30 @@ from traitrank.operators.upsert import append, insert_missing, merge_upsert
 _REJECT_KEYS = ["collection_id", "stage", "item", "reject_reason"]
 
 
-def store_records(records: DataFrame, names: schemas.TableNames) -> None:
-    """Add the tokens among ``page_records`` to the base table. Pass the records staged."""
-    listed = ingest.first_listing(ingest.listed_tokens(records))
-    insert_missing(listed, names.full("base"), schemas.TOKEN_KEYS, schemas.PARTITION)
-    place = F.concat_ws("/", "page_no", "record_no")
-    _quarantine(ingest.rejected_records(records), "base", place, names)
+# Taken for granted where the records were not counted.
+_SOME = {"usable": 1, "rejected": 1}
+
+
+def store_records(records: DataFrame, names: schemas.TableNames, counts: Mapping[str, int] = _SOME) -> None:
+    """Add the tokens among ``page_records`` to the base table. Pass the records staged.
+
+    ``counts`` of usable and rejected records spare the jobs for those there are none of.
+    """
+    if counts["usable"]:
+        listed = ingest.first_listing(ingest.listed_tokens(records))
+        insert_missing(listed, names.full("base"), schemas.TOKEN_KEYS, schemas.PARTITION)
+    if counts["rejected"]:
+        place = F.concat_ws("/", "page_no", "record_no")
+        _quarantine(ingest.rejected_records(records), "base", place, names)
 
 
-def store_documents(records: DataFrame, names: schemas.TableNames) -> None:
+def store_documents(records: DataFrame, names: schemas.TableNames, counts: Mapping[str, int] = _SOME) -> None:
     """Append the traits among ``document_records``. Pass the records staged, of tokens that have
-    no metadata yet."""
-    append(ingest.trait_rows(records), names.full("metadata"), schemas.PARTITION)
-    _quarantine(ingest.bad_documents(records), "metadata", F.col("token_id"), names)
+    no metadata yet. ``counts`` as for ``store_records``."""
+    if counts["usable"]:
+        append(ingest.trait_rows(records), names.full("metadata"), schemas.PARTITION)
+    if counts["rejected"]:
+        _quarantine(ingest.bad_documents(records), "metadata", F.col("token_id"), names)
 
 
 def note_pages(records: DataFrame, names: schemas.TableNames) -> None:

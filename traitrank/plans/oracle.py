@@ -67,6 +67,9 @@ _EVENT_TRAITS = """SELECT event_type AS collection_id, CAST(user_id AS VARCHAR)
 _LINES = "SELECT l_returnflag AS collection_id, CAST(l_partkey AS VARCHAR) AS token_id FROM lineitem"
 _LINE_BASE = f"{_LINES} WHERE l_quantity > 45"
 _LINE_RARITY = f"{_LINES} WHERE l_discount < 0.03"
+_TOKEN_COUNTS = f"""SELECT 'base' AS table_name, count(*) AS n_rows,
+    count(DISTINCT (collection_id, token_id)) AS n_tokens FROM ({_LINE_BASE})
+    UNION ALL SELECT 'rarity', count(*), count(DISTINCT (collection_id, token_id)) FROM ({_LINE_RARITY})"""
 
 _REGISTRY = """
     registry AS (SELECT CAST(s_suppkey + 1 AS INTEGER) AS id, 'name of ' || s_name AS collection_name,
@@ -155,9 +158,8 @@ _ORACLE = {
                count(CASE WHEN m IS NULL THEN b END) AS n_without_metadata
         FROM b FULL JOIN r USING (collection_id, token_id) FULL JOIN m USING (collection_id, token_id)
         GROUP BY ALL""",
-    "token_counts": f"""SELECT 'base' AS table_name, count(*) AS n_rows,
-            count(DISTINCT (collection_id, token_id)) AS n_tokens FROM ({_LINE_BASE})
-        UNION ALL SELECT 'rarity', count(*), count(DISTINCT (collection_id, token_id)) FROM ({_LINE_RARITY})""",
+    "token_counts": _TOKEN_COUNTS,
+    "observed_counts": _TOKEN_COUNTS,
     "unlabelled_documents": """SELECT 'documents' AS collection_id, CAST(doc_id AS VARCHAR) AS token_id
         FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "parse_token_id": """SELECT o_orderkey, CASE

@@ -348,6 +348,13 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``token_counts``, taken while the tokens are written."""
+    base, rarity_ = inputs.line_base(spark, sf_dir), inputs.line_rarity(spark, sf_dir)
+    return audit.observed_counts(Staging(spark), base=base, rarity=rarity_)[0]
+
+
 @_query
 def unlabelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     def tokens(table: str) -> DataFrame:

@@ -9,7 +9,7 @@ state of its collection. A state says done only if nothing stands failed or is s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traitrank import schemas
@@ -37,6 +37,8 @@ class RarityRun:
         self.spark = spark
         self.names = names or schemas.TableNames()
         self.location = location
+        # What the last run of a stage opened, counted while it was written.
+        self.counts: dict[str, dict[str, int]] = {}
 
     def table(self, kind: str) -> DataFrame:
         return fresh_table(self.spark, self.names.full(kind))
@@ -70,6 +72,15 @@ class RarityRun:
         if not changed.isEmpty():
             merge_update(changed, self.names.full("registry"), ["id"], ["status"])
 
+    def _counted(self, stage: str, staging: Staging, records: DataFrame, usable: Column) -> DataFrame:
+        """The records written; how many, and how many of them usable or rejected, is in ``counts``."""
+        tests = {"usable": usable, "rejected": F.col("reject_reason").isNotNull()}
+        counts = {name: F.count_if(test) for name, test in tests.items()}
+        written, self.counts[stage] = staging.write_counted(
+            records, "records", {"records": F.count(F.lit(1)), **counts}
+        )
+        return written
+
     def ingest_base(self, pages: DataFrame) -> None:
         """List the tokens of all landed pages that are new, or that failed and landed again.
 
@@ -78,10 +89,11 @@ class RarityRun:
         attached = ingest.attach_collection(ingest.with_landing(pages), self.table("registry"))
         wanted = ingest.wanted_pages(attached, self.table("ledger"))
         # Staged: every page is opened once, and what is wanted changes with the ledger below.
-        records = Staging.of(pages).write(ingest.page_records(wanted), "records")
-        if records.isEmpty():
+        usable = F.col("reject_reason").isNull() & F.col("token_id").isNotNull()
+        records = self._counted("base", Staging.of(pages), ingest.page_records(wanted), usable)
+        if not self.counts["base"]["records"]:
             return
-        store_records(records, self.names)
+        store_records(records, self.names, self.counts["base"])
         note_pages(records, self.names)
         touched = records.select("collection_id").distinct()
         ledger = self._of(self.table("ledger"), touched).filter("stage = 'base'")
@@ -107,10 +119,12 @@ class RarityRun:
         tokens = staging.write(self._unenriched(ids), "tokens")
         if not tokens.isEmpty():
             joined = ingest.wanted_documents(tokens, documents, self._of(self.table("ledger"), ids))
-            records = staging.write(ingest.document_records(joined), "documents")
-            if not records.isEmpty():
-                store_documents(records, self.names)
-                note_documents(records, self.names)
+            usable = F.col("reject_reason").isNull()
+            records = self._counted("metadata", staging, ingest.document_records(joined), usable)
+            if self.counts["metadata"]["records"]:
+                store_documents(records, self.names, self.counts["metadata"])
+                if self.counts["metadata"]["rejected"]:
+                    note_documents(records, self.names)
                 tokens = self._unenriched(ids)
         left = tokens.select("collection_id").distinct().withColumn("left", F.lit(True))
         done = F.when(F.col("left"), schemas.METADATA_FETCHING).otherwise(schemas.METADATA_FETCHED)

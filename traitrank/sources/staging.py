@@ -9,7 +9,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -50,3 +52,13 @@ class Staging:
         target = self.path(label)
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
+
+    def write_counted(self, df: DataFrame, label: str, counts: Mapping[str, Column]) -> tuple[DataFrame, dict]:
+        """The written table and the aggregates ``counts`` over its rows, taken while they are written.
+
+        The counts come from the tasks that write, after all shuffles, so a lost executor whose
+        output has to be made again does not count twice. A failed write gives none.
+        """
+        seen = Observation(f"{label}-{uuid.uuid4().hex}")
+        written = self.write(df.observe(seen, *[c.alias(name) for name, c in counts.items()]), label)
+        return written, seen.get
