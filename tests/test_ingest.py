@@ -308,3 +308,18 @@ def test_a_folder_is_read_whole_whatever_its_name(tmp_path, spark):
     (folder / "part-99999.txt").write_text("}\n")
     assert folder_fetch(f"{tmp_path}/p")(name, None) == (200, "{\n}")
     assert folder_fetch(f"{tmp_path}/p")(name, "1") == (404, "")
+
+
+def test_whole_numbers_keep_all_digits(spark):
+    """Numbers of any width beside strings, floats, nested values, repeated keys and odd members."""
+    wide = 10**59 + 7
+    values = [wide, -wide, 10**400, 10**37 + 1, 10**38 + 1, str(wide), 1.5, 1e60, True, None, 0]
+    attributes = [{"trait_type": i, "value": v} for i, v in enumerate(values)]
+    body = json.dumps({"raw": {"metadata": {"name": wide, "description": f"no {wide}", "attributes": attributes}}})
+    got = rows(ingest.flatten_metadata(documents(spark, [body])).select("trait_value", "name", "description"))
+    expected = [str(v) if v else None for v in values]
+    assert [r[0] for r in got] == sorted(expected, key=lambda t: repr((t,))) and {r[1:] for r in got} == {(str(wide), f"no {wide}")}
+    twice = '{"raw":{"metadata":{"attributes":[{"value":1,"trait_type":"a","value":%d},{},{"value":{"x":[1]}}]}}}' % wide
+    got = ingest.flatten_metadata(documents(spark, [twice])).select("trait_type", "trait_value")
+    assert rows(got) == sorted([("a", str(wide)), (None, None), (None, '{"x":[1]}')], key=repr)
+    assert rows(ingest.rejected_documents(documents(spark, ['{"raw":{"metadata":%d}}' % wide])).select("reject_reason")) == [("metadata_not_an_object",)]

@@ -1,7 +1,9 @@
 """Column expressions; all of them run inside the JVM."""
 
 from traitrank.functions.json_values import (
+    exact_text_or_null,
     first_truthy,
+    has_wide_number,
     is_truthy,
     python_float_text,
     stringify_or_null,
@@ -13,7 +15,9 @@ from traitrank.functions.token_ids import hex_to_decimal, numeric_order, parse_t
 __all__ = [
     "collection_label",
     "fallback_text",
+    "exact_text_or_null",
     "first_truthy",
+    "has_wide_number",
     "hex_to_decimal",
     "is_truthy",
     "numeric_order",

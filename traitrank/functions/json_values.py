@@ -76,6 +76,23 @@ def stringify_or_null(value: Column) -> Column:
     return bound(value, _TEXT)
 
 
+# A VARIANT holds no more digits of a whole number, and gives a DOUBLE beyond them.
+_VARIANT_DIGITS = 38
+
+
+def has_wide_number(body: Column) -> Column:
+    """Whether JSON text may hold a whole number that a VARIANT rounds."""
+    return body.rlike(rf"\d{{{_VARIANT_DIGITS + 1}}}")
+
+
+def exact_text_or_null(value: Column, text: Column) -> Column:
+    """``stringify_or_null`` with all digits of whole numbers; ``text`` is the value as text, taken from
+    the JSON itself, or NULL where ``has_wide_number`` denies."""
+    # A string of as many digits reads the same.
+    wide = text.rlike(rf"\A-?\d{{{_VARIANT_DIGITS + 1},}}\z")
+    return F.when(wide, text).otherwise(stringify_or_null(value))
+
+
 def is_truthy(value: Column) -> Column:
     return stringify_or_null(value).isNotNull()
 

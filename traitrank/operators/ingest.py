@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from traitrank import schemas
 from traitrank.functions import (
+    exact_text_or_null,
     first_truthy,
+    has_wide_number,
     is_truthy,
     parse_token_id,
     stringify_or_null,
@@ -278,6 +280,10 @@ def join_documents(base: DataFrame, documents: DataFrame) -> DataFrame:
     return wanted_documents(enrichable_tokens(base), documents).drop("landed_no")
 
 
+# The texts of a document as they stand in its JSON, whatever their type.
+_EXACT = "raw struct<metadata struct<name string, description string, image string, attributes array<struct<trait_type string, value string>>>>"
+
+
 def _open_documents(joined: DataFrame) -> DataFrame:
     """Adds the metadata members, the attributes and the reason to reject the document.
 
@@ -293,6 +299,8 @@ def _open_documents(joined: DataFrame) -> DataFrame:
         # Only a document that is no object is parsed as a whole, to tell why.
         .withColumn("doc", F.when(F.col(f"opened.{_BAD}").isNotNull(), F.try_parse_json(_good_body())))
         .withColumn("metadata", raw["metadata"])
+        # Opened a second time only where a whole number has more digits than a VARIANT keeps.
+        .withColumn("exact", F.when(has_wide_number(_good_body()), F.from_json(_good_body(), _EXACT, _READ_ALL)["raw"]["metadata"]))
         .withColumn("m", _fields(F.col("metadata"), "name", "description", "image", "attributes"))
         .withColumn("attributes", F.col("m.attributes"))
         .withColumn("items", _items(F.col("attributes")))
@@ -321,20 +329,23 @@ def document_records(joined: DataFrame) -> DataFrame:
     ``reject_reason`` and ``body``. Further columns of ``joined`` stay.
     """
     none = F.array(F.lit(None).cast("struct<trait_type:variant,value:variant>"))
-    texts = F.transform(
-        F.when(F.size("pairs") > 0, F.col("pairs")).otherwise(none),
-        lambda pair: F.struct(
-            stringify_or_null(pair["trait_type"]).alias("trait_type"), stringify_or_null(pair["value"]).alias("trait_value")
-        ),
-    )
+
+    def texts_of(pair: Column, i: Column) -> Column:
+        exact = F.get(F.col("exact.attributes"), i)
+        return F.struct(
+            exact_text_or_null(pair["trait_type"], exact["trait_type"]).alias("trait_type"),
+            exact_text_or_null(pair["value"], exact["value"]).alias("trait_value"),
+        )
+
+    texts = F.transform(F.when(F.size("pairs") > 0, F.col("pairs")).otherwise(none), texts_of)
     kept = [c for c in joined.columns if c not in (*_COLLECTION, "token_id", "body")]
     return _open_documents(joined).select(
         *_COLLECTION,
         "token_id",
         *kept,
-        stringify_or_null(F.col("m.name")).alias("name"),
-        stringify_or_null(F.col("m.description")).alias("description"),
-        stringify_or_null(F.col("m.image")).alias("image_url"),
+        exact_text_or_null(F.col("m.name"), F.col("exact.name")).alias("name"),
+        exact_text_or_null(F.col("m.description"), F.col("exact.description")).alias("description"),
+        exact_text_or_null(F.col("m.image"), F.col("exact.image")).alias("image_url"),
         F.coalesce(F.to_json("attributes"), F.lit("[]")).alias("attributes_json"),
         F.coalesce(F.to_json("metadata"), F.lit("{}")).alias("metadata_json"),
         F.when(F.col("reject_reason").isNull(), texts).alias("traits"),

@@ -200,6 +200,12 @@ _ORACLE = {
             '{"attributes":' || attributes_json || '}' AS metadata_json,
             CASE WHEN p_brand <> 'Brand#13' THEN 'size' END AS trait_type,
             CASE WHEN p_brand <> 'Brand#13' THEN CAST(p_size AS VARCHAR) END AS trait_value FROM repeated""",
+    "wide_numbers": """WITH wide AS (SELECT *, (p_partkey + 1) || repeat('7', 60) AS w FROM part),
+        pairs AS (SELECT *, 'plain' AS trait_type, w AS trait_value FROM wide
+            UNION ALL SELECT *, 'minus', '-' || w FROM wide UNION ALL SELECT *, 'text', w FROM wide
+            UNION ALL SELECT *, w, CASE WHEN p_size <> 0 THEN CAST(p_size AS VARCHAR) END FROM wide)
+        SELECT CAST(p_partkey AS VARCHAR) AS token_id, w AS name, CAST(NULL AS VARCHAR) AS image_url,
+            trait_type, trait_value FROM pairs""",
     "quarantine_bad_records": f"""SELECT p_type AS collection_id, CAST(p_partkey AS VARCHAR) AS token_id,
         CASE p_brand WHEN 'Brand#7' THEN 'attribute_not_an_object' WHEN 'Brand#8' THEN 'http_status'
              WHEN 'Brand#9' THEN 'unparsable' WHEN 'Brand#10' THEN 'raw_not_an_object'

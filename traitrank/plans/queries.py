@@ -506,6 +506,25 @@ def explode_outer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def wide_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and trait values that are whole numbers of more than sixty digits."""
+    part = inputs.read(spark, sf_dir, "part")
+    wide = F.concat((F.col("p_partkey") + 1).cast("string"), F.repeat(F.lit("7"), 60))
+    body = F.format_string(
+        '{"raw":{"metadata":{"name":%1$s,"image":[],"attributes":[{"trait_type":"plain","value":%1$s},'
+        '{"trait_type":"minus","value":-%1$s},{"trait_type":"text","value":"%1$s"},{"trait_type":%1$s,"value":%2$s}]}}}',
+        wide, F.col("p_size").cast("string"),
+    )
+    joined = part.select(
+        *[F.col("p_type").alias(c) for c in ("collection_id", "collection_name", "contract_address")],
+        F.col("p_partkey").cast("string").alias("token_id"),
+        F.lit(200).alias("http_status"),
+        body.alias("body"),
+    )
+    return ingest.flatten_metadata(joined).select("token_id", "name", "image_url", "trait_type", "trait_value")
+
+
 @_query
 def quarantine_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.rejected_documents(_part_joined(spark, sf_dir)).select(
