@@ -107,3 +107,14 @@ def test_windows_are_filled_in_order_of_likeness():
     assert sorted(used) == list(range(len(pieces)))
     cut = list(by_powers_of_two([(0, 0, 5), (1, 2, 8)]))
     assert [sum(e - s for _, s, e in part) for part in cut] == [8, 2, 1]
+
+
+def test_terms_that_all_pieces_have_are_looked_up(spark):
+    """Without being asked for: pieces that share nothing else are neighbours, in order of their scores."""
+    pieces = [np.array([7] * n + [100 + n], "<u4") for n in range(1, 13)]
+    stats = Statistics(np.ones(500), np.mean([len(p) for p in pieces]))
+    weight = stats.weights(np.full(12, 7), np.arange(1, 13), np.arange(2, 14))
+    for shard in (Shard(pieces, stats), Shard(pieces, stats, None)):
+        shard.unused[0] = False
+        assert shard.neighbours(0).tolist() == [i for i in np.argsort(-weight, kind="stable").tolist() if i]
+    assert COMMON is None

@@ -35,9 +35,11 @@ WINDOW = 1024
 END_ID = 0
 SHARD = 1024
 K1, B = 1.2, 0.75
-# Terms in more than this share of a shard's pieces weigh next to nothing and are not looked up;
-# None looks up all of them.
-COMMON = 0.25
+# Share of a shard's pieces from which on a term is not looked up; None looks up all of them.
+COMMON = None
+# Terms in more than this share of a shard's pieces are kept as a weight for each of its pieces, the
+# others as postings; that is for speed and leaves none out.
+DENSE = 0.25
 # Pieces, chosen by a hash, whose keys cut the order into tasks.
 BOUNDS_SAMPLE = 16_384
 _WRITTEN = 512
@@ -229,15 +231,24 @@ class Shard:
         self.owner, self.weight = owner[order], weight[order]
         self.listed, self.begin = np.unique(term[order], return_index=True)
         self.size = np.diff(np.r_[self.begin, len(term)])
+        # Row in ``rows`` of a term that many pieces have, -1 for one that has its postings only.
+        many = self.size > DENSE * self.n
+        self.row = np.where(many, np.cumsum(many) - 1, -1)
+        self.rows = np.zeros((many.sum(), self.n))
+        of = np.repeat(self.row, self.size)
+        self.rows[of[of >= 0], self.owner[of >= 0]] = self.weight[of >= 0]
         self.unused = np.ones(self.n, bool)
 
     def neighbours(self, seed: int) -> np.ndarray:
         """Unused pieces that share a looked-up term with the seed, best first, ties by position."""
         at = np.searchsorted(self.listed, self.terms[seed])
         at = at[self.size[at] <= self.most]
+        row = self.row[at]
+        at = at[row < 0]
         size = self.size[at]
         postings = np.arange(size.sum()) + np.repeat(self.begin[at] - np.r_[0, np.cumsum(size)[:-1]], size)
-        score = np.bincount(self.owner[postings], self.weight[postings], self.n) * self.unused
+        score = np.bincount(self.owner[postings], self.weight[postings], self.n)
+        score = (score + self.rows[row[row >= 0]].sum(axis=0)) * self.unused
         found = np.flatnonzero(score > 0)
         return found[np.argsort(-score[found], kind="stable")]
 
@@ -351,8 +362,8 @@ def pack_by_retrieval(
 
     Every id of every document, ``end_id`` included, lies in exactly one piece; the pieces of a
     sequence lie side by side from offset 0. ``tokenizer`` is (rank file, pattern, added tokens); strings of added
-    tokens in a text become these tokens. ``common`` is the share of a shard's pieces from which on a
-    term is not looked up, None for full BM25 scores. Null and
+    tokens in a text become these tokens. Neighbours are found by full BM25 scores; a caller may name
+    with ``common`` a share of a shard's pieces from which on a term is not looked up. Null and
     empty texts are the end id alone. Null ids and rows that repeat an id are packed like any
     other. An empty table gives an empty result; further columns are not looked at.
     """
