@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from traitrank.operators import audit, joins, rank_lookup
 from traitrank.operators.maintenance import MaintainedRarity
 from traitrank.operators.rarity import rank_tokens, score_and_rank
+from traitrank.sources.staging import Staging
 
 TRAITS = "collection_id string, token_id string, trait_type string, trait_value string"
 TOKENS = "collection_id string, token_id string"
@@ -89,6 +90,34 @@ def test_rank_lookup(spark, monkeypatch, broadcast):
     assert rows(rank_lookup.rank_lookup(df.limit(0), spark.createDataFrame(wanted, TOKENS))) == []
 
 
+@pytest.mark.parametrize("broadcast", [joins.BROADCAST_BYTES, 0])
+def test_rank_lookup_places_a_token_once(spark, monkeypatch, broadcast):
+    """A score shared by all is bisected level by level: no token meets more than a list per level."""
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", broadcast)
+    monkeypatch.setattr(rank_lookup, "LIST", 8)
+    met = []
+    write = Staging.write_counted
+
+    def counting(self, df, label, counts):
+        written, seen = write(self, df, label, counts)
+        met.append((written.count(), seen["m"]))
+        return written, seen
+
+    monkeypatch.setattr(Staging, "write_counted", counting)
+    scores = [("x", f"{n}", 1) for n in range(900)] + [("x", f"a{n}", n % 2) for n in range(20)] + [("x", None, 1), ("x", "0", None)]
+    scores += [("x", "17", 1)] * 3
+    df = spark.createDataFrame(scores, TOKENS + ", rarity_score int")
+    got = rows(rank_lookup.rank_lookup(df, df.filter("token_id NOT LIKE '%3'")))
+    ids = sorted(t for _, t, s in scores if s == 1 and t is not None)
+    low = sorted(t for _, t, s in scores if s == 0)
+    nulls = 1
+    expected = [("x", t, 1, 1 + 1 + len(low) + nulls + ids.index(t)) for t in ids if not t.endswith("3")]
+    expected += [("x", t, 0, 1 + 1 + low.index(t)) for t in low if not t.endswith("3")]
+    assert got == sorted(expected, key=repr)
+    # Four levels of cuts, and lists that stay short whatever the score holds.
+    assert len(met) == 5 and max(m for _, m in met) < 64 and met[-1][0] > 100
+
+
 def test_bitmaps(spark):
     def tokens(data):
         return spark.createDataFrame(data, TOKENS)

@@ -2,8 +2,10 @@
 
 A token's rank is the number of tokens of its collection with a lower score, plus those of the same
 score whose id comes before its own, plus one. The first number comes from a histogram of scores
-with running sums. For the second, the asked tokens of a score form short sorted lists; every token
-of that score is placed between two of them by bisection and counted there.
+with running sums. For the second, the asked tokens of a score form a tree of short sorted lists:
+those that a hash chooses cut the others into ranges, level by level, until a range holds few. Every
+token of that score goes down the tree by bisection, one list per level, and is counted where it
+arrives.
 """
 
 from __future__ import annotations
@@ -13,18 +15,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from traitrank.operators.joins import lookup_join
+from traitrank.operators.joins import Size, lookup_join
 from traitrank.operators.rarity import COLLECTION, TOKEN
 from traitrank.sources.staging import Staging
 
-# Asked tokens of one score in a list.
+# Asked tokens of one score in a list, on average at most half of it.
 LIST = 256
 _GROUP = [COLLECTION, "rarity_score"]
+_ELEMENT_OVERHEAD = 16
 
 
-def _at_or_before(listed: str, token: Column) -> Column:
-    """How many of the ascending ``listed`` are not above ``token``, in log2(LIST) + 1 steps."""
-    steps = [F.lit(1 << k) for k in reversed(range(LIST.bit_length()))]
+def _at_or_before(listed: str, token: Column, longest: int) -> Column:
+    """How many of the ascending ``listed``, at most ``longest``, are not above ``token``."""
+    steps = [F.lit(1 << k) for k in reversed(range(max(1, longest.bit_length())))]
 
     def forward(at: Column, step: Column) -> Column:
         there = F.try_element_at(F.col(listed), at + step)
@@ -33,6 +36,17 @@ def _at_or_before(listed: str, token: Column) -> Column:
     return F.aggregate(F.array(*steps), F.lit(0), forward)
 
 
+def _lists(staging: Staging, asked: DataFrame, path: list[str]) -> tuple[DataFrame, Size, int]:
+    """The ``asked`` tokens as a sorted list per range, its measured size and the longest list."""
+    text = F.octet_length(F.array_join("tokens", "")) + _ELEMENT_OVERHEAD * (F.size("tokens") + len(path) + 2)
+    lists, seen = staging.write_counted(
+        asked.groupBy(*path).agg(F.sort_array(F.collect_list(TOKEN)).alias("tokens")),
+        "lists",
+        {"n": F.count(F.lit(1)), "b": F.sum((text + F.octet_length(COLLECTION)).cast("long")), "m": F.max(F.size("tokens"))},
+    )
+    return lists, Size(seen.get("n") or 0, seen.get("b") or 0), seen.get("m") or 0
+
+
 def rank_lookup(scores: DataFrame, wanted: DataFrame, staging: Staging | None = None) -> DataFrame:
     """(collection_id, token_id, rarity_score, rank) of the ``wanted`` tokens that have a score.
 
@@ -43,31 +57,53 @@ def rank_lookup(scores: DataFrame, wanted: DataFrame, staging: Staging | None =
     asked = staging.write(wanted.select(COLLECTION, TOKEN).dropna().distinct(), "asked")
     collections = asked.select(COLLECTION).distinct()
     theirs = lookup_join(scores.select(COLLECTION, TOKEN, "rarity_score"), collections, [COLLECTION], how="left_semi", spread=[TOKEN])
-    found = staging.write(lookup_join(theirs, asked, [COLLECTION, TOKEN], how="left_semi"), "found")
+    met = lookup_join(theirs.dropna(subset=["rarity_score"]), asked, [COLLECTION, TOKEN], how="left_semi")
+    # A token that has several rows of a score is ranked once and given as often.
+    found = staging.write(met.groupBy(*_GROUP, TOKEN).agg(F.count(F.lit(1)).alias("copies")), "found")
+    most = found.groupBy(*_GROUP).count().agg(F.max("count")).first()[0] or 0
 
     # One row per distinct score of a collection.
     lower = Window.partitionBy(COLLECTION).orderBy("rarity_score").rowsBetween(Window.unboundedPreceding, -1)
     histogram = theirs.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("n"))
-    below = histogram.select(*_GROUP, F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("below"))
-
-    # A list takes what a hash deals to it, so a score that all tokens share is many lists.
-    many = found.groupBy(*_GROUP).agg(F.ceil(F.count(F.lit(1)) / (LIST // 2)).cast("int").alias("lists"))
-    placed = lookup_join(found, many, _GROUP, spread=[TOKEN]).withColumn("list", F.pmod(F.xxhash64(TOKEN), F.col("lists")))
-    within = Window.partitionBy(*_GROUP, "list").orderBy(TOKEN)
-    cut = placed.withColumn("part", F.floor((F.row_number().over(within) - 1) / LIST)).groupBy(*_GROUP, "list", "part")
-    lists = staging.write(cut.agg(F.sort_array(F.collect_list(TOKEN)).alias("tokens")), "lists")
-
-    met = lookup_join(theirs, lists.groupBy(*_GROUP).agg(F.collect_list(F.struct("list", "part", "tokens")).alias("lists")), _GROUP, spread=[TOKEN])
-    each = met.select(*_GROUP, TOKEN, F.explode("lists").alias("l")).select(*_GROUP, TOKEN, "l.list", "l.part", "l.tokens")
-    slots = each.groupBy(*_GROUP, "list", "part", _at_or_before("tokens", F.col(TOKEN)).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    asked_at = lists.select(*_GROUP, "list", "part", F.posexplode("tokens").alias("slot", TOKEN))
+    below = staging.write(histogram.select(*_GROUP, F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("before")), "below")
+
+    # Of every list's tokens, one in ``share`` cuts the level above.
+    share, levels = LIST // 2, 0
+    while share ** (levels + 1) < most:
+        levels += 1
+    path, placed, counted = list(_GROUP), found, theirs
+    for level in reversed(range(levels)):
+        chosen = F.pmod(F.xxhash64(F.lit("cut"), TOKEN), F.lit(share ** (level + 1))) == 0
+        cuts, size, longest = _lists(staging, placed.filter(chosen), path)
+        at = F.coalesce(_at_or_before("tokens", F.col(TOKEN), longest), F.lit(0)).alias(f"range{level}")
+        placed, counted = (
+            lookup_join(df, cuts, path, how="left", size=size, spread=[TOKEN]).select(*df.columns, at) for df in (placed, counted)
+        )
+        path = [*path, f"range{level}"]
+
+    lists, size, longest = _lists(staging, placed, path)
+    at = F.coalesce(_at_or_before("tokens", F.col(TOKEN), longest), F.lit(0)).alias("slot")
+    arrived = lookup_join(counted, lists, path, how="left", size=size, spread=[TOKEN]).groupBy(*path, at)
+    slots = staging.write(arrived.agg(F.count(F.lit(1)).alias("n")), "slots")
+    # What lies before a range: what lies before the one around it, and the ranges before it in there.
+    for depth in range(len(_GROUP) + 1, len(path) + 1):
+        around, own = path[: depth - 1], path[depth - 1]
+        former = Window.partitionBy(*around).orderBy(own).rowsBetween(Window.unboundedPreceding, -1)
+        ranges = slots.groupBy(*path[:depth]).agg(F.sum("n").alias("n"))
+        inside = ranges.select(*path[:depth], F.coalesce(F.sum("n").over(former), F.lit(0)).alias("inside"))
+        before = lookup_join(inside, below, around).select(*path[:depth], (F.col("before") + F.col("inside")).alias("before"))
+        below = staging.write(before, "below")
+
+    asked_at = lists.select(*path, F.posexplode("tokens").alias("slot", TOKEN))
     # A token counts for every asked one behind it; the asked one itself lies in the next slot.
     both = asked_at.withColumn("n", F.lit(0).cast("long")).unionByName(slots.withColumn(TOKEN, F.lit(None).cast("string")))
-    upto = Window.partitionBy(*_GROUP, "list", "part").orderBy("slot").rangeBetween(Window.unboundedPreceding, 0)
-    before = both.withColumn("before", F.sum("n").over(upto)).filter(F.col(TOKEN).isNotNull())
-    return lookup_join(before, below, _GROUP, spread=[TOKEN]).select(
-        COLLECTION, TOKEN, "rarity_score", (F.col("below") + F.col("before") + 1).cast("int").alias("rank")
+    upto = Window.partitionBy(*path).orderBy("slot").rangeBetween(Window.unboundedPreceding, 0)
+    within = both.withColumn("within", F.sum("n").over(upto)).filter(F.col(TOKEN).isNotNull())
+    ranked = lookup_join(within, below, path, spread=[TOKEN]).select(
+        *_GROUP, TOKEN, (F.col("before") + F.col("within") + 1).cast("int").alias("rank")
     )
+    repeated = found.filter("copies > 1").select(*_GROUP, TOKEN, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    return lookup_join(ranked, repeated, [*_GROUP, TOKEN], how="left").select(COLLECTION, TOKEN, "rarity_score", "rank")
 
 
 def rank_of(scores: DataFrame, collection_id: str, token_ids: Sequence[str]) -> DataFrame:
