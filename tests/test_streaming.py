@@ -205,6 +205,36 @@ def test_a_paged_stream_leaves_a_circle(paged):
     assert not still and found[-1][2] == 508 and len(found) <= 10
 
 
+def test_a_growing_paged_stream_takes_few_batches(spark, tmp_path):
+    """100 pages, 2 in the first round: 7 batches, each a new stream; a page that fails once comes again."""
+    import json
+
+    from traitrank.sources.paged import Marks, paged_stream
+
+    def fetch(contract, page_key):
+        at = int(page_key or 0)
+        with (tmp_path / f"{contract}-{at}").open("a") as file:
+            file.write("x")
+        if contract == "b" and at == 9 and (tmp_path / "b-9").read_text() == "x":
+            return 503, ""
+        return 200, '{"nfts":[{"tokenId":"1"}]' + (f',"pageKey":"{at + 1}"}}' if at < (99 if contract == "a" else 11) else "}")
+
+    staging, contracts = Staging(spark), ["a", "b"]
+    marks, seen, landed = (staging.path(k) for k in ("marks", "seen", "pages"))
+    spark.dataSource.register(paged_stream(fetch, "paged_growing"))
+    batches = 0
+    while Marks(marks).any_open(contracts) and batches < 8:
+        read = spark.readStream.format("paged_growing").options(
+            contracts=json.dumps(contracts), marks=marks, pages="2", growing="true"
+        ).load()
+        sink = read.writeStream.format("parquet").option("checkpointLocation", seen).trigger(availableNow=True)
+        sink.start(landed).awaitTermination()
+        batches += 1
+    found = [r[:3] for r in rows(spark.read.schema(schemas.PAGES).parquet(landed))]
+    assert found == sorted([("a", n, 200) for n in range(100)] + [("b", n, 200) for n in range(12)] + [("b", 9, 503)], key=repr)
+    assert batches == 7 and {len(f.read_text()) for f in tmp_path.iterdir() if f.name != "b-9"} == {1}
+
+
 @pytest.mark.parametrize(
     ("given", "meant"),
     [("file:/tmp/x", "file:///tmp/x"), ("file:///tmp/x", "file:///tmp/x"), ("s3a://b/x", "s3://b/x"), ("s3n://b/x", "s3://b/x")],

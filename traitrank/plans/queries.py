@@ -595,14 +595,19 @@ def query_land_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def query_paged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same pages as a stream, three of a contract in a batch, started anew for every batch."""
+    """The same pages as a stream, three of a contract in a round, started anew for every batch.
+
+    A batch is as many rounds as lie behind it, so that long chains do not take a start per three pages.
+    """
     source = paged_stream(folder_fetch(_landed_folder(spark, sf_dir)))
     spark.dataSource.register(source)
     contracts = [r[0] for r in inputs.part_contracts(spark, sf_dir).select("contract_address").collect()]
     staging = Staging(spark)
     marks, seen, landed = (staging.path(k) for k in ("marks", "seen", "pages"))
     while Marks(marks).any_open(contracts):
-        read = spark.readStream.format(source.name()).options(contracts=json.dumps(contracts), marks=marks, pages="3").load()
+        read = spark.readStream.format(source.name()).options(
+            contracts=json.dumps(contracts), marks=marks, pages="3", growing="true"
+        ).load()
         write = read.writeStream.format("parquet").option("checkpointLocation", seen).trigger(availableNow=True)
         write.start(landed).awaitTermination()
     return _names_listed(spark.read.schema(schemas.PAGES).parquet(landed))

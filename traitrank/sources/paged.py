@@ -274,9 +274,11 @@ def paged_stream(fetch: Fetch, source_name: str = "paged_stream") -> type[DataSo
     """Streaming data source class for ``spark.dataSource.register``.
 
     Options: ``contracts``, a JSON array of addresses, fixed for the stream; ``marks``, a shared
-    folder; ``pages``, the most pages of a chain in one batch. A batch is a round: every chain goes
+    folder; ``pages``, the most pages of a chain in one round. A batch is a round: every chain goes
     on from the page key in its mark of the round before, read by its own task, and leaves a mark
-    for the next. The offset is the number of the round, so neither pages nor keys reach the
+    for the next. With ``growing`` set to ``true`` a batch is as many rounds as lie behind it, one at
+    least, so a chain takes batches by the logarithm of its length and one that breaks off costs at
+    most what was had before; rows are streamed, whatever the number of pages. The offset is the number of the round, so neither pages nor keys reach the
     driver. A round that breaks off is played again from the marks before it. A page that failed
     for the moment is a row and is fetched again in the next round; other failures end the chain.
     A chain that comes back to an earlier page ends with a row of status ``LOOP``, at the latest after twice
@@ -288,13 +290,16 @@ def paged_stream(fetch: Fetch, source_name: str = "paged_stream") -> type[DataSo
             self.contracts = list(dict.fromkeys(json.loads(options["contracts"])))
             self.marks = Marks(options["marks"])
             self.pages = int(options.get("pages", 100))
+            self.growing = options.get("growing", "false").lower() == "true"
 
         def initialOffset(self) -> dict:
             return {"round": 0}
 
         def latestOffset(self) -> dict:
             last = self.marks.last_round(self.contracts)
-            return {"round": last + (not last or self.marks.any_open(self.contracts))}
+            if last and not self.marks.any_open(self.contracts):
+                return {"round": last}
+            return {"round": last + (max(1, last) if self.growing else 1)}
 
         def partitions(self, start: dict, end: dict) -> list[InputPartition]:
             return [_RoundPartition(c, start["round"], end["round"]) for c in self.contracts]
