@@ -1,8 +1,11 @@
 """Early arrivals in keyed state, streams of tables, and the paged stream."""
 
+from random import Random
+
 import pytest
 from comparing import rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from traitrank import schemas
 from traitrank.plans.rarity_run import RarityRun
@@ -46,6 +49,153 @@ def test_rows_wait_for_their_key(gate):
     assert gate([("d", str(n)) for n in range(600)], ["d"]) == sorted(("d", str(n)) for n in range(600))
 
 
+def test_keys_are_handed_over_by_the_bucket(gate, monkeypatch, tmp_path):
+    """300 keys in 8 buckets: eight calls a batch at most, not one for every key."""
+    calls, handle = str(tmp_path / "calls"), arrivals._Gate.handleInputRows
+
+    def counted(self, key, rows, timer_values):
+        with open(calls, "a") as file:
+            file.write("x")
+        return handle(self, key, rows, timer_values)
+
+    monkeypatch.setattr(arrivals, "BUCKETS", 8, raising=False)
+    monkeypatch.setattr(arrivals._Gate, "handleInputRows", counted)
+    keys = [f"k{n}" for n in range(300)]
+    assert gate([(k, "1") for k in keys], keys[:50]) == sorted((k, "1") for k in keys[:50])
+    # Rows of one key from several batches, some of its own open neighbours, some before the opening.
+    assert gate([(k, "2") for k in keys], []) == sorted((k, "2") for k in keys[:50])
+    assert gate([("k299", "3"), ("k299", "3")], keys[40:]) == sorted(
+        [(k, b) for k in keys[50:] for b in "12"] + [("k299", "3")] * 2
+    )
+    assert len((tmp_path / "calls").read_text()) <= 24
+
+
+class _State:
+    """A map or list state that counts the calls and notes which entries are read."""
+
+    def __init__(self, schema=None):
+        self.schema, self.entries, self.rows, self.read, self.calls = schema, {}, [], [], 0
+
+    def exists(self):
+        return bool(self.entries or self.rows)
+
+    def getValue(self, key):
+        self.calls += 1
+        self.read.append(key)
+        return self.entries.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.entries[key] = value
+
+    def removeKey(self, key):
+        del self.entries[key]
+
+    def get(self):
+        self.read.extend(self.rows)
+        return iter(list(self.rows))
+
+    def appendList(self, rows):
+        self.calls += 1
+        self.rows.extend(rows)
+
+    def clear(self):
+        self.rows = []
+
+
+class _Handle:
+    def __init__(self):
+        self.states = {}
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, _State())
+
+    getListState = getMapState
+
+
+@pytest.fixture
+def bucket():
+    """Hands batches to one bucket and gives what it lets go, its states, and the calls that took."""
+    schema = StructType().add("k", "string").add("body", "string")
+    gate, handle = arrivals._Gate(StructType().add("k", "string"), schema), _Handle()
+    gate.init(handle)
+
+    def batch(*arrived):
+        for state in handle.states.values():
+            state.read, state.calls = [], 0
+        given = [{"k": k, "__row": body and {"k": k, "body": body}, "__opens": body is None} for k, body in arrived]
+        return [tuple(r) for r in gate.handleInputRows((0,), iter(given), None)]
+
+    return batch, handle.states, lambda: sum(s.calls for s in handle.states.values())
+
+
+def test_what_comes_together_takes_few_calls(bucket):
+    batch, states, calls = bucket
+    rows = [(f"k{n}", "x") for n in range(1000)]
+    assert batch(*rows) == [] and calls() == 4
+    assert batch(*((k, None) for k, _ in rows)) == rows and calls() == 4
+    assert not states["waiting"].rows and not states["gates"].entries
+
+
+def test_a_batch_reads_the_state_of_its_own_keys_only(bucket):
+    batch, states, _ = bucket
+    assert batch(*((f"k{n}", "x") for n in range(1000)), ("k1", "y")) == []
+    # The first opening moves all others to entries by key; they are not read again.
+    assert batch(("k2", "y"), ("k2", None)) == [("k2", "y"), ("k2", "x")]
+    assert len(states["gates"].entries) == 999 and list(states["further"].entries) == [("k1", 1)]
+    assert batch(("k1", "z"), ("k3", None), ("k2", "z")) == [("k2", "z"), ("k3", "x")]
+    assert not states["waiting"].read[1:] and set(states["gates"].read) == {("k1",), ("k3",)}
+    # More rows than are handed over at once; the opening comes last, and again.
+    many = [("hot", str(n)) for n in range(700)]
+    assert sorted(batch(*many, ("hot", None))) == sorted(many)
+    assert batch(("hot", None), ("k1", None), ("k1", None)) == [("k1", "x"), ("k1", "y"), ("k1", "z")]
+    assert batch(("hot", "a"), ("k1", "a"), ("k2", "a"), ("k3", "a")) == [("hot", "a"), ("k1", "a"), ("k2", "a"), ("k3", "a")]
+    assert not states["further"].entries and not states["waiting"].rows and len(states["gates"].entries) == 1001
+
+
+def test_openings_that_come_again_do_not_pile_up(bucket):
+    batch, states, _ = bucket
+    for _ in range(4):
+        assert batch(("a", None), ("b", None), ("a", None)) == []
+    assert len(states["opened"].rows) + len(states["gates"].entries) == 2
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_every_row_is_let_go_once_at_the_first_chance(bucket, monkeypatch, seed):
+    """Random batches against a plain account of them."""
+    monkeypatch.setattr(arrivals, "_CHUNK", 3)
+    batch, _, _ = bucket
+    draw, waits, is_open = Random(seed), [], set()
+    for number in range(30):
+        came = [(f"k{draw.randrange(12)}", None if draw.random() < 0.1 else f"{number}-{n}") for n in range(draw.randrange(12))]
+        is_open |= {k for k, body in came if body is None}
+        waits += [r for r in came if r[1] is not None]
+        assert sorted(batch(*came)) == sorted(r for r in waits if r[0] in is_open)
+        waits = [r for r in waits if r[0] not in is_open]
+
+
+def test_nested_rows_wait_unchanged(spark):
+    """Structs, lists and nulls of a row that is put into the state twice."""
+    shape, staging = "k string, a struct<b: long, c: array<string>>, d double", Staging(spark)
+    schema, paths = spark.createDataFrame([], shape).schema, {k: staging.path(k) for k in ("rows", "openings", "seen")}
+    landed = [("a", (9007199254740993, ["x", None]), None), ("a", (None, None), 0.1), ("a", None, 2.0)]
+    got = []
+
+    def drain():
+        streams = [incremental.file_stream(spark, paths[n], schema) for n in ("rows", "openings")]
+        with arrivals.keyed_state(spark):
+            incremental.drain(arrivals.held_until_open(*streams, ["k"]), paths["seen"], lambda df: got.extend(df.collect()))
+
+    spark.createDataFrame([], schema).write.json(paths["openings"])
+    for row in landed:
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(paths["rows"])
+        drain()
+    assert got == []
+    spark.createDataFrame([("a", None, None)], schema).coalesce(1).write.mode("append").json(paths["openings"])
+    drain()
+    assert sorted(map(repr, got)) == sorted(map(repr, spark.createDataFrame(landed, schema).collect()))
+
+
 def test_a_batch_that_breaks_off_loses_nothing(gate, spark):
     assert gate([("a", "1")], []) == []
     with pytest.raises(Exception, match="broken off"):
