@@ -137,6 +137,16 @@ def test_what_comes_together_takes_few_calls(bucket):
     assert not states["waiting"].rows and not states["gates"].entries
 
 
+def test_a_list_holds_many_rows_to_a_value(bucket):
+    batch, states, _ = bucket
+    rows = [(f"k{n}", "x") for n in range(1000)]
+    assert batch(*rows) == [] and len(states["waiting"].rows) == 4
+    assert batch(*((k, None) for k, _ in rows)) == rows and len(states["opened"].rows) == 4
+    # What opened gets an entry per key, as before.
+    assert batch(("k7", "y"), ("k1000", "y")) == [("k7", "y")]
+    assert len(states["gates"].entries) == 1000 and not states["opened"].rows
+
+
 def test_a_batch_reads_the_state_of_its_own_keys_only(bucket):
     batch, states, _ = bucket
     assert batch(*((f"k{n}", "x") for n in range(1000)), ("k1", "y")) == []

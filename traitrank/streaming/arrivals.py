@@ -3,23 +3,25 @@
 ``held_until_open`` meets rows and openings by key. A row whose key is open goes through; another
 one waits in the state store, and leaves it once, when the opening comes. Keys are handed to the
 operator by the bucket, since a call to the state costs more than the work on a row. What comes is
-appended to a list of its bucket in one call. The first batch that has to ask a list takes what it
-needs and moves the rest to entries by key, so nothing is read from a list twice; after that a batch
-touches the keys it brings and no others. State and progress are committed together by the stream's
-checkpoint, so a batch that broke off is played again on the state before it.
+appended to a list of its bucket in one call, up to 256 rows as one value. The first batch that has
+to ask a list takes what it needs and moves the rest to entries by key, so nothing is read from a
+list twice; after that a batch touches the keys it brings and no others. State and progress are
+committed together by the stream's checkpoint, so a batch that broke off is played again on the
+state before it.
 """
 
 from __future__ import annotations
 
+import pickle
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, StructType
 
 # What runs on the executors travels with the job; the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,8 +33,19 @@ _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Groups in which keys are handed over. State is laid out by it: another number needs new checkpoints.
 BUCKETS = 8192
-# Rows that are handed to the state store at once.
+# Rows that are handed to the state store at once, as one value of a list.
 _CHUNK = 256
+_CHUNKS = StructType().add("chunk", BinaryType())
+
+
+def _packed(tuples: list[tuple]) -> tuple[bytes]:
+    # A fixed protocol, as the state outlives the Python that wrote it.
+    return (pickle.dumps(tuples, protocol=4),)
+
+
+def _unpacked(chunks: Iterable[tuple[bytes]]) -> Iterator[tuple]:
+    for (chunk,) in chunks:
+        yield from pickle.loads(chunk)
 
 
 @contextmanager
@@ -47,9 +60,9 @@ def keyed_state(spark: SparkSession) -> Iterator[None]:
 
 
 class _Gate(StatefulProcessor):
-    """Per bucket: lists of the rows that wait and of the keys that opened, in the order they came, and
-    a map by key: whether it is open, how many rows wait for that, and the first of them. Further rows
-    of a key are entries of their own.
+    """Per bucket: lists of the rows that wait and of the keys that opened, in the order they came and
+    some hundred to a value, and a map by key: whether it is open, how many rows wait for that, and the
+    first of them. Further rows of a key are entries of their own.
 
     A key of ``opened`` has no entry in ``gates`` and no row that waits.
     """
@@ -57,12 +70,13 @@ class _Gate(StatefulProcessor):
     def __init__(self, keys: StructType, schema: StructType):
         self.keys = keys
         self.schema = schema
+        self.places = [schema.names.index(name) for name in keys.names]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         gate = StructType().add("open", BooleanType()).add("stored", LongType()).add("first", self.schema)
         part = StructType([*self.keys.fields, StructField("__part", LongType())])
-        self.waiting = handle.getListState("waiting", self.schema)
-        self.opened = handle.getListState("opened", self.keys)
+        self.waiting = handle.getListState("waiting", _CHUNKS)
+        self.opened = handle.getListState("opened", _CHUNKS)
         self.gates = handle.getMapState("gates", self.keys, gate)
         self.further = handle.getMapState("further", part, self.schema)
 
@@ -70,10 +84,10 @@ class _Gate(StatefulProcessor):
         return tuple(row[name] for name in self.schema.names)
 
     def _row(self, values: tuple) -> Row:
-        return Row(**dict(zip(self.schema.names, values)))
+        return Row(*self.schema.names)(*values)
 
     def _key(self, values: tuple) -> tuple:
-        return tuple(values[self.schema.names.index(name)] for name in self.keys.names)
+        return tuple(values[place] for place in self.places)
 
     def _gate(self, key: tuple) -> tuple:
         """Whether the key is open, the number of rows in entries, and the first of them."""
@@ -88,7 +102,7 @@ class _Gate(StatefulProcessor):
 
     def _move_opened(self) -> set:
         """Give every key of the list its entry."""
-        moved = set(map(tuple, self.opened.get())) if self.opened.exists() else set()
+        moved = set(_unpacked(self.opened.get())) if self.opened.exists() else set()
         for key in moved:
             self.gates.updateValue(key, (True, 0, None))
         if moved:
@@ -118,7 +132,7 @@ class _Gate(StatefulProcessor):
         rest = {}
         if self.waiting.exists():
             wanted = set(opening)
-            for values in map(self._plain, self.waiting.get()):
+            for values in _unpacked(self.waiting.get()):
                 key = self._key(values)
                 if key in wanted:
                     yield values
@@ -136,7 +150,7 @@ class _Gate(StatefulProcessor):
         if rest:
             self._move_waiting(rest, has_gates)
         for at in range(0, len(new), _CHUNK):
-            self.opened.appendList(new[at : at + _CHUNK])
+            self.opened.appendList([_packed(new[at : at + _CHUNK])])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         # Openings of earlier batches get their entries once anything comes, so the list is that of one batch.
@@ -155,7 +169,7 @@ class _Gate(StatefulProcessor):
                 continue
             came.append(self._values(row[_ROW]))
             if len(came) == _CHUNK:
-                self.waiting.appendList(came)
+                self.waiting.appendList([_packed(came)])
                 came = []
         new = [at for at in opening if not is_open.get(at)]
         if new:
@@ -163,7 +177,7 @@ class _Gate(StatefulProcessor):
             came = [values for values in came if self._key(values) not in opening]
             yield from map(self._row, self._let_go(new, has_gates))
         if came:
-            self.waiting.appendList(came)
+            self.waiting.appendList([_packed(came)])
 
     def close(self) -> None:
         pass
