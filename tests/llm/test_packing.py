@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from traitrank.llm.packing import (
-    B, COMMON, K1, Encoder, Shard, Statistics, by_powers_of_two, default_tokenizer, fill, pack_by_retrieval,
+    _NOT_ALLOWED, AT_ONCE, B, COMMON, DENSE, K1, Encoder, Shard, Statistics, _heaviest, by_powers_of_two,
+    default_tokenizer, encoder_of, fill, pack_by_retrieval,
 )
 from traitrank.llm.queries import llm_queries
 
@@ -118,3 +119,52 @@ def test_terms_that_all_pieces_have_are_looked_up(spark):
         shard.unused[0] = False
         assert shard.neighbours(0).tolist() == [i for i in np.argsort(-weight, kind="stable").tolist() if i]
     assert COMMON is None
+
+
+def test_no_search_for_the_empty_string(exact):
+    """tiktoken looks for its special tokens in every text, without any at every sign; the one given is no token."""
+    assert encoder_of() is encoder_of(default_tokenizer())
+    encoder = encoder_of()
+    for bpe in (encoder.exact, encoder.fast):
+        assert bpe.special_tokens_set == {_NOT_ALLOWED}
+    wide = [f"a{c}{d}b {c}é" for c in "\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000\t\r" for d in ("", " ", "\u2003")]
+    for text in [_NOT_ALLOWED, f"a {_NOT_ALLOWED}<|endoftext|>  {_NOT_ALLOWED}\n\n", *wide]:
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == exact(text)
+
+
+def plain_order(pieces, stats, unused, seed):
+    """Sums in the order of the terms, those of frequent terms by themselves."""
+    has = np.bincount(np.concatenate([np.unique(p) for p in pieces]), minlength=500)
+    rare, frequent = np.zeros(len(pieces)), np.zeros(len(pieces))
+    for t in sorted(set(pieces[seed].tolist())):
+        for i in np.flatnonzero(unused):
+            if tf := (pieces[i] == t).sum():
+                (frequent if has[t] > DENSE * len(pieces) else rare)[i] += stats.weights(t, tf, len(pieces[i]))
+    score = rare + frequent
+    return [int(i) for i in np.argsort(-score, kind="stable") if score[i] > 0]
+
+
+def test_used_pieces_leave_the_index():
+    """Scores and order stay those of all pieces, with copies and frequent terms among them."""
+    pieces = some_pieces(2)
+    pieces += [*pieces[:20], *pieces[:10], np.array([9] * 30, "<u4")]
+    stats = Statistics(np.random.default_rng(3).uniform(0.1, 5, 500), 20.0)
+    shard, order = Shard(pieces, stats), np.random.default_rng(4).permutation(len(pieces))
+    postings = len(shard.owner)
+    for used in range(0, len(pieces), 9):
+        shard.unused[order[:used]] = False
+        for seed in range(0, len(pieces), 7):
+            expected = plain_order(pieces, stats, shard.unused, seed)
+            assert list(shard.best_first(seed)) == shard.neighbours(seed).tolist() == expected
+            if used == 0:
+                assert len(expected) > AT_ONCE
+    assert len(shard.left) < len(pieces) / 4 and len(shard.owner) < postings / 2
+
+
+def test_heaviest_terms():
+    pieces = [*some_pieces(5), np.array([3, 3], "<u4"), np.array([0], "<u4"), np.array([8, 7, 6], "<u4")]
+    stats = Statistics(np.repeat(np.arange(1.0, 51), 10), 20.0)
+    for piece, *got in zip(pieces, *(k.tolist() for k in _heaviest(pieces, stats))):
+        terms, counts = np.unique(piece, return_counts=True)
+        order = np.argsort(-stats.weights(terms, counts, len(piece)), kind="stable")[:2]
+        assert got == [*terms[order].tolist(), -1][:2]

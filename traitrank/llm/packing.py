@@ -21,6 +21,7 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +44,20 @@ DENSE = 0.25
 # Pieces, chosen by a hash, whose keys cut the order into tasks.
 BOUNDS_SAMPLE = 16_384
 _WRITTEN = 512
+# Neighbours that are put in order at once; the others are when these do not fill the window.
+AT_ONCE = 8
+# A shard's index is made smaller when no more than this share of the pieces in it is unused.
+KEPT = 0.75
 
+# ``tiktoken`` looks for special tokens in every text, and without any for the empty string at every
+# sign, which takes a third of its time. This one is looked for instead and never allowed as a token.
+_NOT_ALLOWED = "<|not allowed|>"
 
 # A run of white space that ends in front of something else gives its last sign to what follows.
 _LOOK_AHEAD = r"|\s+(?!\S)|\s+"
-_USUAL = " \n\t\r"
+_USUAL = "\n\t\r"
 _UNUSUAL = "\x0b\x0c\x1c\x1d\x1e\x1f"
-_WIDE = re.compile(r"[^\S\x00-\x7f]")
+_WIDE = "".join(filter(str.isspace, map(chr, range(128, 0x10000))))
 _BEFORE_LAST = re.compile(r"(?<=\s)(?=\s\S)")
 # White space to Python's expressions and not to the tokenizer's.
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
@@ -57,10 +65,11 @@ _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 
 def _single_spaced(text: str) -> bool:
     """No two signs of white space side by side, and none but the usual ones; by the cheapest searches."""
-    if any(c in text for c in _UNUSUAL) or not text.isascii() and _WIDE.search(text):
+    if any(c in text for c in _UNUSUAL) or not text.isascii() and any(c in text for c in _WIDE):
         return False
-    found = [c for c in _USUAL if c in text]
-    return not any(a + b in text for a in found for b in found)
+    for c in _USUAL:
+        text = text.replace(c, " ")
+    return "  " not in text
 
 
 class Encoder:
@@ -79,11 +88,12 @@ class Encoder:
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(n) for a, n in map(bytes.split, file)}
         self.special = special or {}
-        self.exact = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        looked_for = {_NOT_ALLOWED: max(ranks.values()) + 1}
+        self.exact = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=looked_for)
         self.fast = None
         if pattern.endswith(_LOOK_AHEAD):
             plain = pattern.removesuffix(_LOOK_AHEAD) + r"|\s+"
-            self.fast = tiktoken.Encoding("plain", pat_str=plain, mergeable_ranks=ranks, special_tokens={})
+            self.fast = tiktoken.Encoding("plain", pat_str=plain, mergeable_ranks=ranks, special_tokens=looked_for)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.vocabulary = max([*ranks.values(), *self.special.values()]) + 1
 
@@ -109,6 +119,7 @@ class Encoder:
         return bpe.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
+@cache
 def default_tokenizer() -> tuple[str, str, dict[str, int]]:
     """Path of the rank file, the splitting pattern and the tokens that the ``tokenizers`` file adds
     to them; any byte-level BPE can be given instead."""
@@ -119,6 +130,17 @@ def default_tokenizer() -> tuple[str, str, dict[str, int]]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added
 
 
+@cache
+def _built(path: str, pattern: str, special: tuple[tuple[str, int], ...]) -> Encoder:
+    return Encoder(path, pattern, dict(special))
+
+
+def encoder_of(tokenizer: tuple[str, str, dict[str, int]] | None = None) -> Encoder:
+    """The encoder of (rank file, pattern, added tokens), built once in a Python process."""
+    path, pattern, special = (*(tokenizer or default_tokenizer()), None)[:3]
+    return _built(path, pattern, tuple((special or {}).items()))
+
+
 _PIECES = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("ids", pa.binary()),
@@ -134,6 +156,20 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def _occurrences(pieces: list[np.ndarray], by_piece: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each term of each piece, the piece and how often it occurs there, sorted by piece or by term.
+
+    All pieces are sorted at once, which takes much less than a sort for each.
+    """
+    owner = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+    ids = np.concatenate(pieces).astype(np.int64)
+    high, low = (owner, ids) if by_piece else (ids, owner)
+    bits = int(low.max()).bit_length()
+    pair, counts = np.unique(high << bits | low, return_counts=True)
+    high, low = pair >> bits, pair & ((1 << bits) - 1)
+    return (low, high, counts) if by_piece else (high, low, counts)
+
+
 def _tokenize(window: int, end_id: int, tokenizer: tuple[str, str, dict[str, int]] | None):
     """Pieces of every document; ids only with those shorter than a window.
 
@@ -142,9 +178,19 @@ def _tokenize(window: int, end_id: int, tokenizer: tuple[str, str, dict[str, int
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(*(tokenizer or default_tokenizer())), np.array([end_id], "<u4").tobytes()
+        encoder, end = encoder_of(tokenizer), np.array([end_id], "<u4").tobytes()
         df, short, total = np.zeros(max(end_id + 1, encoder.vocabulary), np.int64), 0, 0
         rows = []
+
+        def counted() -> pa.RecordBatch:
+            nonlocal short, total
+            parts = [np.frombuffer(r[5], "<u4") for r in rows if r[5] is not None]
+            if parts:
+                seen = np.bincount(_occurrences(parts, by_piece=False)[0])
+                df[: len(seen)] += seen
+                short, total = short + len(parts), total + sum(map(len, parts))
+            return _batch(rows, _COUNTED)
+
         for batch in batches:
             for key, text in zip(*batch.columns):
                 ids = encoder.ids(text.as_py() or "") + end
@@ -152,15 +198,12 @@ def _tokenize(window: int, end_id: int, tokenizer: tuple[str, str, dict[str, int
                 for start in range(0, n, window):
                     part = ids[4 * start : 4 * (start + window)]
                     length = len(part) // 4
-                    if length < window:
-                        df[np.unique(np.frombuffer(part, "<u4"))] += 1
-                        short, total = short + 1, total + length
                     rows.append((key, start, length, zlib.crc32(part), n, part if length < window else None, None, None))
                 if len(rows) >= _WRITTEN:
-                    yield _batch(rows, _COUNTED)
+                    yield counted()
                     rows = []
         if rows:
-            yield _batch(rows, _COUNTED)
+            yield counted()
         if short:
             seen = np.flatnonzero(df)
             n = len(seen) + 2
@@ -183,11 +226,20 @@ class Statistics:
         return self.rarity[terms] * counts * (K1 + 1) / (counts + norm)
 
 
-def _heaviest(ids: np.ndarray, stats: Statistics) -> tuple[int, int]:
-    """The two heaviest terms of a piece, the key that brings like pieces together."""
-    terms, counts = np.unique(ids, return_counts=True)
-    order = np.argsort(-stats.weights(terms, counts, len(ids)), kind="stable")[:2]
-    return tuple(terms[order].tolist() + [-1] * (2 - len(order)))
+def _heaviest(pieces: list[np.ndarray], stats: Statistics) -> tuple[np.ndarray, np.ndarray]:
+    """The two heaviest terms of each piece, the smaller of equals, the key that brings like pieces
+    together; -1 as the second where there is one term only."""
+    terms, owner, counts = _occurrences(pieces, by_piece=True)
+    weight = stats.weights(terms, counts, np.array([len(p) for p in pieces])[owner])
+    numbers, found = np.arange(len(pieces)), []
+    begin = np.searchsorted(owner, numbers)
+    for _ in range(2):
+        most = np.maximum.reduceat(weight, begin)
+        at = np.flatnonzero(weight == most[owner])
+        at = at[np.searchsorted(owner[at], numbers)]
+        found.append(np.where(most > -np.inf, terms[at], -1))
+        weight[at] = -np.inf
+    return tuple(found)
 
 
 def _keyed(shared, bounds: list[tuple] | None = None):
@@ -195,13 +247,13 @@ def _keyed(shared, bounds: list[tuple] | None = None):
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stats = shared.value
-        for batch in batches:
-            tops = [_heaviest(np.frombuffer(ids.as_buffer(), "<u4"), stats) for ids in batch.column("ids")]
-            places = zip(tops, batch.column("doc_id").to_pylist(), batch.column("start").to_pylist())
+        for batch in (b.slice(at, _WRITTEN) for b in batches for at in range(0, b.num_rows, _WRITTEN)):
+            pieces = [np.frombuffer(ids.as_buffer(), "<u4") for ids in batch.column("ids")]
+            first, second = _heaviest(pieces, stats)
+            places = zip(zip(first.tolist(), second.tolist()), batch.column("doc_id").to_pylist(), batch.column("start").to_pylist())
             task = [bisect_right(bounds or [], (*top, _LEAST if d is None else d, at)) for top, d, at in places]
-            first, second = (pa.array([t[k] for t in tops], pa.int64()) for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(task, pa.int32()), first, second, *batch.columns], names=["task", "top", "second", *batch.schema.names]
+                [pa.array(task, pa.int32()), pa.array(first), pa.array(second), *batch.columns], names=["task", "top", "second", *batch.schema.names]
             )
 
     return key
@@ -217,40 +269,73 @@ def _bounds(short: DataFrame, shared, n: int, tasks: int) -> list[tuple]:
 
 
 class Shard:
-    """Inverted index over some pieces, and which of them are used."""
+    """Inverted index over some pieces, and which of them are used.
+
+    A piece never becomes unused again, so the index is made smaller as pieces are used up; what
+    is added to the score of another piece, and in which order, stays the same.
+    """
 
     def __init__(self, pieces: list[np.ndarray], stats: Statistics, common: float | None = COMMON):
-        self.n = len(pieces)
-        self.most = self.n if common is None else max(2, common * self.n)
-        found = [np.unique(p, return_counts=True) for p in pieces]
-        self.terms = [t for t, _ in found]
-        owner = np.repeat(np.arange(self.n), [len(t) for t in self.terms])
-        term, counts = np.concatenate(self.terms), np.concatenate([c for _, c in found])
-        weight = stats.weights(term, counts, np.array([len(p) for p in pieces])[owner])
-        order = np.argsort(term, kind="stable")
-        self.owner, self.weight = owner[order], weight[order]
-        self.listed, self.begin = np.unique(term[order], return_index=True)
-        self.size = np.diff(np.r_[self.begin, len(term)])
+        n, length = len(pieces), np.array([len(p) for p in pieces])
+        most = n if common is None else max(2, common * n)
+        term, owner, counts = _occurrences(pieces, by_piece=False)
+        weight = stats.weights(term, counts, length[owner])
+        begins = np.diff(term, prepend=-1) != 0
+        # Number of the term of each posting, and of the terms of each piece that are looked up.
+        self.nth = np.cumsum(begins) - 1
+        size = np.bincount(self.nth)
+        looked_up = (size <= most)[self.nth]
+        by_piece = np.argsort(owner.astype(np.min_scalar_type(n)), kind="stable")
+        self.terms = self.nth[by_piece[looked_up[by_piece]]]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(owner[looked_up], minlength=n))])
         # Row in ``rows`` of a term that many pieces have, -1 for one that has its postings only.
-        many = self.size > DENSE * self.n
+        many = size > DENSE * n
         self.row = np.where(many, np.cumsum(many) - 1, -1)
-        self.rows = np.zeros((many.sum(), self.n))
-        of = np.repeat(self.row, self.size)
-        self.rows[of[of >= 0], self.owner[of >= 0]] = self.weight[of >= 0]
-        self.unused = np.ones(self.n, bool)
-
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Unused pieces that share a looked-up term with the seed, best first, ties by position."""
-        at = np.searchsorted(self.listed, self.terms[seed])
-        at = at[self.size[at] <= self.most]
+        self.rows = np.zeros((many.sum(), n))
+        of = self.row[self.nth]
+        self.rows[of[of >= 0], owner[of >= 0]] = weight[of >= 0]
+        self.n, self.unused = n, np.ones(n, bool)
+        # Pieces in the index; ``owner`` and the columns of ``rows`` are places among them.
+        self.left = np.arange(n)
+        self._list(self.nth[of < 0], owner[of < 0], weight[of < 0], len(size))
+
+    def _list(self, nth: np.ndarray, owner: np.ndarray, weight: np.ndarray, terms: int):
+        self.nth, self.owner, self.weight = nth, owner, weight
+        self.size = np.bincount(nth, minlength=terms)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def _drop_used(self):
+        keep = self.unused[self.left]
+        place, listed = np.cumsum(keep) - 1, keep[self.owner]
+        self.left, self.rows = self.left[keep], self.rows[:, keep]
+        self._list(self.nth[listed], place[self.owner[listed]], self.weight[listed], len(self.size))
+
+    def _scores(self, seed: int) -> np.ndarray:
+        """Scores of the pieces in ``left``, 0 for used ones."""
+        if np.count_nonzero(self.unused) <= KEPT * len(self.left):
+            self._drop_used()
+        at = self.terms[self.first[seed] : self.first[seed + 1]]
         row = self.row[at]
         at = at[row < 0]
         size = self.size[at]
-        postings = np.arange(size.sum()) + np.repeat(self.begin[at] - np.r_[0, np.cumsum(size)[:-1]], size)
-        score = np.bincount(self.owner[postings], self.weight[postings], self.n)
-        score = (score + self.rows[row[row >= 0]].sum(axis=0)) * self.unused
-        found = np.flatnonzero(score > 0)
-        return found[np.argsort(-score[found], kind="stable")]
+        end = np.cumsum(size)
+        postings = np.arange(size.sum()) + np.repeat(self.begin[at] - end + size, size)
+        score = np.bincount(self.owner.take(postings), self.weight.take(postings), len(self.left))
+        return (score + self.rows.take(row[row >= 0], axis=0).sum(axis=0)) * self.unused[self.left]
+
+    def best_first(self, seed: int) -> Iterator[int]:
+        """Unused pieces that share a looked-up term with the seed, best first, ties by position."""
+        score, left = self._scores(seed), self.left
+        least = 0
+        if len(score) > AT_ONCE:
+            least = np.partition(score, len(score) - AT_ONCE)[-AT_ONCE]
+        for chosen in (score >= least, score < least) if least > 0 else (score > 0,):
+            found = np.flatnonzero(chosen & (score > 0))
+            yield from left[found[np.argsort(-score[found], kind="stable")]].tolist()
+
+    def neighbours(self, seed: int) -> np.ndarray:
+        """All that ``best_first`` gives."""
+        return np.fromiter(self.best_first(seed), np.int64)
 
 
 def fill(
@@ -284,7 +369,7 @@ def fill(
                     seed, rest = piece, begin + taken
                 break
             if not searched:
-                queue, searched = iter(shard.neighbours(seed).tolist()), True
+                queue, searched = shard.best_first(seed), True
             piece, begin = next(queue, None), 0
             if piece is None:
                 break
@@ -380,7 +465,7 @@ def pack_by_retrieval(
         F.lit(0).cast("long").alias("offset"),
     )
     short = pieces.filter(F.col("ids").isNotNull())
-    vocabulary = max(end_id + 1, Encoder(*(tokenizer or default_tokenizer())).vocabulary)
+    vocabulary = max(end_id + 1, encoder_of(tokenizer).vocabulary)
     counted = {
         r.term: r.n for r in written.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).collect()
     }
